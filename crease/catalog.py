@@ -33,7 +33,7 @@ def query(name: str):
 @query("stg_deliveries")
 def _stg_deliveries(w: World) -> DataFrame:
     """F-D balls stored as JSON text (as a loader writes them), parsed and projected."""
-    raw = st.parse_delivery_json(ad.fd_deliveries_json(w.spark, w.sf_dir))
+    raw = st.parse_delivery_json(ad.fd_deliveries_json(w.spark, w.sf_dir, w.strategy))
     return st.stg_deliveries(raw)
 
 

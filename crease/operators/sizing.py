@@ -1,8 +1,11 @@
 """Broadcast only behind a size check.
 
-``broadcast_if_small`` marks a side for broadcast when its optimizer size estimate is
-under a threshold; otherwise it returns the frame unchanged and the planner keeps a
-shuffled join (AQE may still switch to broadcast at run time from real sizes).
+Model joins against dimension tables do not force a broadcast: the planner broadcasts a
+side whose estimated size is under ``spark.sql.autoBroadcastJoinThreshold``, and AQE
+re-checks with the real, materialised size (``spark.sql.adaptive.autoBroadcastJoinThreshold``).
+``broadcast_if_small`` is the explicit form of the same check for callers that want the
+hint on a frame whose estimate they trust; fixed-size tables (TPC-H nation/region) are
+the only unconditional ``F.broadcast`` in the code.
 """
 
 from __future__ import annotations

@@ -1,7 +1,8 @@
 """Intermediate models: venues, matches, innings, teams, players and the two junctions.
 
-Everything keyed by match is computed from the staging row of that match; dimension
-tables (venues, teams) are joined with a size-checked broadcast.
+Everything keyed by match is computed from the staging row of that match. Dimension
+joins (venues, teams) are left to the planner's size-checked broadcast (see
+``crease.operators.sizing``): small seeds broadcast, a large one stays a shuffled join.
 """
 
 from __future__ import annotations
@@ -11,14 +12,13 @@ from pyspark.sql import functions as F
 
 from crease.functions import batted_first, count_when, opponent, outcome_type, surrogate_key
 from crease.operators.dedupe import distinct_on
-from crease.operators.sizing import broadcast_if_small
 from crease.sources.venues import UNKNOWN_COUNTRY
 
 
 def int_venues(venue_city: DataFrame, city_country: DataFrame) -> DataFrame:
     """venue_city ⋈ city_country USING (city); one row per venue, preferring a known
     country when the city seed holds duplicates."""
-    j = venue_city.join(broadcast_if_small(city_country), "city")
+    j = venue_city.join(city_country, "city")
     j = j.withColumn("_unknown", F.col("country") == F.lit(UNKNOWN_COUNTRY))
     one = distinct_on(j, ["venue_name"], ["_unknown", "country", "city"],
                       columns=["venue_name", "city", "country"])
@@ -46,7 +46,7 @@ def int_matches(stg_match_info: DataFrame, venues: DataFrame) -> DataFrame:
         i["outcome"]["winner"].alias("winner"),
         F.to_json(i["player_of_match"]).alias("player_of_match"),
     )
-    v = broadcast_if_small(venues.select(F.col("venue_name").alias("_venue"), "venue_id"))
+    v = venues.select(F.col("venue_name").alias("_venue"), "venue_id")
     return s.join(v, "_venue", "left").select(
         "match_id", "hash_id", "venue_id", "start_date", "format", "gender", "event_name",
         "event_match_number", "event_stage", "toss_winner", "toss_decision", "outcome_type",
@@ -82,7 +82,7 @@ def int_match_teams(stg_match_info: DataFrame, venues: DataFrame) -> DataFrame:
     keeps its first position — no shuffle needed for the de-duplication."""
     i = F.col("info")
     known = stg_match_info.join(
-        broadcast_if_small(venues.select(F.col("venue_name").alias("_venue"))),
+        venues.select(F.col("venue_name").alias("_venue")),
         i["venue"] == F.col("_venue"), "left_semi")
     t = known.select("match_id", "hash_id", i["match_type"].alias("format"),
                      i["teams"].alias("teams"),
@@ -128,8 +128,7 @@ def int_teams(match_teams: DataFrame) -> DataFrame:
 
 def int_players(match_players: DataFrame, teams: DataFrame) -> DataFrame:
     """One row per (team_id, player_id), from the player's latest match."""
-    j = match_players.join(broadcast_if_small(teams.select("team_id", "team", "format")),
-                           ["team", "format"])
+    j = match_players.join(teams.select("team_id", "team", "format"), ["team", "format"])
     latest = distinct_on(j, ["team_id", "player_id"], ["match_id", "player_name"],
                          descending=True,
                          columns=["team_id", "player_id", "hash_id", "player_name", "team",

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crease import schemas
-from crease.functions import first_of, legal_ball
 from crease.operators.dedupe import distinct_on
 
 DELIVERY_COLUMNS = ["match_id", "hash_id", "innings_number", "team", "over_number",
@@ -20,36 +19,38 @@ def parse_delivery_json(raw_json: DataFrame) -> DataFrame:
     return raw_json.withColumn("delivery", F.from_json("delivery", schemas.DELIVERY))
 
 
+def _extra(k: str) -> str:
+    return f"CAST(coalesce(try_element_at(delivery.extras, '{k}'), 0) AS INT) AS {k}"
+
+
+def _present(k: str) -> str:
+    return f"coalesce(map_contains_key(delivery.extras, '{k}'), false)"
+
+
+STG_DELIVERY_EXPRS = [
+    "CAST(match_id AS INT) AS match_id", "hash_id",
+    "CAST(n_innings AS INT) AS innings_number", "team",
+    "CAST(n_over AS INT) AS over_number", "CAST(n_delivery AS INT) AS ball_in_over",
+    "super_over",
+    "CAST(coalesce(delivery.runs.total, 0) AS INT) AS runs",
+    "CAST(coalesce(delivery.runs.batter, 0) AS INT) AS batter_runs",
+    _extra("wides"), _extra("noballs"), _extra("byes"), _extra("legbyes"),
+    "CAST(coalesce(delivery.runs.extras, 0) AS INT) AS extras",
+    "delivery.batter AS batter", "delivery.non_striker AS non_striker",
+    "delivery.bowler AS bowler",
+    # legal = neither key present (decided before the 0 defaults above)
+    f"NOT {_present('wides')} AND NOT {_present('noballs')} AS is_legal",
+    # first wicket only; get() is NULL for a missing/empty array
+    "get(delivery.wickets, 0).player_out AS player_out",
+    "get(delivery.wickets, 0).kind AS dismissal_mode",
+]
+
+
 def stg_deliveries(raw: DataFrame) -> DataFrame:
     """One row per ball, 20 columns. Numbers default to 0 when absent; ``is_legal`` is
-    decided on key presence in ``extras`` before any default is applied."""
-    d = F.col("delivery")
-
-    def extra(k: str):
-        return F.coalesce(F.try_element_at(d["extras"], F.lit(k)), F.lit(0)).cast("int")
-
-    return raw.select(
-        F.col("match_id").cast("int").alias("match_id"),
-        "hash_id",
-        F.col("n_innings").cast("int").alias("innings_number"),
-        "team",
-        F.col("n_over").cast("int").alias("over_number"),
-        F.col("n_delivery").cast("int").alias("ball_in_over"),
-        "super_over",
-        F.coalesce(d["runs"]["total"], F.lit(0)).cast("int").alias("runs"),
-        F.coalesce(d["runs"]["batter"], F.lit(0)).cast("int").alias("batter_runs"),
-        extra("wides").alias("wides"),
-        extra("noballs").alias("noballs"),
-        extra("byes").alias("byes"),
-        extra("legbyes").alias("legbyes"),
-        F.coalesce(d["runs"]["extras"], F.lit(0)).cast("int").alias("extras"),
-        d["batter"].alias("batter"),
-        d["non_striker"].alias("non_striker"),
-        d["bowler"].alias("bowler"),
-        legal_ball(d["extras"]).alias("is_legal"),
-        first_of(d["wickets"], "player_out").alias("player_out"),
-        first_of(d["wickets"], "kind").alias("dismissal_mode"),
-    )
+    decided on key presence in ``extras`` before any default is applied. Same rules as
+    ``crease.functions.legal_ball`` / ``first_of``, written as one SQL projection."""
+    return raw.selectExpr(*STG_DELIVERY_EXPRS)
 
 
 def stg_match_info(raw_matches: DataFrame) -> DataFrame:

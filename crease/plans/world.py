@@ -16,6 +16,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crease.operators.sequence import CONF_MAX_GROUP_ROWS, DEFAULT_MAX_GROUP_ROWS
 from crease.plans import intermediate as im
 from crease.plans import marts as mt
 from crease.plans import staging as st
@@ -23,6 +24,11 @@ from crease.sources import adapters as ad
 from crease.session import read_table
 from crease.sources.venues import UNKNOWN_COUNTRY
 
+
+def _max_group_rows(spark: SparkSession) -> int:
+    v = spark.conf.get(CONF_MAX_GROUP_ROWS, None)
+    return int(v) if v else DEFAULT_MAX_GROUP_ROWS
+
 # --- fixed scenario values ---------------------------------------------------------------
 SEEDED_NATIONS = 15        # venues (nations) with key below this are in the venue seed
 COUNTRY_REGIONS = 3        # regions with key below this have a real country name
@@ -41,9 +47,17 @@ class World:
         return read_table(self.spark, self.sf_dir, name)
 
     # raw inputs -------------------------------------------------------------------------
+    @cached_property
+    def strategy(self) -> str:
+        """Running-count plan for every ball-grain window: all of them partition by
+        (match, innings) or finer, so the largest innings bounds every group. Measured
+        once at the source (two columns of lineitem)."""
+        limit = _max_group_rows(self.spark)
+        return "window" if ad.largest_innings(self.spark, self.sf_dir) <= limit else "split"
+
     @cached_property
     def fd_raw(self) -> DataFrame:
-        return ad.fd_raw(self.spark, self.sf_dir)
+        return ad.fd_raw(self.spark, self.sf_dir, self.strategy)
 
     @cached_property
     def fm(self) -> DataFrame:
@@ -82,7 +96,11 @@ class World:
     # models ---------------------------------------------------------------------------
     @cached_property
     def deliveries(self) -> DataFrame:
-        return im.int_deliveries(st.stg_deliveries(self.raw_deliveries))
+        """Staged balls projected straight from F-D. The raw-object route (typed or
+        JSON delivery -> staging projection) gives the same rows; the stg_deliveries
+        and raw_roundtrip_flatten queries exercise it against the same oracle."""
+        return im.int_deliveries(
+            self.fd_raw.selectExpr(*ad.FD_STAGED_EXPRS))
 
     @cached_property
     def stg_match_info(self) -> DataFrame:
@@ -118,15 +136,15 @@ class World:
 
     @cached_property
     def sequence(self) -> DataFrame:
-        return mt.fct_deliveries_sequence(self.deliveries)
+        return mt.fct_deliveries_sequence(self.deliveries, self.strategy)
 
     @cached_property
     def batting_order(self) -> DataFrame:
-        return mt.fct_batting_order(self.sequence)
+        return mt.fct_batting_order(self.sequence, self.strategy)
 
     @cached_property
     def bowling_order(self) -> DataFrame:
-        return mt.fct_bowling_order(self.sequence)
+        return mt.fct_bowling_order(self.sequence, self.strategy)
 
     @cached_property
     def dismissed(self) -> DataFrame:

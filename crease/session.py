@@ -76,5 +76,14 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+_READS: dict[tuple[int, str], object] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str):
-    return spark.read.parquet(table_path(sf_dir, name))
+    """Parquet table as a DataFrame, memoised per session and path: the schema footer is
+    read once, and equal sub-plans over the same relation can share one exchange."""
+    path = table_path(sf_dir, name)
+    key = (id(spark), path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]

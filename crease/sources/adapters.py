@@ -13,12 +13,14 @@ documents and ``(path, content)`` file rows.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crease import schemas
-from crease.operators.sequence import running_count
-from crease.session import read_table
+from crease.operators.sequence import largest_group, running_count
+from crease.session import read_table, table_path
 
 # --- fixed values of the adapters ---------------------------------------------------
 FD_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
@@ -30,73 +32,106 @@ SQUAD = 11
 # ---------------------------------------------------------------------------------------
 
 
-def _div(a: Column, b: int) -> Column:
-    return ((a - a % b) / b).cast("bigint")
+_LARGEST: dict[tuple[str, float], int] = {}
+
+
+def largest_innings(spark: SparkSession, sf_dir: str) -> int:
+    """Balls in the biggest F-D innings: one aggregate over two lineitem columns,
+    remembered per input file version."""
+    path = table_path(sf_dir, "lineitem")
+    key = (path, os.path.getmtime(path) if os.path.exists(path) else 0.0)
+    if key not in _LARGEST:
+        li = read_table(spark, sf_dir, "lineitem").select("l_suppkey", "l_linestatus")
+        _LARGEST[key] = largest_group(li, ["l_suppkey", "l_linestatus"])
+    return _LARGEST[key]
 
 
-def fd_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fd_raw(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> DataFrame:
     """Balls with raw (nullable) extras, before the staging defaults."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
         "l_shipdate")
-    seq = running_count(li, ["l_suppkey", "l_linestatus"], FD_ORDER, "_pos")
-    i = F.col("_pos") - 1
-    m = F.col("l_suppkey").cast("int")
-    inn = F.when(F.col("l_linestatus") == "F", 0).otherwise(1)
-    pk, ok, ln = F.col("l_partkey"), F.col("l_orderkey"), F.col("l_linenumber")
-    wide = pk % 17 == 0
-    batter = F.concat(F.lit("P"), (pk % SQUAD).cast("string"))
-    out = ok % 19 == 0
-    return seq.select(
-        m.alias("match_id"),
-        F.md5(m.cast("string")).alias("hash_id"),
-        inn.cast("int").alias("innings_number"),
-        _div(i, 6).cast("int").alias("over_number"),
-        (i % 6).cast("int").alias("ball_in_over"),
-        F.concat(F.lit("T"), ((m + inn) % 10).cast("string")).alias("team"),
-        F.lit(None).cast("boolean").alias("super_over"),
-        batter.alias("batter"),
-        F.concat(F.lit("P"), ((pk + 1 + ln) % SQUAD).cast("string")).alias("non_striker"),
-        F.concat(F.lit("B"), (ok % 7).cast("string")).alias("bowler"),
-        F.when(wide, 0).otherwise(F.col("l_quantity").cast("int") % 7).cast("int")
-        .alias("batter_runs"),
-        F.when(wide, 1).cast("int").alias("wides_raw"),
-        F.when(pk % 29 == 0, 1).cast("int").alias("noballs_raw"),
-        F.when((ok % 23 == 0) & ~wide, 1).cast("int").alias("byes_raw"),
-        F.when((ok % 31 == 0) & ~wide, 1).cast("int").alias("legbyes_raw"),
-        F.when(out, batter).alias("player_out"),
-        F.when(out, F.element_at(F.array(*[F.lit(k) for k in DISMISSAL_BY_LINE]),
-                                 ln.cast("int"))).alias("dismissal_kind"),
-    )
+    seq = running_count(li, ["l_suppkey", "l_linestatus"], FD_ORDER, "_pos",
+                        strategy=strategy)
+    return seq.selectExpr(*FD_EXPRS)
+
+
+# Balls from lineitem rows (SQL expressions: one JVM call per column, not per operator).
+_INN = "IF(l_linestatus = 'F', 0, 1)"
+_WIDE = "l_partkey % 17 = 0"
+_OUT = "l_orderkey % 19 = 0"
+_DISMISSALS = ", ".join(f"'{k}'" for k in DISMISSAL_BY_LINE)
+FD_EXPRS = [
+    "CAST(l_suppkey AS INT) AS match_id",
+    "md5(CAST(CAST(l_suppkey AS INT) AS STRING)) AS hash_id",
+    f"CAST({_INN} AS INT) AS innings_number",
+    "CAST((_pos - 1) DIV 6 AS INT) AS over_number",
+    "CAST((_pos - 1) % 6 AS INT) AS ball_in_over",
+    f"concat('T', CAST((CAST(l_suppkey AS INT) + {_INN}) % 10 AS STRING)) AS team",
+    "CAST(NULL AS BOOLEAN) AS super_over",
+    f"concat('P', CAST(l_partkey % {SQUAD} AS STRING)) AS batter",
+    f"concat('P', CAST((l_partkey + 1 + l_linenumber) % {SQUAD} AS STRING)) AS non_striker",
+    "concat('B', CAST(l_orderkey % 7 AS STRING)) AS bowler",
+    f"CAST(IF({_WIDE}, 0, CAST(l_quantity AS INT) % 7) AS INT) AS batter_runs",
+    f"CAST(IF({_WIDE}, 1, NULL) AS INT) AS wides_raw",
+    "CAST(IF(l_partkey % 29 = 0, 1, NULL) AS INT) AS noballs_raw",
+    f"CAST(IF(l_orderkey % 23 = 0 AND NOT ({_WIDE}), 1, NULL) AS INT) AS byes_raw",
+    f"CAST(IF(l_orderkey % 31 = 0 AND NOT ({_WIDE}), 1, NULL) AS INT) AS legbyes_raw",
+    f"IF({_OUT}, concat('P', CAST(l_partkey % {SQUAD} AS STRING)), NULL) AS player_out",
+    f"IF({_OUT}, element_at(array({_DISMISSALS}), l_linenumber), NULL) AS dismissal_kind",
+]
+
+_EXTRA_KEYS = ["wides", "noballs", "byes", "legbyes"]
+_EXTRAS_TOTAL = " + ".join(f"coalesce({k}_raw, 0)" for k in _EXTRA_KEYS)
+_EXTRAS_MAP = ("map_filter(map(" + ", ".join(f"'{k}', {k}_raw" for k in _EXTRA_KEYS)
+               + "), (k, v) -> v IS NOT NULL)")
+DELIVERY_SQL = f"""CAST(named_struct(
+    'batter', batter, 'non_striker', non_striker, 'bowler', bowler,
+    'runs', named_struct('batter', batter_runs, 'extras', {_EXTRAS_TOTAL},
+                         'total', batter_runs + {_EXTRAS_TOTAL}),
+    'extras', IF(size({_EXTRAS_MAP}) > 0, {_EXTRAS_MAP}, NULL),
+    'wickets', IF(player_out IS NOT NULL,
+                  array(named_struct('player_out', player_out, 'kind', dismissal_kind)), NULL)
+) AS {schemas.DELIVERY.simpleString()})"""
+
+
+# F-D straight to the staged ball columns (what the staging projection yields from the
+# raw delivery object, without building the object per row).
+FD_STAGED_EXPRS = [
+    "match_id", "hash_id", "innings_number", "team", "over_number", "ball_in_over",
+    "super_over",
+    f"CAST(batter_runs + {_EXTRAS_TOTAL} AS INT) AS runs",
+    "batter_runs",
+    *[f"CAST(coalesce({k}_raw, 0) AS INT) AS {k}" for k in _EXTRA_KEYS],
+    f"CAST({_EXTRAS_TOTAL} AS INT) AS extras",
+    "batter", "non_striker", "bowler",
+    "wides_raw IS NULL AND noballs_raw IS NULL AS is_legal",
+    "player_out", "dismissal_kind AS dismissal_mode",
+]
+
+
+def fd_deliveries(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> DataFrame:
+    """F-D as staged balls (the int_deliveries shape)."""
+    return fd_raw(spark, sf_dir, strategy).selectExpr(*FD_STAGED_EXPRS)
 
 
 def delivery_struct() -> Column:
     """The raw per-ball object: extras holds only the keys that are present."""
-    keys = ["wides", "noballs", "byes", "legbyes"]
-    full = F.create_map(*[x for k in keys for x in (F.lit(k), F.col(f"{k}_raw"))])
-    present = F.map_filter(full, lambda k, v: v.isNotNull())
-    extras_total = sum((F.coalesce(F.col(f"{k}_raw"), F.lit(0)) for k in keys), F.lit(0))
-    runs = F.struct(F.col("batter_runs").alias("batter"), extras_total.alias("extras"),
-                    (F.col("batter_runs") + extras_total).alias("total"))
-    wickets = F.when(F.col("player_out").isNotNull(), F.array(F.struct(
-        F.col("player_out").alias("player_out"), F.col("dismissal_kind").alias("kind"))))
-    return F.struct(F.col("batter"), F.col("non_striker"), F.col("bowler"),
-                    runs.alias("runs"), F.when(F.size(present) > 0, present).alias("extras"),
-                    wickets.alias("wickets")).cast(schemas.DELIVERY)
-
-
-def fd_deliveries_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return F.expr(DELIVERY_SQL)
+
+
+def fd_deliveries_raw(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> DataFrame:
     """F-D in the raw deliveries-table shape (typed delivery struct)."""
-    return fd_raw(spark, sf_dir).select(
+    return fd_raw(spark, sf_dir, strategy).select(
         "match_id", "hash_id", F.col("innings_number").alias("n_innings"), "team",
         F.col("over_number").alias("n_over"), F.col("ball_in_over").alias("n_delivery"),
         "super_over", delivery_struct().alias("delivery"))
 
 
-def fd_deliveries_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fd_deliveries_json(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> DataFrame:
     """F-D as raw rows whose ``delivery`` is JSON text, as a loader would store it."""
-    return fd_deliveries_raw(spark, sf_dir).withColumn(
+    return fd_deliveries_raw(spark, sf_dir, strategy).withColumn(
         "delivery", F.to_json("delivery"))
 
 
@@ -108,69 +143,66 @@ def fm_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = read_table(spark, sf_dir, "region")
     j = (s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
          .join(F.broadcast(r), n.n_regionkey == r.r_regionkey))
-    k = F.col("s_suppkey")
-    team_a = F.concat(F.lit("T"), (k % 10).cast("string"))
-    team_b = F.concat(F.lit("T"), ((k + 1) % 10).cast("string"))
-    no_winner = k % 11 == 0
-    winner = F.when(~no_winner, F.when(k % 4 % 2 == 0, team_a).otherwise(team_b))
-    no_toss = k % 13 == 0
-    return j.select(
-        k.cast("int").alias("match_id"),
-        F.md5(k.cast("int").cast("string")).alias("hash_id"),
-        F.col("n_name").alias("venue"),
-        F.col("r_name").alias("city"),
-        team_a.alias("team_a"), team_b.alias("team_b"),
-        F.element_at(F.array(*[F.lit(f) for f in FORMATS]),
-                     (F.col("s_nationkey") % 3 + 1).cast("int")).alias("format"),
-        F.when(k % 2 == 0, "male").otherwise("female").alias("gender"),
-        F.date_add(F.lit("2024-01-01").cast("date"), (k * 37 % 730).cast("int"))
-        .alias("start_date"),
-        F.col("r_name").alias("event_name"),
-        (k % 60 + 1).cast("int").alias("event_match_number"),
-        F.when(k % 60 == 59, F.lit("Final")).alias("event_stage"),
-        F.when(~no_toss, F.when(k % 2 == 0, team_a).otherwise(team_b)).alias("toss_winner"),
-        F.when(~no_toss, F.when(k % 3 == 0, "field").otherwise("bat")).alias("toss_decision"),
-        winner.alias("winner"),
-        F.when(no_winner, F.when(k % 2 == 0, "tie").otherwise("no result")).alias("result"),
-        F.when(~no_winner & (k % 4 < 2), k % 50 + 1).cast("int").alias("margin_runs"),
-        F.when(~no_winner & (k % 4 >= 2), k % 10 + 1).cast("int").alias("margin_wickets"),
-        F.when(~no_winner & (k % 8 == 0), 1).cast("int").alias("margin_innings"),
-        F.when(~no_winner, F.array(F.concat(F.lit("P"), (k % SQUAD).cast("string"))))
-        .alias("player_of_match"),
-    )
-
-
-def _squad(prefix: str) -> list[str]:
-    return [f"{prefix}{i}" for i in range(SQUAD)]
+    return j.selectExpr(
+        "*", "concat('T', CAST(s_suppkey % 10 AS STRING)) AS team_a",
+        "concat('T', CAST((s_suppkey + 1) % 10 AS STRING)) AS team_b").selectExpr(*FM_EXPRS)
+
+
+_NO_WIN = "s_suppkey % 11 = 0"
+_NO_TOSS = "s_suppkey % 13 = 0"
+_FORMATS = ", ".join(f"'{f}'" for f in FORMATS)
+FM_EXPRS = [
+    "CAST(s_suppkey AS INT) AS match_id",
+    "md5(CAST(CAST(s_suppkey AS INT) AS STRING)) AS hash_id",
+    "n_name AS venue", "r_name AS city", "team_a", "team_b",
+    f"element_at(array({_FORMATS}), CAST(s_nationkey % 3 + 1 AS INT)) AS format",
+    "IF(s_suppkey % 2 = 0, 'male', 'female') AS gender",
+    "date_add(DATE'2024-01-01', CAST(s_suppkey * 37 % 730 AS INT)) AS start_date",
+    "r_name AS event_name",
+    "CAST(s_suppkey % 60 + 1 AS INT) AS event_match_number",
+    "IF(s_suppkey % 60 = 59, 'Final', NULL) AS event_stage",
+    f"IF({_NO_TOSS}, NULL, IF(s_suppkey % 2 = 0, team_a, team_b)) AS toss_winner",
+    f"IF({_NO_TOSS}, NULL, IF(s_suppkey % 3 = 0, 'field', 'bat')) AS toss_decision",
+    f"IF({_NO_WIN}, NULL, IF(s_suppkey % 4 % 2 = 0, team_a, team_b)) AS winner",
+    f"IF({_NO_WIN}, IF(s_suppkey % 2 = 0, 'tie', 'no result'), NULL) AS result",
+    f"CAST(IF(NOT ({_NO_WIN}) AND s_suppkey % 4 < 2, s_suppkey % 50 + 1, NULL) AS INT) AS margin_runs",
+    f"CAST(IF(NOT ({_NO_WIN}) AND s_suppkey % 4 >= 2, s_suppkey % 10 + 1, NULL) AS INT) AS margin_wickets",
+    f"CAST(IF(NOT ({_NO_WIN}) AND s_suppkey % 8 = 0, 1, NULL) AS INT) AS margin_innings",
+    f"IF({_NO_WIN}, NULL, array(concat('P', CAST(s_suppkey % {SQUAD} AS STRING)))) AS player_of_match",
+]
+
+
+def _squad(prefix: str) -> str:
+    """[prefix0 .. prefix10] built from a sequence, not literals."""
+    return f"transform(sequence(0, {SQUAD - 1}), i -> concat('{prefix}', CAST(i AS STRING)))"
+
+
+_REGISTERED = (f"filter(concat({_squad('P')}, {_squad('Q')}), "
+               f"x -> NOT endswith(x, '{SQUAD - 1}'))")
+INFO_SQL = f"""CAST(named_struct(
+    'match_type', format, 'gender', gender,
+    'dates', array(date_format(start_date, 'yyyy-MM-dd')),
+    'venue', venue, 'city', city,
+    'event', named_struct('name', event_name, 'match_number', event_match_number,
+                          'stage', event_stage),
+    'toss', named_struct('winner', toss_winner, 'decision', toss_decision),
+    'outcome', named_struct('winner', winner, 'result', result,
+                            'by', IF(winner IS NOT NULL,
+                                     named_struct('runs', margin_runs, 'wickets', margin_wickets,
+                                                  'innings', margin_innings), NULL)),
+    'player_of_match', player_of_match,
+    'teams', array(team_a, team_b),
+    'players', map(team_a, {_squad('P')}, team_b, {_squad('Q')}),
+    'registry', named_struct('people', map_from_arrays({_REGISTERED},
+                             transform({_REGISTERED}, x -> concat('id_', x))))
+) AS {schemas.INFO.simpleString()})"""
 
 
 def info_struct() -> Column:
-    """The match document's ``info`` object built from F-M columns."""
-    names_a, names_b = _squad("P"), _squad("Q")
-    registered = [x for x in names_a + names_b if not x.endswith(str(SQUAD - 1))]
-    players = F.create_map(F.col("team_a"), F.array(*[F.lit(x) for x in names_a]),
-                           F.col("team_b"), F.array(*[F.lit(x) for x in names_b]))
-    people = F.map_from_arrays(F.array(*[F.lit(x) for x in registered]),
-                               F.array(*[F.lit(f"id_{x}") for x in registered]))
-    margin = F.when(F.col("winner").isNotNull(), F.struct(
-        F.col("margin_runs").alias("runs"), F.col("margin_wickets").alias("wickets"),
-        F.col("margin_innings").alias("innings")))
-    return F.struct(
-        F.col("format").alias("match_type"),
-        F.col("gender"),
-        F.array(F.date_format("start_date", "yyyy-MM-dd")).alias("dates"),
-        F.col("venue"), F.col("city"),
-        F.struct(F.col("event_name").alias("name"),
-                 F.col("event_match_number").alias("match_number"),
-                 F.col("event_stage").alias("stage")).alias("event"),
-        F.struct(F.col("toss_winner").alias("winner"),
-                 F.col("toss_decision").alias("decision")).alias("toss"),
-        F.struct(F.col("winner"), F.col("result"), margin.alias("by")).alias("outcome"),
-        F.col("player_of_match"),
-        F.array("team_a", "team_b").alias("teams"),
-        players.alias("players"),
-        F.struct(people.alias("people")).alias("registry"),
-    ).cast(schemas.INFO)
+    """The match document's ``info`` object built from F-M columns. Each team lists
+    P0..P10 / Q0..Q10; the registry maps every name but the last of each squad to
+    'id_<name>' (so two players of a match have no id)."""
+    return F.expr(INFO_SQL)
 
 
 def fm_match_info_json(spark: SparkSession, sf_dir: str) -> DataFrame:
