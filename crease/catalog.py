@@ -9,10 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from crease.functions import count_when, opponent, overs_display, surrogate_key
+from crease.operators.dedupe import distinct_on
+from crease.operators.sequence import role_first_steps, running_count
 from crease.plans import reports
+from crease.plans import scenarios as sc
 from crease.plans import staging as st
 from crease.plans.world import REPORT_EVENT, REPORT_YEAR, World
 from crease.sources import adapters as ad
@@ -108,5 +112,183 @@ def _top_bowlers(w: World) -> DataFrame:
     return reports.top_bowlers(w.bowling_scorecard, w.matches, REPORT_EVENT, REPORT_YEAR)
 
 
+# --- models: junctions and dimensions ------------------------------------------------------
+
+@query("stg_match_info")
+def _stg_match_info(w: World) -> DataFrame:
+    return sc.stg_match_info(w)
+
+
+@query("int_match_teams")
+def _match_teams(w: World) -> DataFrame:
+    return w.match_teams
+
+
+@query("int_match_players")
+def _match_players(w: World) -> DataFrame:
+    return w.match_players
+
+
+@query("int_teams")
+def _teams(w: World) -> DataFrame:
+    return w.teams.drop("last_update")
+
+
+@query("int_players")
+def _players(w: World) -> DataFrame:
+    return w.players
+
+
+# --- operators exercised on model data ---------------------------------------------------
+
+@query("outcome_type_case")
+def _outcome_type(w: World) -> DataFrame:
+    return w.matches.select("match_id", "outcome_type")
+
+
+@query("count_filter")
+def _count_filter(w: World) -> DataFrame:
+    return w.deliveries.groupBy("match_id", "innings_number").agg(
+        F.count_if(F.col("is_legal")).alias("legal_deliveries"))
+
+
+@query("conditional_sums")
+def _conditional_sums(w: World) -> DataFrame:
+    return w.deliveries.groupBy("match_id", "innings_number", "bowler").agg(
+        count_when(F.col("is_legal")).alias("balls"),
+        count_when(F.col("is_legal") & (F.col("batter_runs") == 0)).alias("dots"),
+        count_when(F.col("wides") > 0).alias("wide_balls"),
+        count_when(F.col("noballs") > 0).alias("noball_balls"),
+        count_when(F.col("wides") == 0).alias("faced"))
+
+
+@query("first_appearance")
+def _first_appearance(w: World) -> DataFrame:
+    return w.sequence.groupBy("match_id", "innings_number", "batter").agg(
+        F.min("ball_in_innings").alias("first_appearance"))
+
+
+@query("first_value_window")
+def _first_value_window(w: World) -> DataFrame:
+    """FIRST_VALUE(first_appearance) OVER (PARTITION BY match, innings, player ORDER BY
+    first_appearance) on every role row (before the batting-order filter)."""
+    firsts = role_first_steps(w.sequence, ["match_id", "innings_number"], "ball_in_innings",
+                              [("batter", 1), ("non_striker", 2)], earliest_only=False)
+    per_player = Window.partitionBy("match_id", "innings_number", "_actor").orderBy("_first")
+    return firsts.select(
+        "match_id", "innings_number", F.col("_actor").alias("player"),
+        F.col("_priority").alias("priority"), F.col("_first").alias("first_appearance"),
+        F.first("_first").over(per_player).alias("min_first_appearance"))
+
+
+@query("union_distinct")
+def _union_distinct(w: World) -> DataFrame:
+    return role_first_steps(w.sequence, ["match_id", "innings_number"], "ball_in_innings",
+                            [("batter", 1), ("non_striker", 2)], earliest_only=False).select(
+        "match_id", "innings_number", F.col("_actor").alias("player"),
+        F.col("_priority").alias("priority"), F.col("_first").alias("first_appearance"))
+
+
+@query("match_scoreline")
+def _scoreline(w: World) -> DataFrame:
+    return w.match_summary.select("match_id", "scoreline")
+
+
+@query("match_result_text")
+def _result_text(w: World) -> DataFrame:
+    return w.match_summary.select("match_id", "result")
+
+
+@query("overs_display")
+def _overs(w: World) -> DataFrame:
+    return w.innings.select("match_id", "innings_number", "legal_deliveries",
+                            overs_display("legal_deliveries").alias("overs"))
+
+
+@query("economy_rate")
+def _economy(w: World) -> DataFrame:
+    return w.bowling_scorecard.select("match_id", "innings_number", "bowler", "balls", "runs",
+                                      F.col("economy").cast("double").alias("economy"))
+
+
+@query("surrogate_key")
+def _surrogate_key(w: World) -> DataFrame:
+    return w.match_players.select("match_id", "player_name", "match_player_id",
+                                  surrogate_key("player_id", "team").alias("player_team_key"))
+
+
+@query("distinct_on")
+def _distinct_on(w: World) -> DataFrame:
+    """Latest event per user (DISTINCT ON user ORDER BY ts DESC, event_id DESC)."""
+    e = w.table("events")
+    return distinct_on(e, ["user_id"], ["ts", "event_id"], descending=True,
+                       columns=["user_id", "event_id", "event_type", "value"])
+
+
+@query("running_count_ties")
+def _running_count_ties(w: World) -> DataFrame:
+    """COUNT(*) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber): duplicated line
+    numbers are peers and share a value."""
+    li = w.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return running_count(li, ["l_orderkey"], ["l_linenumber"], "n")
+
+
+@query("lateral_map_explode")
+def _map_explode(w: World) -> DataFrame:
+    return w.stg_match_info.select(
+        "match_id", F.explode("info.players").alias("team", "names")).select(
+        "match_id", "team", F.size("names").alias("n_listed"))
+
+
+@query("map_dynamic_lookup")
+def _map_lookup(w: World) -> DataFrame:
+    t = w.stg_match_info.select("match_id", F.col("info.registry.people").alias("people"),
+                                F.explode("info.players").alias("team", "names"))
+    return t.select("match_id", F.explode("names").alias("player_name"), "people").select(
+        "match_id", "player_name",
+        F.try_element_at("people", F.col("player_name")).alias("player_id"))
+
+
+@query("opponent_lookup")
+def _opponent(w: World) -> DataFrame:
+    t = w.stg_match_info.select("match_id", F.col("info.teams").alias("teams"),
+                                F.posexplode("info.teams").alias("pos", "team"))
+    return t.select("match_id", "team", opponent("teams", "pos").alias("opponent"))
+
+
+@query("lateral_with_ordinality")
+def _ordinality(w: World) -> DataFrame:
+    t = w.stg_match_info.select("match_id", F.posexplode("info.teams").alias("pos", "team"))
+    return t.select("match_id", "team", (F.col("pos") + 1).cast("bigint").alias("position"))
+
+
+# --- sources, files, registry, seeds --------------------------------------------------------
+
+for _name, _fn in [
+    ("content_fingerprint", sc.content_fingerprint),
+    ("new_files_anti_join", sc.new_files_anti_join),
+    ("registry_append", sc.registry_append),
+    ("not_in_null_semantics", sc.not_in_null_semantics),
+    ("match_id_try_cast", sc.match_id_try_cast),
+    ("to_date_parse", sc.to_date_parse),
+    ("json_path_extract", sc.json_path_extract),
+    ("venue_insert_if_absent", sc.upserted_src_venues),
+    ("seed_new_venues", sc.seed_new_venues),
+    ("seed_new_cities", sc.seed_new_cities),
+    ("except_distinct", sc.except_distinct),
+    ("venue_semi_join", sc.venue_semi_join),
+    ("raw_roundtrip_flatten", sc.raw_roundtrip_flatten),
+    ("match_doc_load", sc.match_doc_load),
+    ("malformed_innings_quarantine", sc.malformed_innings_quarantine),
+    ("first_wicket", sc.first_wicket),
+    ("legal_ball_predicate", sc.legal_ball_predicate),
+    ("anti_join_new_hash", sc.anti_join_new_hash),
+    ("append_new_only", sc.append_new_only),
+    ("upsert_by_key", sc.upsert_by_key_scenario),
+    ("replace_by_match", sc.replace_by_match_scenario),
+]:
+    query(_name)(_fn)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

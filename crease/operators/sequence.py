@@ -80,6 +80,27 @@ def _running_count_split(df: DataFrame, p: list[str], o: list[str], out: str,
     return df.join(numbered, cond, "inner").drop(*[f"_k_{c}" for c in p + o])
 
 
+def role_first_steps(events: DataFrame, partition_by: list[str], seq_col: str,
+                     actors: list[tuple[str, int]], earliest_only: bool = True) -> DataFrame:
+    """Per (partition, actor, role): the first step (``_first``). Roles come from one
+    scan (explode of an array of (actor, priority) structs) rather than a UNION of two
+    scans; the rows are already distinct, as the SQL UNION requires. With
+    ``earliest_only``, ``_min_first`` = the actor's earliest step over all roles
+    (FIRST_VALUE over the actor's roles ordered by step) and only roles at it are kept."""
+    p = list(partition_by)
+    roles = F.array(*[F.struct(F.col(c).alias("_actor"), F.lit(pr).alias("_priority"))
+                      for c, pr in actors])
+    firsts = (events.select(*p, seq_col, F.explode(roles).alias("_r"))
+              .select(*p, seq_col, "_r._actor", "_r._priority")
+              .groupBy(*p, "_actor", "_priority")
+              .agg(F.min(seq_col).alias("_first")))
+    if not earliest_only:
+        return firsts
+    per_actor = Window.partitionBy(*p, "_actor").orderBy("_first")
+    return (firsts.withColumn("_min_first", F.first("_first").over(per_actor))
+            .filter(F.col("_first") == F.col("_min_first")))
+
+
 def appearance_order(events: DataFrame, partition_by: list[str], seq_col: str,
                      actors: list[tuple[str, int]], name_out: str, pos_out: str,
                      strategy: str = "auto") -> DataFrame:
@@ -92,15 +113,7 @@ def appearance_order(events: DataFrame, partition_by: list[str], seq_col: str,
     The per-actor minimum is a partial aggregate; the window that compares an actor's
     roles has at most ``len(actors)`` rows per partition."""
     p = list(partition_by)
-    roles = F.array(*[F.struct(F.col(c).alias("_actor"), F.lit(pr).alias("_priority"))
-                      for c, pr in actors])
-    firsts = (events.select(*p, seq_col, F.explode(roles).alias("_r"))
-              .select(*p, seq_col, "_r._actor", "_r._priority")
-              .groupBy(*p, "_actor", "_priority")
-              .agg(F.min(seq_col).alias("_first")))
-    per_actor = Window.partitionBy(*p, "_actor").orderBy("_first")
-    earliest = (firsts.withColumn("_min_first", F.first("_first").over(per_actor))
-                .filter(F.col("_first") == F.col("_min_first")))
+    earliest = role_first_steps(events, p, seq_col, actors)
     numbered = running_count(earliest, p, ["_min_first", "_priority"], pos_out,
                              strategy=strategy)
     return numbered.select(*p, F.col("_actor").alias(name_out), F.col(pos_out))

@@ -272,5 +272,200 @@ ORDER BY dots DESC NULLS FIRST, dot_ball_pct DESC NULLS FIRST, bowler ASC NULLS
 LIMIT 10"""
 
 
+# --- junctions and dimensions -------------------------------------------------------------
+CTES["squad"] = """
+SELECT 'P' || CAST(i AS VARCHAR) AS pa, 'Q' || CAST(i AS VARCHAR) AS pb FROM range(11) t(i)"""
+
+CTES["listed"] = """
+SELECT fm.match_id, fm.hash_id, fm.format, fm.team_a AS team, squad.pa AS player_name FROM fm, squad
+UNION ALL
+SELECT fm.match_id, fm.hash_id, fm.format, fm.team_b AS team, squad.pb AS player_name FROM fm, squad"""
+
+CTES["listed_ids"] = """
+SELECT *, CASE WHEN player_name LIKE '%10' THEN NULL ELSE 'id_' || player_name END AS player_id
+FROM listed"""
+
+CTES["imp"] = f"""
+SELECT DISTINCT ON (match_id, player_id)
+       {sk('match_id', 'player_name')} AS match_player_id, match_id, hash_id, player_id,
+       player_name, team, format
+FROM listed_ids
+ORDER BY match_id, player_id, team, player_name"""
+
+CTES["team_rows"] = """
+SELECT match_id, hash_id, format, team_a AS team, 1 AS position, team_b AS opponent,
+       toss_winner, toss_decision, winner FROM fm
+UNION ALL
+SELECT match_id, hash_id, format, team_b AS team, 2 AS position, team_a AS opponent,
+       toss_winner, toss_decision, winner FROM fm"""
+
+CTES["imt"] = f"""
+SELECT DISTINCT ON (match_id, team)
+       {sk('match_id', 'team')} AS match_team_id, hash_id, match_id, format, team, opponent,
+       CASE WHEN toss_winner = team THEN toss_decision = 'bat'
+            ELSE toss_decision = 'field' END AS batted_first,
+       (winner = team) AS won_match
+FROM team_rows
+WHERE match_id IN (SELECT fm.match_id FROM fm JOIN iv ON fm.venue = iv.venue_name)
+ORDER BY match_id, team, position"""
+
+CTES["it"] = f"""
+SELECT DISTINCT ON (team, format) {sk('team', 'format')} AS team_id, hash_id, team, format
+FROM imt ORDER BY team, format, match_id DESC, hash_id DESC"""
+
+CTES["ip"] = """
+SELECT DISTINCT ON (it.team_id, imp.player_id)
+       it.team_id, imp.player_id, imp.hash_id, imp.player_name, imp.team, imp.format
+FROM imp JOIN it ON imp.team = it.team AND imp.format = it.format
+ORDER BY it.team_id, imp.player_id, imp.match_id DESC, imp.player_name DESC"""
+
+SQL["stg_match_info"] = """
+SELECT match_id, hash_id, format, venue, city, strftime(start_date, '%Y-%m-%d') AS first_date,
+       team_a, team_b, toss_winner
+FROM fm"""
+SQL["int_match_teams"] = "SELECT * FROM imt"
+SQL["int_match_players"] = "SELECT * FROM imp"
+SQL["int_teams"] = "SELECT * FROM it"
+SQL["int_players"] = "SELECT * FROM ip"
+
+# --- operators on model data ---------------------------------------------------------------
+SQL["outcome_type_case"] = "SELECT match_id, outcome_type FROM im"
+SQL["count_filter"] = """
+SELECT match_id, innings_number, CAST(count(*) FILTER (WHERE is_legal) AS BIGINT) AS legal_deliveries
+FROM fd GROUP BY match_id, innings_number"""
+SQL["conditional_sums"] = """
+SELECT match_id, innings_number, bowler,
+       CAST(sum(CASE WHEN is_legal THEN 1 ELSE 0 END) AS BIGINT) AS balls,
+       CAST(sum(CASE WHEN is_legal AND batter_runs = 0 THEN 1 ELSE 0 END) AS BIGINT) AS dots,
+       CAST(sum(CASE WHEN wides > 0 THEN 1 ELSE 0 END) AS BIGINT) AS wide_balls,
+       CAST(sum(CASE WHEN noballs > 0 THEN 1 ELSE 0 END) AS BIGINT) AS noball_balls,
+       CAST(sum(CASE WHEN wides = 0 THEN 1 ELSE 0 END) AS BIGINT) AS faced
+FROM fd GROUP BY match_id, innings_number, bowler"""
+SQL["first_appearance"] = """
+SELECT match_id, innings_number, batter, min(ball_in_innings) AS first_appearance
+FROM seq GROUP BY match_id, innings_number, batter"""
+SQL["first_value_window"] = """
+SELECT match_id, innings_number, player, priority, first_appearance,
+       first_value(first_appearance) OVER (PARTITION BY match_id, innings_number, player
+                                           ORDER BY first_appearance) AS min_first_appearance
+FROM bo_first"""
+SQL["union_distinct"] = "SELECT * FROM bo_first"
+SQL["match_scoreline"] = "SELECT match_id, scoreline FROM summary"
+SQL["match_result_text"] = "SELECT match_id, result FROM summary"
+SQL["overs_display"] = f"""
+SELECT match_id, innings_number, legal_deliveries, {overs('legal_deliveries')} AS overs FROM ii"""
+SQL["economy_rate"] = "SELECT match_id, innings_number, bowler, balls, runs, economy FROM ws"
+SQL["surrogate_key"] = f"""
+SELECT match_id, player_name, match_player_id, {sk('player_id', 'team')} AS player_team_key
+FROM imp"""
+SQL["distinct_on"] = """
+SELECT DISTINCT ON (user_id) user_id, event_id, event_type, value
+FROM events ORDER BY user_id, ts DESC, event_id DESC"""
+SQL["running_count_ties"] = """
+SELECT l_orderkey, l_linenumber, l_partkey,
+       count(*) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS n
+FROM lineitem"""
+SQL["lateral_map_explode"] = """
+SELECT match_id, team_a AS team, 11 AS n_listed FROM fm
+UNION ALL SELECT match_id, team_b AS team, 11 AS n_listed FROM fm"""
+SQL["map_dynamic_lookup"] = "SELECT match_id, player_name, player_id FROM listed_ids"
+SQL["opponent_lookup"] = "SELECT match_id, team, opponent FROM team_rows"
+SQL["lateral_with_ordinality"] = "SELECT match_id, team, CAST(position AS BIGINT) AS position FROM team_rows"
+
+# --- sources, files, registry, seeds ---------------------------------------------------------
+CTES["docs"] = """
+SELECT doc_id, CAST(doc_id AS VARCHAR) || '.txt' AS filename, md5(text) AS file_hash FROM documents"""
+CTES["known"] = "SELECT filename, file_hash FROM docs WHERE doc_id % 2 = 0"
+
+SQL["content_fingerprint"] = "SELECT doc_id, file_hash FROM docs"
+SQL["new_files_anti_join"] = """
+SELECT doc_id, file_hash FROM docs WHERE file_hash NOT IN (SELECT file_hash FROM known)"""
+SQL["registry_append"] = """
+SELECT filename, file_hash FROM known
+UNION ALL
+SELECT filename, file_hash FROM docs WHERE file_hash NOT IN (SELECT file_hash FROM known)"""
+SQL["not_in_null_semantics"] = """
+SELECT (SELECT CAST(count(*) AS BIGINT) FROM docs
+        WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.file_hash = docs.file_hash)) AS n_left_anti,
+       (SELECT CAST(count(*) AS BIGINT) FROM docs
+        WHERE file_hash NOT IN (SELECT file_hash FROM known
+                                UNION ALL SELECT CAST(NULL AS VARCHAR))) AS n_not_in"""
+SQL["match_id_try_cast"] = """
+SELECT page_id, regexp_extract(url, '([^/]+)$', 1) AS filename,
+       TRY_CAST(regexp_replace(regexp_extract(url, '([^/]+)$', 1), '\.json$', '') AS INTEGER) AS match_id
+FROM pages"""
+SQL["to_date_parse"] = """
+SELECT o_orderkey,
+       CAST(TRY_STRPTIME(CASE WHEN o_orderkey % 10 = 0 THEN 'not-a-date'
+                              ELSE strftime(o_orderdate, '%Y-%m-%d') END, '%Y-%m-%d') AS DATE) AS start_date
+FROM orders"""
+SQL["json_path_extract"] = """
+SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"""
+
+CTES["inc"] = """
+SELECT CAST(fm.match_id AS VARCHAR) || '.json' AS filename, fm.venue AS venue_name,
+       CASE WHEN nation.n_nationkey % 4 = 0 THEN NULL
+            WHEN nation.n_nationkey % 4 = 1 THEN ''
+            ELSE fm.city || ' ' || CAST(fm.match_id % 3 AS VARCHAR) END AS city
+FROM fm JOIN nation ON fm.venue = nation.n_name"""
+CTES["inc_first"] = """
+SELECT DISTINCT ON (venue_name) venue_name, city FROM inc ORDER BY venue_name, filename"""
+CTES["new_names"] = "SELECT venue_name FROM inc EXCEPT SELECT venue_name FROM vc"
+CTES["vc_new"] = """
+SELECT venue_name, city FROM vc
+UNION ALL
+SELECT venue_name, coalesce(nullif(city, ''), venue_name || '-CITY') AS city
+FROM inc_first WHERE venue_name IN (SELECT venue_name FROM inc_first EXCEPT SELECT venue_name FROM vc)"""
+
+SQL["venue_insert_if_absent"] = """
+SELECT venue_name, city FROM vc
+UNION ALL
+SELECT venue_name, city FROM inc_first WHERE venue_name NOT IN (SELECT venue_name FROM vc)"""
+SQL["seed_new_venues"] = "SELECT * FROM vc_new"
+SQL["seed_new_cities"] = """
+SELECT city, country FROM cc
+UNION ALL
+SELECT DISTINCT city, 'UNKNOWN' AS country FROM vc_new
+WHERE city IS NOT NULL AND city <> '' AND city NOT IN (SELECT city FROM cc)"""
+SQL["except_distinct"] = "SELECT venue_name FROM new_names"
+SQL["venue_semi_join"] = """
+SELECT filename, venue_name, city FROM inc WHERE venue_name IN (SELECT venue_name FROM new_names)"""
+
+SQL["raw_roundtrip_flatten"] = "SELECT * FROM fd"
+CTES["per_match"] = """
+SELECT fm.match_id, fm.venue, fm.format, fm.start_date,
+       count(DISTINCT fd.innings_number) AS n_inn, count(fd.match_id) AS n_balls
+FROM fm LEFT JOIN fd ON fm.match_id = fd.match_id
+GROUP BY fm.match_id, fm.venue, fm.format, fm.start_date"""
+SQL["match_doc_load"] = """
+SELECT match_id, venue, format, strftime(start_date, '%Y-%m-%d') AS first_date,
+       CAST(n_inn AS INTEGER) AS n_innings
+FROM per_match"""
+SQL["malformed_innings_quarantine"] = """
+SELECT CASE WHEN match_id % 13 = 5 THEN 'm' ELSE '' END || CAST(match_id AS VARCHAR) || '.json' AS filename,
+       CASE WHEN match_id % 13 = 5 THEN 'match id not integer'
+            WHEN match_id % 7 = 3 AND n_inn >= 2 THEN 'innings without overs'
+            ELSE 'loaded' END AS status,
+       CAST(CASE WHEN match_id % 13 = 5 OR (match_id % 7 = 3 AND n_inn >= 2) THEN 0
+                 ELSE n_balls END AS BIGINT) AS n_balls
+FROM per_match"""
+SQL["first_wicket"] = """
+SELECT match_id, innings_number, over_number, ball_in_over, player_out, dismissal_mode
+FROM fd WHERE player_out IS NOT NULL"""
+SQL["legal_ball_predicate"] = """
+SELECT match_id, innings_number, over_number, ball_in_over,
+       (wides_raw IS NULL AND noballs_raw IS NULL AND byes_raw IS NULL) AS is_legal,
+       CAST(coalesce(wides_raw, 0) AS INTEGER) AS wides,
+       CAST(coalesce(noballs_raw, 0) AS INTEGER) AS noballs,
+       CAST(coalesce(byes_raw, 0) AS INTEGER) AS byes
+FROM fd_raw"""
+SQL["anti_join_new_hash"] = """
+SELECT match_id, innings_number, over_number, ball_in_over, hash_id
+FROM fd WHERE hash_id NOT IN (SELECT hash_id FROM fd WHERE match_id % 2 = 0)"""
+SQL["append_new_only"] = "SELECT * FROM fd"
+SQL["upsert_by_key"] = "SELECT * FROM fd"
+SQL["replace_by_match"] = "SELECT * FROM fd"
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: with_ctes(v) for k, v in SQL.items()}

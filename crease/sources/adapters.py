@@ -46,15 +46,17 @@ def largest_innings(spark: SparkSession, sf_dir: str) -> int:
     return _LARGEST[key]
 
 
-def fd_raw(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> DataFrame:
-    """Balls with raw (nullable) extras, before the staging defaults."""
+def fd_raw(spark: SparkSession, sf_dir: str, strategy: str = "auto",
+           keep_line: bool = False) -> DataFrame:
+    """Balls with raw (nullable) extras, before the staging defaults. ``keep_line``
+    also returns the source line number as ``_ln``."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
         "l_shipdate")
     seq = running_count(li, ["l_suppkey", "l_linestatus"], FD_ORDER, "_pos",
                         strategy=strategy)
-    return seq.selectExpr(*FD_EXPRS)
+    return seq.selectExpr(*FD_EXPRS, *(["l_linenumber AS _ln"] if keep_line else []))
 
 
 # Balls from lineitem rows (SQL expressions: one JVM call per column, not per operator).
@@ -221,25 +223,33 @@ def match_documents(spark: SparkSession, sf_dir: str, fd: DataFrame | None = Non
     its size is bounded by the match, not by the table."""
     fd = fd if fd is not None else fd_raw(spark, sf_dir)
     fm = fm if fm is not None else fm_matches(spark, sf_dir)
+    def by_first(arr, key: str):
+        """Sort an array of structs by one orderable field (the payload holds maps,
+        which have no ordering)."""
+        return F.array_sort(arr, lambda a, b: F.when(a[key] < b[key], -1)
+                            .when(a[key] > b[key], 1).otherwise(0))
+
     balls = fd.select("match_id", "innings_number", "team", "super_over", "over_number",
                       "ball_in_over", delivery_struct().alias("d"))
     overs = (balls.groupBy("match_id", "innings_number", "over_number")
              .agg(F.first("team").alias("team"), F.first("super_over").alias("super_over"),
-                  F.array_sort(F.collect_list(F.struct("ball_in_over", "d"))).alias("b"))
+                  by_first(F.collect_list(F.struct("ball_in_over", "d")), "ball_in_over")
+                  .alias("b"))
              .select("match_id", "innings_number", "team", "super_over",
                      F.struct(F.col("over_number").alias("over"),
                               F.transform("b", lambda x: x["d"]).alias("deliveries"))
                      .alias("o"), "over_number"))
     innings = (overs.groupBy("match_id", "innings_number")
                .agg(F.first("team").alias("team"), F.first("super_over").alias("super_over"),
-                    F.array_sort(F.collect_list(F.struct("over_number", "o"))).alias("os"))
+                    by_first(F.collect_list(F.struct("over_number", "o")), "over_number")
+                    .alias("os"))
                .select("match_id", "innings_number",
                        F.struct("team", "super_over",
                                 F.transform("os", lambda x: x["o"]).alias("overs"))
                        .alias("inn")))
     per_match = (innings.groupBy("match_id")
-                 .agg(F.array_sort(F.collect_list(F.struct("innings_number", "inn")))
-                      .alias("is"))
+                 .agg(by_first(F.collect_list(F.struct("innings_number", "inn")),
+                               "innings_number").alias("is"))
                  .select("match_id", F.transform("is", lambda x: x["inn"]).alias("innings")))
     return (fm.join(per_match, "match_id", "left")
             .select("match_id", "hash_id",
