@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 from crease.functions import count_when, opponent, overs_display, surrogate_key
 from crease.operators.dedupe import distinct_on
 from crease.operators.sequence import role_first_steps, running_count
-from crease.plans import reports
+from crease.operators import quality
+from crease.plans import pipeline, reports
 from crease.plans import scenarios as sc
 from crease.plans import staging as st
 from crease.plans.world import REPORT_EVENT, REPORT_YEAR, World
+from crease.session import scratch_path
 from crease.sources import adapters as ad
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -290,5 +292,55 @@ for _name, _fn in [
     query(_name)(_fn)
 
 
+# --- data quality ---------------------------------------------------------------------------
+
+def _models(w: World) -> dict[str, DataFrame]:
+    return {
+        "int_venues": w.venues, "int_matches": w.matches, "int_deliveries": w.deliveries,
+        "int_innings": w.innings, "int_teams": w.teams, "int_players": w.players,
+        "int_match_teams": w.match_teams, "int_match_players": w.match_players,
+        "fct_batting_scorecard": w.batting_scorecard,
+        "fct_bowling_scorecard": w.bowling_scorecard,
+        "fct_batting_order": w.batting_order, "fct_deliveries_sequence": w.sequence,
+        "fct_dismissed_players": w.dismissed, "fct_bowling_order": w.bowling_order,
+        "fct_match_summary": w.match_summary,
+    }
+
+
+for _key, _kind in [("dq_unique", "unique"), ("dq_not_null", "not_null"),
+                    ("dq_relationships", "relationships"),
+                    ("dq_unique_combination", "unique_combination"),
+                    ("dq_country_not_null", "singular")]:
+    query(_key)(lambda w, _k=_kind: quality.DECLARED.run(_models(w), {_k}))
+
+
+# --- incremental pipeline (writes a warehouse under spark.checkpoint.dir) -------------------
+
+def _two_batch_warehouse(w: World) -> pipeline.Warehouse:
+    """Files for all matches, loaded in two runs (even match ids, then odd), each run
+    followed by an incremental build of the changed matches only."""
+    wh = pipeline.Warehouse(w.spark, scratch_path(w.spark, "warehouse"))
+    pipeline.seed_initial(wh, w.venue_city, w.city_country)
+    files = sc.match_files(w).withColumn(
+        "_id", F.regexp_extract("path", r"(\d+)\.json$", 1).cast("int"))
+    for parity in (0, 1):
+        batch = files.filter(F.col("_id") % 2 == parity).drop("_id")
+        changed = pipeline.ingest(wh, batch)
+        pipeline.build(wh, changed)
+    return wh
+
+
+@query("incremental_two_batches")
+def _incremental_two_batches(w: World) -> DataFrame:
+    wh = _two_batch_warehouse(w)
+    return wh.model("int_innings").drop("hash_id")
+
+
+@query("mart_incremental_equals_full")
+def _mart_incremental(w: World) -> DataFrame:
+    wh = _two_batch_warehouse(w)
+    return wh.model("fct_batting_scorecard")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

@@ -8,6 +8,10 @@
 * ``replace_matches`` rewrites only the buckets that hold changed matches (dynamic
                     partition overwrite), replacing whole matches so a corrected file with
                     fewer balls leaves no stale rows.
+
+Buckets are match-id *ranges* (``match_id div width``): match ids grow with time, so a
+run of new matches touches the newest buckets only, and a corrected old match rewrites
+just its own bucket. Each bucket is written by one task (one file per bucket and run).
 """
 
 from __future__ import annotations
@@ -15,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BUCKETS_DEFAULT = 64
+BUCKET_WIDTH_DEFAULT = 4096   # matches per bucket; raise it for very large tables
 BUCKET_COL = "bucket"
 
 
@@ -55,19 +59,24 @@ def replace_by_match(target: DataFrame, updates: DataFrame, key: str = "match_id
         updates.select(*target.columns))
 
 
-def with_bucket(df: DataFrame, buckets: int = BUCKETS_DEFAULT, key: str = "match_id") -> DataFrame:
-    return df.withColumn(BUCKET_COL, F.pmod(F.col(key), F.lit(buckets)).cast("int"))
+def with_bucket(df: DataFrame, width: int = BUCKET_WIDTH_DEFAULT,
+                key: str = "match_id") -> DataFrame:
+    return df.withColumn(BUCKET_COL, F.floor(F.col(key) / F.lit(width)).cast("int"))
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """A table directory exists. (Dynamic partition overwrite commits partitions by
+    rename and leaves no _SUCCESS marker at the table root, so the marker is not used.)"""
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
+    return fs.exists(jpath) and len(fs.listStatus(jpath)) > 0
 
 
 def write_table(df: DataFrame, path: str, partition_by: str | None = None,
                 mode: str = "overwrite") -> None:
+    if partition_by:
+        df = df.repartition(partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(partition_by)
@@ -75,25 +84,25 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None,
 
 
 def replace_matches(spark: SparkSession, path: str, rebuilt: DataFrame,
-                    changed: DataFrame, buckets: int = BUCKETS_DEFAULT,
+                    changed: DataFrame, width: int = BUCKET_WIDTH_DEFAULT,
                     key: str = "match_id") -> None:
     """Replace the rows of ``changed`` matches in the bucketed table at ``path``.
 
     Only buckets containing a changed match are rewritten (dynamic partition
     overwrite); each rewritten bucket = its old rows minus changed matches + rebuilt
-    rows. The old rows are read from the same path; the write goes to a staging
-    directory first, so the read never overlaps the overwrite of its own files."""
-    rebuilt_b = with_bucket(rebuilt, buckets, key)
+    rows. Dynamic overwrite writes new files to a job staging directory and swaps the
+    touched partitions in only at job commit, after every task has finished reading the
+    old files, so reading and replacing the same partitions in one job is safe (a
+    static overwrite of a path being read is not, and is never used)."""
+    rebuilt_b = with_bucket(rebuilt, width, key)
     if not table_exists(spark, path):
         write_table(rebuilt_b, path, BUCKET_COL)
         return
     old = spark.read.parquet(path)
-    touched_buckets = with_bucket(changed.select(key).distinct(), buckets, key).select(
+    touched_buckets = with_bucket(changed.select(key).distinct(), width, key).select(
         BUCKET_COL).distinct()
     keep = (old.join(touched_buckets, BUCKET_COL, "left_semi")
             .join(changed.select(key).distinct(), key, "left_anti"))
     merged = keep.unionByName(rebuilt_b.select(*old.columns))
-    staging = path.rstrip("/") + "__staging"
-    write_table(merged, staging, BUCKET_COL)
-    (spark.read.parquet(staging).write.mode("overwrite").partitionBy(BUCKET_COL)
+    (merged.repartition(BUCKET_COL).write.mode("overwrite").partitionBy(BUCKET_COL)
      .option("partitionOverwriteMode", "dynamic").parquet(path))

@@ -467,5 +467,67 @@ SQL["upsert_by_key"] = "SELECT * FROM fd"
 SQL["replace_by_match"] = "SELECT * FROM fd"
 
 
+# --- data-quality suite ------------------------------------------------------------------
+CTES["dq_iv"] = "SELECT *, TIMESTAMP '2025-01-01 00:00:00' AS last_update FROM iv"
+CTES["dq_it"] = "SELECT *, TIMESTAMP '2025-01-01 00:00:00' AS last_update FROM it"
+MODEL_CTE = {
+    "int_venues": "dq_iv", "int_matches": "im", "int_deliveries": "fd", "int_innings": "ii",
+    "int_teams": "dq_it", "int_players": "ip", "int_match_teams": "imt",
+    "int_match_players": "imp", "fct_batting_scorecard": "bs", "fct_bowling_scorecard": "ws",
+    "fct_batting_order": "bo", "fct_deliveries_sequence": "seq", "fct_dismissed_players": "dp",
+    "fct_bowling_order": "wo", "fct_match_summary": "summary",
+}
+
+
+def _dq_sql(kind: str) -> str:
+    from crease.operators.quality import DECLARED
+    parts = []
+
+    def head(test, model, col):
+        return f"SELECT '{test}' AS test, '{model}' AS model, '{col}' AS column_name, "
+
+    if kind == "unique":
+        for m, c in DECLARED.unique:
+            parts.append(head("unique", m, c) + f"CAST(count(*) AS BIGINT) AS failures FROM "
+                         f"(SELECT {c} FROM {MODEL_CTE[m]} WHERE {c} IS NOT NULL "
+                         f"GROUP BY {c} HAVING count(*) > 1) t")
+    if kind == "not_null":
+        for m, cols in DECLARED.not_null:
+            for c in cols:
+                parts.append(head("not_null", m, c) + f"CAST(count(*) FILTER (WHERE {c} IS NULL) "
+                             f"AS BIGINT) AS failures FROM {MODEL_CTE[m]}")
+    if kind == "relationships":
+        for m, c, pm, f in DECLARED.relationships:
+            parts.append(head(f"relationships:{pm}.{f}", m, c)
+                         + f"CAST(count(*) AS BIGINT) AS failures FROM {MODEL_CTE[m]} ch "
+                         f"WHERE ch.{c} IS NOT NULL AND ch.{c} NOT IN "
+                         f"(SELECT {f} FROM {MODEL_CTE[pm]} WHERE {f} IS NOT NULL)")
+    if kind == "unique_combination":
+        for m, cols in DECLARED.unique_combination:
+            cl = ", ".join(cols)
+            parts.append(head("unique_combination", m, ",".join(cols))
+                         + f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT {cl} FROM "
+                         f"{MODEL_CTE[m]} GROUP BY {cl} HAVING count(*) > 1) t")
+    if kind == "singular":
+        for name, m, cond in DECLARED.singular:
+            parts.append(head(name, m, "") + f"CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) "
+                         f"AS failures FROM {MODEL_CTE[m]}")
+    return "\nUNION ALL\n".join(parts)
+
+
+SQL["dq_unique"] = _dq_sql("unique")
+SQL["dq_not_null"] = _dq_sql("not_null")
+SQL["dq_relationships"] = _dq_sql("relationships")
+SQL["dq_unique_combination"] = _dq_sql("unique_combination")
+SQL["dq_country_not_null"] = _dq_sql("singular")
+
+# --- incremental pipeline -----------------------------------------------------------------
+SQL["incremental_two_batches"] = """
+SELECT match_id, innings_number, team, super_over, runs_scored, wickets_lost, legal_deliveries,
+       wides, noballs, byes, legbyes, extras
+FROM ii"""
+SQL["mart_incremental_equals_full"] = "SELECT * FROM bs"
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: with_ctes(v) for k, v in SQL.items()}

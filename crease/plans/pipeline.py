@@ -5,7 +5,7 @@ Layout under ``root`` (a shared folder, e.g. under ``spark.checkpoint.dir``):
     raw/registry/v=N        (filename, file_hash, ingested_at)        small, versioned
     raw/src_venues/v=N      (venue_name, city)                          small, versioned
     raw/quarantine          (filename, file_hash, reason)               append
-    raw/matches             bucket-partitioned by pmod(match_id, B)    replace-by-match
+    raw/matches             partitioned by bucket = match_id div W     replace-by-match
     raw/deliveries          bucket-partitioned                          replace-by-match
     seeds/venue_city/v=N, seeds/city_country/v=N                        small, versioned
     models/<name>           match-grain models, bucket-partitioned     replace-by-match
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crease import schemas
-from crease.operators.incremental import BUCKETS_DEFAULT, replace_matches, table_exists
+from crease.operators.incremental import BUCKET_WIDTH_DEFAULT, replace_matches, table_exists
 from crease.plans import intermediate as im
 from crease.plans import marts as mt
 from crease.plans import staging as st
@@ -77,7 +77,7 @@ def write_version(df: DataFrame, path: str) -> str:
 class Warehouse:
     spark: SparkSession
     root: str
-    buckets: int = BUCKETS_DEFAULT
+    bucket_width: int = BUCKET_WIDTH_DEFAULT
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -133,9 +133,9 @@ def ingest(wh: Warehouse, files: DataFrame, on_changed: str = "replace") -> Data
     changed.write.parquet(batch + "/changed")
     changed = spark.read.parquet(batch + "/changed")
 
-    replace_matches(spark, wh.path("raw/matches"), fs.match_rows(docs), changed, wh.buckets)
+    replace_matches(spark, wh.path("raw/matches"), fs.match_rows(docs), changed, wh.bucket_width)
     replace_matches(spark, wh.path("raw/deliveries"), fs.flatten_deliveries(docs), changed,
-                    wh.buckets)
+                    wh.bucket_width)
     fs.quarantine(parsed).write.mode("append").parquet(wh.path("raw/quarantine"))
     write_version(vn.upsert_venues(wh.src_venues(), vn.batch_venues(docs)),
                   wh.path("raw/src_venues"))
@@ -182,7 +182,7 @@ def build(wh: Warehouse, changed: DataFrame | None = None) -> None:
     matches = im.int_matches(stg_m, venues)
 
     def put(name: str, df: DataFrame) -> DataFrame:
-        replace_matches(spark, wh.path("models", name), df, changed, wh.buckets)
+        replace_matches(spark, wh.path("models", name), df, changed, wh.bucket_width)
         return spark.read.parquet(wh.path("models", name)).drop("bucket").join(
             changed, "match_id", "left_semi")
 
