@@ -392,7 +392,7 @@ SELECT (SELECT CAST(count(*) AS BIGINT) FROM docs
                                 UNION ALL SELECT CAST(NULL AS VARCHAR))) AS n_not_in"""
 SQL["match_id_try_cast"] = """
 SELECT page_id, regexp_extract(url, '([^/]+)$', 1) AS filename,
-       TRY_CAST(regexp_replace(regexp_extract(url, '([^/]+)$', 1), '\.json$', '') AS INTEGER) AS match_id
+       TRY_CAST(regexp_replace(regexp_extract(url, '([^/]+)$', 1), '[.]json$', '') AS INTEGER) AS match_id
 FROM pages"""
 SQL["to_date_parse"] = """
 SELECT o_orderkey,
