@@ -33,14 +33,13 @@ def unique(df: DataFrame, model: str, column: str) -> DataFrame:
 
 
 def not_null(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
-    """One scan for all columns, then one output row per column."""
+    """One scan and one aggregate for all columns, unpivoted to one row per column."""
     counts = df.agg(*[count_when(F.col(c).isNull()).alias(f"_n{i}")
                       for i, c in enumerate(columns)])
-    rows = [_row(counts, "not_null", model, c, F.col(f"_n{i}")) for i, c in enumerate(columns)]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    pairs = ", ".join(f"'{c}', _n{i}" for i, c in enumerate(columns))
+    return counts.selectExpr(f"stack({len(columns)}, {pairs}) AS (column_name, failures)").select(
+        F.lit("not_null").alias("test"), F.lit(model).alias("model"), "column_name",
+        F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures"))
 
 
 def relationships(df: DataFrame, model: str, column: str, parent: DataFrame,
