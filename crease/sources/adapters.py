@@ -50,11 +50,15 @@ def fd_raw(spark: SparkSession, sf_dir: str, strategy: str = "auto",
            keep_line: bool = False) -> DataFrame:
     """Balls with raw (nullable) extras, before the staging defaults. ``keep_line``
     also returns the source line number as ``_ln``."""
-    li = read_table(spark, sf_dir, "lineitem").select(
+    # Partition the position window by the derived (match_id, innings_number) rather
+    # than the raw columns, so the ball-sequence window and per-innings aggregates
+    # downstream reuse this exchange instead of shuffling the balls again.
+    li = read_table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
-        "l_shipdate")
-    seq = running_count(li, ["l_suppkey", "l_linestatus"], FD_ORDER, "_pos",
+        "l_shipdate", "CAST(l_suppkey AS INT) AS match_id",
+        f"CAST({_INN} AS INT) AS innings_number")
+    seq = running_count(li, ["match_id", "innings_number"], FD_ORDER, "_pos",
                         strategy=strategy)
     return seq.selectExpr(*FD_EXPRS, *(["l_linenumber AS _ln"] if keep_line else []))
 
@@ -65,12 +69,12 @@ _WIDE = "l_partkey % 17 = 0"
 _OUT = "l_orderkey % 19 = 0"
 _DISMISSALS = ", ".join(f"'{k}'" for k in DISMISSAL_BY_LINE)
 FD_EXPRS = [
-    "CAST(l_suppkey AS INT) AS match_id",
-    "md5(CAST(CAST(l_suppkey AS INT) AS STRING)) AS hash_id",
-    f"CAST({_INN} AS INT) AS innings_number",
+    "match_id",
+    "md5(CAST(match_id AS STRING)) AS hash_id",
+    "innings_number",
     "CAST((_pos - 1) DIV 6 AS INT) AS over_number",
     "CAST((_pos - 1) % 6 AS INT) AS ball_in_over",
-    f"concat('T', CAST((CAST(l_suppkey AS INT) + {_INN}) % 10 AS STRING)) AS team",
+    "concat('T', CAST((match_id + innings_number) % 10 AS STRING)) AS team",
     "CAST(NULL AS BOOLEAN) AS super_over",
     f"concat('P', CAST(l_partkey % {SQUAD} AS STRING)) AS batter",
     f"concat('P', CAST((l_partkey + 1 + l_linenumber) % {SQUAD} AS STRING)) AS non_striker",
