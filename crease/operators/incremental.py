@@ -11,7 +11,8 @@
 
 Buckets are match-id *ranges* (``match_id div width``): match ids grow with time, so a
 run of new matches touches the newest buckets only, and a corrected old match rewrites
-just its own bucket. Each bucket is written by one task (one file per bucket and run).
+just its own bucket. Writes use the REBALANCE hint on the bucket column: AQE coalesces
+small buckets into few files and splits a skewed (hot) bucket across several tasks.
 """
 
 from __future__ import annotations
@@ -76,7 +77,7 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 def write_table(df: DataFrame, path: str, partition_by: str | None = None,
                 mode: str = "overwrite") -> None:
     if partition_by:
-        df = df.repartition(partition_by)
+        df = df.hint("rebalance", partition_by)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(partition_by)
@@ -104,5 +105,5 @@ def replace_matches(spark: SparkSession, path: str, rebuilt: DataFrame,
     keep = (old.join(touched_buckets, BUCKET_COL, "left_semi")
             .join(changed.select(key).distinct(), key, "left_anti"))
     merged = keep.unionByName(rebuilt_b.select(*old.columns))
-    (merged.repartition(BUCKET_COL).write.mode("overwrite").partitionBy(BUCKET_COL)
+    (merged.hint("rebalance", BUCKET_COL).write.mode("overwrite").partitionBy(BUCKET_COL)
      .option("partitionOverwriteMode", "dynamic").parquet(path))

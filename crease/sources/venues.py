@@ -78,3 +78,15 @@ def read_city_country(spark: SparkSession, path: str) -> DataFrame:
 
 def empty(spark: SparkSession, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
+
+
+def write_seed(df: DataFrame, path: str) -> None:
+    """Write a seed as a CSV directory with a header line in every part file (read back
+    with ``read_seed``)."""
+    df.write.mode("overwrite").option("header", True).csv(path)
+
+
+def init_seeds(spark: SparkSession, venue_city_path: str, city_country_path: str) -> None:
+    """Header-only seed files (the state before any refresh)."""
+    write_seed(empty(spark, schemas.VENUE_CITY), venue_city_path)
+    write_seed(empty(spark, schemas.CITY_COUNTRY), city_country_path)

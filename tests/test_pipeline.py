@@ -141,3 +141,21 @@ def test_landing_stream_available_now(spark, tmpdir_path):
     q.awaitTermination(300)
     s = {r.match_id: r.result for r in wh.model("fct_match_summary").collect()}
     assert s == {2001: "A won by 5 runs"}
+
+
+def test_seed_csv_round_trip(spark, tmpdir_path):
+    from crease.sources import venues as vn
+    vc, cc = os.path.join(tmpdir_path, "venue_city"), os.path.join(tmpdir_path, "city_country")
+    vn.init_seeds(spark, vc, cc)
+    assert vn.read_venue_city(spark, vc).count() == 0
+    src = spark.createDataFrame([("Eden Gardens", "Kolkata"), ("Lord's", None),
+                                 ("Oval", "")], "venue_name string, city string")
+    vn.write_seed(vn.refresh_venue_city(src, vn.read_venue_city(spark, vc)), vc + "_v2")
+    got = {r.venue_name: r.city for r in vn.read_venue_city(spark, vc + "_v2").collect()}
+    assert got == {"Eden Gardens": "Kolkata", "Lord's": "Lord's-CITY", "Oval": "Oval-CITY"}
+    cities = vn.refresh_city_country(vn.read_venue_city(spark, vc + "_v2"),
+                                     vn.read_city_country(spark, cc))
+    assert {r.city: r.country for r in cities.collect()} == {
+        "Kolkata": "UNKNOWN", "Lord's-CITY": "UNKNOWN", "Oval-CITY": "UNKNOWN"}
+    again = vn.refresh_city_country(vn.read_venue_city(spark, vc + "_v2"), cities)
+    assert again.count() == 3      # a second refresh adds nothing
