@@ -25,6 +25,8 @@ DEFAULT_CONF = {
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     # dynamic overwrite lets an upsert replace only the buckets it touched
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # checkpoint files are removed once their DataFrame is garbage-collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
