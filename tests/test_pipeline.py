@@ -159,3 +159,28 @@ def test_seed_csv_round_trip(spark, tmpdir_path):
         "Kolkata": "UNKNOWN", "Lord's-CITY": "UNKNOWN", "Oval-CITY": "UNKNOWN"}
     again = vn.refresh_city_country(vn.read_venue_city(spark, vc + "_v2"), cities)
     assert again.count() == 3      # a second refresh adds nothing
+
+
+def test_strict_parity_keeps_leading_innings(spark, tmpdir_path):
+    d = os.path.join(tmpdir_path, "strict")
+    mf.write(d, "1002.json", mf.match_no_overs())
+    parsed = fs.parse_documents(fs.scan_files(spark, d))
+    assert fs.flatten_deliveries(fs.loadable(parsed)).count() == 0    # default: quarantined
+    lead = fs.flatten_leading_innings(parsed)
+    assert {r.n_innings for r in lead.collect()} == {0}
+    assert lead.count() == 7
+
+
+def test_changed_file_under_known_name_can_fail(spark, tmpdir_path):
+    d = os.path.join(tmpdir_path, "changed")
+    mf.write(d, "1001.json", mf.match_1001())
+    files = fs.scan_files(spark, d)
+    registry = fs.registry_append(
+        spark.createDataFrame([], "filename string, file_hash string, ingested_at timestamp"),
+        files)
+    registry = spark.createDataFrame(registry.collect(), registry.schema)   # state at run start
+    mf.write(d, "1001.json", mf.match_1001(short_second_innings=True))
+    changed = fs.scan_files(spark, d)
+    assert fs.new_files(changed, registry).count() == 1               # replace (default)
+    with pytest.raises(ValueError):
+        fs.new_files(changed, registry, on_changed="error")
