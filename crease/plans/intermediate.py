@@ -118,19 +118,42 @@ def int_match_players(stg_match_info: DataFrame) -> DataFrame:
     return distinct_on(rows, ["match_id", "player_id"], ["team", "player_name"])
 
 
-def int_teams(match_teams: DataFrame) -> DataFrame:
-    """One row per (team, format); attributes from its latest match."""
+def int_teams(match_teams: DataFrame, keep_source: bool = False) -> DataFrame:
+    """One row per (team, format); attributes from its latest match. ``keep_source``
+    adds ``source_match_id`` (the survivor's match), used for incremental upkeep."""
     latest = distinct_on(match_teams, ["team", "format"], ["match_id", "hash_id"],
-                         descending=True, columns=["team", "format", "hash_id"])
-    return latest.select(surrogate_key("team", "format").alias("team_id"), "hash_id",
-                         "team", "format", F.current_timestamp().alias("last_update"))
+                         descending=True, columns=["team", "format", "hash_id", "match_id"])
+    out = latest.select(surrogate_key("team", "format").alias("team_id"), "hash_id",
+                        "team", "format", F.current_timestamp().alias("last_update"),
+                        F.col("match_id").alias("source_match_id"))
+    return out if keep_source else out.drop("source_match_id")
 
 
-def int_players(match_players: DataFrame, teams: DataFrame) -> DataFrame:
+def int_players(match_players: DataFrame, teams: DataFrame,
+                keep_source: bool = False) -> DataFrame:
     """One row per (team_id, player_id), from the player's latest match."""
     j = match_players.join(teams.select("team_id", "team", "format"), ["team", "format"])
     latest = distinct_on(j, ["team_id", "player_id"], ["match_id", "player_name"],
                          descending=True,
                          columns=["team_id", "player_id", "hash_id", "player_name", "team",
-                                  "format"])
-    return latest
+                                  "format", "match_id"])
+    out = latest.withColumnRenamed("match_id", "source_match_id")
+    return out if keep_source else out.drop("source_match_id")
+
+
+def refresh_dimension(prior: DataFrame | None, junction: DataFrame, changed: DataFrame,
+                      new_rows: DataFrame, keys: list[str], rebuild) -> DataFrame:
+    """Exact incremental upkeep of a latest-match dimension.
+
+    A key can change only if a changed match adds a candidate for it (``new_rows``) or
+    its current survivor came from a changed match. Only those keys are recomputed, from
+    the junction rows carrying them (a semi-join against the touched keys); every other
+    row is kept as is."""
+    if prior is None:
+        return rebuild(junction)
+    stale = prior.join(changed.select(F.col("match_id").alias("source_match_id")),
+                       "source_match_id", "left_semi").select(*keys)
+    touched = new_rows.select(*keys).unionByName(stale).distinct()
+    recomputed = rebuild(junction.join(touched, keys, "left_semi"))
+    kept = prior.join(touched, keys, "left_anti")
+    return kept.unionByName(recomputed.select(*prior.columns))

@@ -9,13 +9,15 @@ Layout under ``root`` (a shared folder, e.g. under ``spark.checkpoint.dir``):
     raw/deliveries          bucket-partitioned                          replace-by-match
     seeds/venue_city/v=N, seeds/city_country/v=N                        small, versioned
     models/<name>           match-grain models, bucket-partitioned     replace-by-match
-    models/<dim>/v=N        int_venues, int_teams, int_players          full rewrite
+    models/<dim>/v=N        int_venues, int_teams, int_players          new version per run
 
 ``ingest`` writes data first and the registry last: a crash before the registry write
 re-ingests the same files on the next run, and replace-by-match makes that replay
 idempotent. ``build`` recomputes only the matches that changed (every match-grain row
 depends on one match) plus matches whose venue is unresolved (so a venue added to the
-seed later is picked up), and rewrites the small dimension tables.
+seed later is picked up). The team and player dimensions are updated exactly but only
+for keys the changed matches touch (``intermediate.refresh_dimension``); each keeps the
+match its row came from (``source_match_id``).
 """
 
 from __future__ import annotations
@@ -106,6 +108,12 @@ class Warehouse:
     def city_country(self) -> DataFrame:
         return self.read_versioned("seeds/city_country", schemas.CITY_COUNTRY)
 
+    def model_or_none(self, name: str) -> DataFrame | None:
+        if name in DIM_MODELS:
+            cur = latest_version(self.spark, self.path("models", name))
+            return None if cur is None else self.spark.read.parquet(cur)
+        return self.read_table(f"models/{name}")
+
     def model(self, name: str) -> DataFrame:
         if name in DIM_MODELS:
             cur = latest_version(self.spark, self.path("models", name))
@@ -189,8 +197,8 @@ def build(wh: Warehouse, changed: DataFrame | None = None) -> None:
     deliveries = put("int_deliveries", deliveries)
     matches = put("int_matches", matches)
     innings = put("int_innings", im.int_innings(deliveries))
-    put("int_match_teams", im.int_match_teams(stg_m, venues))
-    put("int_match_players", im.int_match_players(stg_m))
+    new_teams = put("int_match_teams", im.int_match_teams(stg_m, venues))
+    new_players = put("int_match_players", im.int_match_players(stg_m))
     seq = put("fct_deliveries_sequence", mt.fct_deliveries_sequence(deliveries))
     batting_order = put("fct_batting_order", mt.fct_batting_order(seq))
     bowling_order = put("fct_bowling_order", mt.fct_bowling_order(seq))
@@ -200,11 +208,26 @@ def build(wh: Warehouse, changed: DataFrame | None = None) -> None:
     put("fct_bowling_scorecard", mt.fct_bowling_scorecard(deliveries, bowling_order))
     put("fct_match_summary", mt.fct_match_summary(matches, innings))
 
-    # dimensions: small, rebuilt whole from the junction tables
-    teams = im.int_teams(wh.model("int_match_teams"))
+    # dimensions: only keys touched by the changed matches are recomputed
+    prior_teams = wh.model_or_none("int_teams")
+    teams = im.refresh_dimension(
+        prior_teams, wh.model("int_match_teams"), changed, new_teams, ["team", "format"],
+        lambda mt_rows: im.int_teams(mt_rows, keep_source=True))
     write_version(teams, wh.path("models/int_teams"))
-    write_version(im.int_players(wh.model("int_match_players"), wh.model("int_teams")),
-                  wh.path("models/int_players"))
+    teams = wh.model("int_teams")
+    prior_players = wh.model_or_none("int_players")
+    if prior_players is not None:
+        # a team key that no longer exists takes its players with it
+        prior_players = prior_players.join(teams.select("team_id"), "team_id", "left_semi")
+    new_player_keys = new_players.join(teams.select("team_id", "team", "format"),
+                                       ["team", "format"]).select("team_id", "player_id")
+    players = im.refresh_dimension(
+        prior_players,
+        wh.model("int_match_players").join(teams.select("team_id", "team", "format"),
+                                           ["team", "format"]),
+        changed, new_player_keys, ["team_id", "player_id"],
+        lambda mp_rows: im.int_players(mp_rows.drop("team_id"), teams, keep_source=True))
+    write_version(players, wh.path("models/int_players"))
 
 
 def run(wh: Warehouse, files: DataFrame, seeds: bool = True) -> None:

@@ -123,6 +123,17 @@ def test_corrected_file_replaces_whole_match(spark, first_run):
     assert other.runs_scored == 3                       # untouched match unchanged
     reg = {r.filename: r.file_hash for r in wh.registry().collect()}
     assert len(reg) == 5
+    # incremental dimensions equal a full rebuild from the junction tables
+    from crease.plans import intermediate as im
+    full_teams = im.int_teams(wh.model("int_match_teams"), keep_source=True)
+    cols = ["team_id", "hash_id", "team", "format", "source_match_id"]
+    assert sorted(map(tuple, wh.model("int_teams").select(cols).collect())) == sorted(
+        map(tuple, full_teams.select(cols).collect()))
+    full_players = im.int_players(wh.model("int_match_players"), wh.model("int_teams"),
+                                  keep_source=True)
+    pcols = ["team_id", "player_id", "hash_id", "player_name", "source_match_id"]
+    assert sorted(map(repr, wh.model("int_players").select(pcols).collect())) == sorted(
+        map(repr, full_players.select(pcols).collect()))
 
 
 def test_unchanged_rerun_is_a_no_op(spark, first_run):
