@@ -11,6 +11,8 @@ import __spark_entry__ as entry
 from conftest import SMALL_SF
 from tools.compare import TABLES, digest
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMP"}
 SLOW = {"incremental_two_batches", "mart_incremental_equals_full"}
 KEYS = sorted(k for k in entry.queries() if os.environ.get("CREASE_SLOW") or k not in SLOW)
 
@@ -35,6 +37,11 @@ def test_key_matches_oracle(spark, con, key):
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    rel = con.sql(entry.oracle_sql()[key])
+    duck_types = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == duck_types
     assert len(srows) == len(orows)
     assert digest(df.columns, srows)[0] == digest(ocols, orows)[0]
 
