@@ -195,3 +195,16 @@ def test_changed_file_under_known_name_can_fail(spark, tmpdir_path):
     assert fs.new_files(changed, registry).count() == 1               # replace (default)
     with pytest.raises(ValueError):
         fs.new_files(changed, registry, on_changed="error")
+
+
+def test_landing_stream_in_small_micro_batches(spark, tmpdir_path):
+    landing_dir = os.path.join(tmpdir_path, "landing")
+    mf.write(landing_dir, "3001.json", mf.match_1001())
+    mf.write(landing_dir, "3002.json", mf.match_super_over_tie())
+    wh = _wh(spark)
+    q = landing.start(wh, landing_dir, scratch_path(spark, "stream-ckpt"),
+                      max_files_per_trigger=1, refresh_seeds=True)
+    q.awaitTermination(600)
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 2
+    s = {r.match_id: r.result for r in wh.model("fct_match_summary").collect()}
+    assert s == {3001: "A won by 5 runs", 3002: None}
