@@ -59,10 +59,13 @@ def int_deliveries(stg_deliveries: DataFrame) -> DataFrame:
 
 
 def int_innings(deliveries: DataFrame) -> DataFrame:
-    """Innings totals; partial aggregation per map task, then one row per innings."""
-    return deliveries.groupBy("match_id", "innings_number").agg(
-        F.min("hash_id").alias("hash_id"),
-        F.min("team").alias("team"),
+    """Innings totals; partial aggregation per map task, then one row per innings.
+
+    ``hash_id`` and ``team`` are the same on every ball of an innings (all balls of an
+    innings are flattened from one innings object of one file), so they are grouping
+    keys rather than string aggregates: every buffer is fixed-width and the aggregate
+    stays a hash aggregate instead of a sort aggregate."""
+    return deliveries.groupBy("match_id", "innings_number", "hash_id", "team").agg(
         F.min("super_over").alias("super_over"),
         F.sum("runs").cast("bigint").alias("runs_scored"),
         F.count("player_out").alias("wickets_lost"),

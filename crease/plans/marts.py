@@ -48,10 +48,10 @@ def fct_batting_scorecard(deliveries: DataFrame, batting_order: DataFrame,
                           dismissed: DataFrame) -> DataFrame:
     """Players who never faced a ball are absent (inner join); a ball counts as faced
     unless it is a wide; a player is dismissed if out on any ball of the innings."""
-    stats = deliveries.groupBy("match_id", "innings_number",
+    # team is constant within an innings (see int_innings): a key, not a string aggregate
+    stats = deliveries.groupBy("match_id", "innings_number", "team",
                                F.col("batter").alias("player_name")).agg(
         F.min("super_over").alias("_so"),
-        F.min("team").alias("team"),
         F.sum("batter_runs").cast("bigint").alias("runs"),
         count_when(F.col("wides") == 0).alias("balls"))
     out = dismissed.select("match_id", "innings_number",
