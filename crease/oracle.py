@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import re
 
+from crease.plans.world import REPORT_EVENT, REPORT_YEAR
+
 SK_NULL = "'_dbt_utils_surrogate_key_null_'"
 
 
@@ -257,7 +259,7 @@ FROM (SELECT CAST(count(*) AS BIGINT) AS innings, b.player_name AS batter,
              CAST(sum(b.runs) AS BIGINT) AS runs, CAST(sum(b.balls) AS BIGINT) AS balls,
              CAST(sum(CASE WHEN b.is_dismissed THEN 1 ELSE 0 END) AS BIGINT) AS dismissals
       FROM bs b JOIN im m USING (match_id)
-      WHERE m.event_name = 'ASIA' AND EXTRACT(YEAR FROM m.start_date) = 2025
+      WHERE m.event_name = '{REPORT_EVENT}' AND EXTRACT(YEAR FROM m.start_date) = {REPORT_YEAR}
       GROUP BY b.player_name) t
 ORDER BY runs DESC NULLS FIRST, batter ASC NULLS LAST
 LIMIT 10"""
@@ -272,7 +274,7 @@ FROM (SELECT CAST(count(*) AS BIGINT) AS innings, b.bowler,
              CAST(sum(b.runs) AS BIGINT) AS runs, CAST(sum(b.balls) AS BIGINT) AS balls,
              CAST(sum(b.wickets) AS BIGINT) AS wickets, CAST(sum(b.dots) AS BIGINT) AS dots
       FROM ws b JOIN im m USING (match_id)
-      WHERE m.event_name = 'ASIA' AND EXTRACT(YEAR FROM m.start_date) = 2025
+      WHERE m.event_name = '{REPORT_EVENT}' AND EXTRACT(YEAR FROM m.start_date) = {REPORT_YEAR}
       GROUP BY b.bowler) t
 ORDER BY dots DESC NULLS FIRST, dot_ball_pct DESC NULLS FIRST, bowler ASC NULLS LAST
 LIMIT 10"""

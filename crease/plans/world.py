@@ -33,8 +33,8 @@ def _max_group_rows(spark: SparkSession) -> int:
 SEEDED_NATIONS = 15        # venues (nations) with key below this are in the venue seed
 COUNTRY_REGIONS = 3        # regions with key below this have a real country name
 COUNTRY_SUFFIX = " LAND"
-REPORT_EVENT = "ASIA"
-REPORT_YEAR = 2025
+REPORT_EVENT = "EUROPE"        # an event with matches in the report year at every scale
+REPORT_YEAR = 2024
 LOADED_AT = "2025-01-01 00:00:00"
 # ---------------------------------------------------------------------------------------
 
