@@ -65,6 +65,19 @@ def with_bucket(df: DataFrame, width: int = BUCKET_WIDTH_DEFAULT,
     return df.withColumn(BUCKET_COL, F.floor(F.col(key) / F.lit(width)).cast("int"))
 
 
+def touched_buckets(changed: DataFrame, width: int = BUCKET_WIDTH_DEFAULT,
+                    key: str = "match_id") -> list[int]:
+    """Bucket numbers holding the changed keys: a small list (bounded by the number of
+    buckets, not by data) used as a static partition filter, so a read of a bucketed
+    table lists and scans only those partition directories."""
+    rows = with_bucket(changed.select(key), width, key).select(BUCKET_COL).distinct().collect()
+    return sorted(r[0] for r in rows if r[0] is not None)
+
+
+def in_buckets(table: DataFrame, buckets: list[int]) -> DataFrame:
+    return table.filter(F.col(BUCKET_COL).isin(buckets))
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """A table directory exists. (Dynamic partition overwrite commits partitions by
     rename and leaves no _SUCCESS marker at the table root, so the marker is not used.)"""
@@ -100,9 +113,7 @@ def replace_matches(spark: SparkSession, path: str, rebuilt: DataFrame,
         write_table(rebuilt_b, path, BUCKET_COL)
         return
     old = spark.read.parquet(path)
-    touched_buckets = with_bucket(changed.select(key).distinct(), width, key).select(
-        BUCKET_COL).distinct()
-    keep = (old.join(touched_buckets, BUCKET_COL, "left_semi")
+    keep = (in_buckets(old, touched_buckets(changed, width, key))
             .join(changed.select(key).distinct(), key, "left_anti"))
     merged = keep.unionByName(rebuilt_b.select(*old.columns))
     (merged.hint("rebalance", BUCKET_COL).write.mode("overwrite").partitionBy(BUCKET_COL)

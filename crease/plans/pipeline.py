@@ -28,7 +28,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crease import schemas
-from crease.operators.incremental import BUCKET_WIDTH_DEFAULT, replace_matches, table_exists
+from crease.operators.incremental import (BUCKET_COL, BUCKET_WIDTH_DEFAULT, in_buckets,
+                                         replace_matches, table_exists, touched_buckets,
+                                         with_bucket)
 from crease.plans import intermediate as im
 from crease.plans import marts as mt
 from crease.plans import staging as st
@@ -90,10 +92,11 @@ class Warehouse:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(cur)
 
-    def read_table(self, name: str) -> DataFrame | None:
+    def read_table(self, name: str, schema=None) -> DataFrame | None:
         p = self.path(name)
         if table_exists(self.spark, p):
-            return self.spark.read.parquet(p).drop("bucket")
+            reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+            return reader.parquet(p).drop("bucket")
         return None
 
     def registry(self) -> DataFrame:
@@ -114,13 +117,16 @@ class Warehouse:
             return None if cur is None else self.spark.read.parquet(cur)
         return self.read_table(f"models/{name}")
 
-    def model(self, name: str) -> DataFrame:
+    def model(self, name: str, schema=None) -> DataFrame:
         if name in DIM_MODELS:
             cur = latest_version(self.spark, self.path("models", name))
             return self.spark.read.parquet(cur)
-        df = self.read_table(f"models/{name}")
+        df = self.read_table(f"models/{name}", schema)
         if df is None:
-            raise FileNotFoundError(name)
+            if schema is None:
+                raise FileNotFoundError(name)
+            # written with no rows yet: an empty table of the known schema
+            return self.spark.createDataFrame([], schema).drop("bucket")
         return df
 
 
@@ -171,8 +177,8 @@ def build(wh: Warehouse, changed: DataFrame | None = None) -> None:
     write_version(venues, wh.path("models/int_venues"))
     venues = wh.model("int_venues")
 
-    raw_m = spark.read.parquet(wh.path("raw/matches")).drop("bucket")
-    raw_d = spark.read.parquet(wh.path("raw/deliveries")).drop("bucket")
+    raw_m = spark.read.parquet(wh.path("raw/matches"))
+    raw_d = spark.read.parquet(wh.path("raw/deliveries"))
     if changed is None:
         changed = raw_m.select("match_id").distinct()
     # matches whose venue was unknown are re-resolved against the current venues
@@ -184,15 +190,31 @@ def build(wh: Warehouse, changed: DataFrame | None = None) -> None:
     changed.write.parquet(ids)
     changed = spark.read.parquet(ids)
 
-    stg_m = st.stg_match_info(raw_m.join(changed, "match_id", "left_semi"))
-    deliveries = im.int_deliveries(
-        st.stg_deliveries(raw_d.join(changed, "match_id", "left_semi")))
+    # read only the partitions (buckets) holding changed matches, then semi-join the ids
+    changed_b = with_bucket(changed, wh.bucket_width)
+    buckets = touched_buckets(changed, wh.bucket_width)
+
+    def only_changed(table: DataFrame) -> DataFrame:
+        return (in_buckets(table, buckets)
+                .join(changed_b, [BUCKET_COL, "match_id"], "left_semi").drop(BUCKET_COL))
+
+    stg_m = st.stg_match_info(
+        only_changed(raw_m))
+    deliveries = im.int_deliveries(st.stg_deliveries(only_changed(raw_d)))
     matches = im.int_matches(stg_m, venues)
 
+    schemas_written: dict = {}
+
     def put(name: str, df: DataFrame) -> DataFrame:
         replace_matches(spark, wh.path("models", name), df, changed, wh.bucket_width)
-        return spark.read.parquet(wh.path("models", name)).drop("bucket").join(
-            changed, "match_id", "left_semi")
+        # read back with the written schema: a model with no rows yet (e.g. no venue
+        # seeded) leaves no data files to infer a schema from
+        schema = with_bucket(df, wh.bucket_width).schema
+        schemas_written[name] = schema
+        return only_changed(wh.model(name, schema).withColumn(
+            BUCKET_COL, F.floor(F.col("match_id") / F.lit(wh.bucket_width)).cast("int"))
+            if not table_exists(spark, wh.path("models", name))
+            else spark.read.schema(schema).parquet(wh.path("models", name)))
 
     deliveries = put("int_deliveries", deliveries)
     matches = put("int_matches", matches)
@@ -211,7 +233,8 @@ def build(wh: Warehouse, changed: DataFrame | None = None) -> None:
     # dimensions: only keys touched by the changed matches are recomputed
     prior_teams = wh.model_or_none("int_teams")
     teams = im.refresh_dimension(
-        prior_teams, wh.model("int_match_teams"), changed, new_teams, ["team", "format"],
+        prior_teams, wh.model("int_match_teams", schemas_written["int_match_teams"]),
+        changed, new_teams, ["team", "format"],
         lambda mt_rows: im.int_teams(mt_rows, keep_source=True))
     write_version(teams, wh.path("models/int_teams"))
     teams = wh.model("int_teams")
@@ -223,8 +246,8 @@ def build(wh: Warehouse, changed: DataFrame | None = None) -> None:
                                        ["team", "format"]).select("team_id", "player_id")
     players = im.refresh_dimension(
         prior_players,
-        wh.model("int_match_players").join(teams.select("team_id", "team", "format"),
-                                           ["team", "format"]),
+        wh.model("int_match_players", schemas_written["int_match_players"]).join(
+            teams.select("team_id", "team", "format"), ["team", "format"]),
         changed, new_player_keys, ["team_id", "player_id"],
         lambda mp_rows: im.int_players(mp_rows.drop("team_id"), teams, keep_source=True))
     write_version(players, wh.path("models/int_players"))

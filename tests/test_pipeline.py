@@ -227,3 +227,27 @@ def test_replay_after_lost_registry_is_idempotent(spark, tmpdir_path):
     after = sorted(map(tuple, wh.model("fct_batting_scorecard").select(cols).collect()))
     assert after == before
     assert wh.model("int_deliveries").count() == balls_before
+
+
+def test_build_without_known_venues(spark, tmpdir_path):
+    """No venue seeded and no seed refresh: the match-teams junction stays empty (its
+    venue join drops every match) and the build still completes."""
+    d = os.path.join(tmpdir_path, "noseed")
+    mf.write(d, "5001.json", mf.match_1001())
+    wh = _wh(spark)
+    pipeline.run(wh, fs.scan_files(spark, d), seeds=False)
+    assert wh.model("fct_batting_scorecard").count() == 5
+    assert wh.model("int_teams").count() == 0
+    assert [r.venue_id for r in wh.model("int_matches").collect()] == [None]
+
+
+def test_reads_prune_to_touched_buckets(spark, first_run):
+    from crease.operators.incremental import in_buckets, touched_buckets
+    wh, _ = first_run
+    ids = spark.createDataFrame([(1003,)], "match_id int")
+    q = in_buckets(spark.read.parquet(wh.path("raw/deliveries")),
+                   touched_buckets(ids, wh.bucket_width))
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert f"(bucket#" in plan and f"= {1003 // wh.bucket_width})" in plan
+    assert {r.match_id for r in q.select("match_id").distinct().collect()} <= {
+        m for m in range(1000, 1008)}
