@@ -91,7 +91,10 @@ def fct_bowling_scorecard(deliveries: DataFrame, bowling_order: DataFrame) -> Da
 
 def fct_match_summary(matches: DataFrame, innings: DataFrame) -> DataFrame:
     """'<team> <runs>/<wkts> (<overs>)[ & ...] vs <team> ...' and the result text."""
-    inn = innings.withColumn("_overs", overs_display("legal_deliveries"))
+    # one shuffle of innings rows by match serves both string aggregations: (match, team)
+    # and (match) groups are each inside one match partition
+    inn = innings.repartition("match_id").withColumn("_overs",
+                                                     overs_display("legal_deliveries"))
     score = F.concat(F.col("runs_scored").cast("string"), F.lit("/"),
                      F.col("wickets_lost").cast("string"), F.lit(" ("), F.col("_overs"),
                      F.lit(")"))
