@@ -89,12 +89,12 @@ def host_verdicts(judged: DataFrame, host: str, limit: float = HOST_LIMIT) -> Da
     v = F.col("f2") / F.col("n") - m * m
     low, high = PRIOR_WEIGHT
     k = F.when(v > 1e-12, F.greatest(F.lit(low), F.least(F.lit(high), m * (1 - m) / v - 1)))
-    prior = sums.filter("n > 0").select(F.lit(1).alias("_one"), m.alias("_m"),
-                                        F.coalesce(k, F.lit(high)).alias("_k"))
-    shrunk = (F.col("n_failed") + F.col("_m") * F.col("_k")) / (F.col("n_docs") + F.col("_k"))
-    return (hosts.withColumn("_one", F.lit(1)).join(prior, "_one")
-            .select(host, "n_docs", "n_failed", shrunk.alias("fail_rate"),
-                    (shrunk <= limit).alias("host_kept")))
+    prior = sums.select(F.struct(m.alias("m"), F.coalesce(k, F.lit(high)).alias("k"))).scalar()
+    fitted = hosts.withColumn("_p", prior)
+    shrunk = ((F.col("n_failed") + F.col("_p.m") * F.col("_p.k"))
+              / (F.col("n_docs") + F.col("_p.k")))
+    return fitted.select(host, "n_docs", "n_failed", shrunk.alias("fail_rate"),
+                         (shrunk <= limit).alias("host_kept"))
 
 
 def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",

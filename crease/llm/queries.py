@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crease.llm import exact, quality, sharding
+from crease.llm import exact, language, mixing, packing, quality, sharding
 from crease.llm.common import documents
 
 N_SHARDS = 40
@@ -29,8 +29,28 @@ def op6_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir))
+
+
+def op8_flow_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.mix_sizes(documents(spark, sf_dir))
+    return rows.select("doc_id", "size", "own.source_size", "own.target",
+                       (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a null doc_id has no fold: it is neither learned from nor part of the learned share
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1,
+                          F.lit(True))
+    return language.identify(documents(spark, sf_dir), ~held_out, carry={"held_out": held_out})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_host_quality": op2_host_quality,
     "op3_exact_dedup": op3_exact_dedup,
     "op6_histogram_shards": op6_histogram_shards,
+    "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_flow_mixing": op8_flow_mixing,
+    "op10_language_id": op10_language_id,
 }
