@@ -36,7 +36,20 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
     doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))"""
 
+OP1 = r"""
+WITH l AS (SELECT doc_id, source, i, ln, trim(ln, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)) AS x
+    FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS ln,
+          generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)),
+b AS (SELECT x, min((doc_id, i)) AS f FROM l WHERE x <> '' GROUP BY x
+    HAVING count(DISTINCT source) >= 10),
+j AS (SELECT l.*, b.f IS NOT NULL AND b.f <> (l.doc_id, l.i) AS gone FROM l LEFT JOIN b USING (x)),
+g AS (SELECT doc_id, string_agg(ln, chr(10) ORDER BY i) FILTER (NOT gone) AS t,
+    count(*) FILTER (x <> '') AS n, count(*) FILTER (gone) AS r FROM j GROUP BY doc_id)
+SELECT doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(t, '') END AS text,
+    coalesce(n, 0) AS n_lines, coalesce(r, 0) AS n_removed FROM documents d LEFT JOIN g USING (doc_id)"""
+
 ORACLE: dict[str, str] = {
+    "op1_line_dedup": OP1,
     "op2_host_quality": OP2,
     "op3_exact_dedup": OP3,
 }

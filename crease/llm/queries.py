@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crease.llm import exact, language, mixing, packing, quality, sharding
+from crease.llm import exact, language, lines, mixing, packing, quality, sharding
 from crease.llm.common import documents
 
 N_SHARDS = 40
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.remove_boilerplate(documents(spark, sf_dir)).select(
+        "doc_id", "text", "n_lines", "n_removed")
+
+
 def op2_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(documents(spark, sf_dir)).select(
         "doc_id", *quality.FEATURES, "base_failed", "kept")
@@ -47,6 +52,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_host_quality": op2_host_quality,
     "op3_exact_dedup": op3_exact_dedup,
     "op6_histogram_shards": op6_histogram_shards,
