@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crease.llm import exact, language, lines, mixing, packing, quality, sharding
+from crease.llm import exact, language, lines, mixing, near, packing, quality, sharding
 from crease.llm.common import documents
 
 N_SHARDS = 40
@@ -28,6 +28,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("text_sha256", F.lower(F.hex("text_sha256")))
 
 
+def op4_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(documents(spark, sf_dir)).drop("_hash")
+
+
 def op6_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard_by_bytes(documents(spark, sf_dir), N_SHARDS)
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"),
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_host_quality": op2_host_quality,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_minhash_forest": op4_minhash_forest,
     "op6_histogram_shards": op6_histogram_shards,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_flow_mixing": op8_flow_mixing,
