@@ -42,7 +42,9 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], spread: Co
     """Join many ``left`` rows to few ``right`` rows when one key may own a third of ``left``.
 
     ``right`` (one row per key) is repeated once per salt and ``left`` takes its salt from
-    ``spread``, so a hot key is shared by ``salts`` tasks. Null keys match null keys."""
+    ``spread``, so a hot key is shared by ``salts`` tasks. Null keys match null keys. The
+    planner does not see that the repeated side is ``salts`` times as large, so it is told
+    to shuffle it."""
     keys = [f"__{i}" for i in range(len(on))]
     small = right.select(*[F.col(c).alias(k) for c, k in zip(on, keys)],
                          *[c for c in right.columns if c not in on],
@@ -51,7 +53,7 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], spread: Co
     cond = big["__dealt"] == small["__salt"]
     for c, k in zip(on, keys):
         cond = cond & big[c].eqNullSafe(small[k])
-    return big.join(small, cond, how).drop("__dealt", "__salt", *keys)
+    return big.join(small.hint("merge"), cond, how).drop("__dealt", "__salt", *keys)
 
 
 def key_filter(keys: DataFrame, columns: Sequence[str], bits: int) -> DataFrame:

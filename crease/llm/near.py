@@ -8,10 +8,12 @@ nodes before it whose common prefix has at least MIN_DEPTH hashes: where the ord
 sparse these are all nodes that share MIN_DEPTH hashes, in a dense region only those that
 share many, so depth follows the region. Candidates are confirmed on full shingle sets.
 
-Dense regions (thousands of near copies) are thinned first: a first pass over a few trees
-links only direct neighbours and joins them into components; the following passes pass
-over nodes of the own component, so the window of a node reaches every other component in
-its region. Passes go on while some window was full and new links were still found.
+Dense regions (thousands of near copies) are thinned first: the first pass tests only direct
+neighbours and joins them into components. The following passes run over the nodes that had
+a neighbour at all; they are sorted by DEEP hashes, and a node looks back over its own component to the LOOK
+nearest others and tests its CHOICE likeliest candidates, by the share of equal hashes. A
+pass is repeated while it finds links, then the next CHOICE are taken; the end is reached
+when nothing is left to choose or QUIET choices in a row bring no link.
 
 Defined results: a null text, an empty one and one without words have the empty set and
 are linked with nothing; fewer than five words are one shingle; rows with a null id take
@@ -41,11 +43,16 @@ DEPTH = 8
 PERMUTATIONS = TREES * DEPTH
 MIN_DEPTH = 4
 PROBE_BYTES = 32
-#: First pass: trees looked at. Later passes: candidates per node and tree, and of those
-#: how many may be of one component.
-FIRST_TREES = 3
-WINDOW = 12
-PER_COMPONENT = 3
+#: Later passes: components looked back to per node and tree, nodes of each, and how many
+#: candidates are tested in a pass.
+LOOK = 32
+PER_COMPONENT = 2
+CHOICE = 6
+DEEP = 16
+QUIET = 2
+#: A candidate is left out if its share of equal hashes is so many percent below the
+#: threshold (about six standard errors of 32 hashes, five of 128).
+SLACK = {PROBE_BYTES: 36, PERMUTATIONS: 16}
 FILTER_BITS = 1 << 22
 #: Nodes of rows without id are numbered from here.
 NO_ID = 1 << 62
@@ -145,99 +152,104 @@ def signatures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 class Region:
     """Recent nodes of one sorted run with a common prefix of MIN_DEPTH hashes, newest
-    component first. Keeps what a window may reach and no more."""
+    component first. Keeps what a node may look back to and no more."""
 
-    def __init__(self, window: int, per_component: int, threshold: int):
-        self.window, self.per_component, self.threshold = window, per_component, threshold
-        self.key, self.recent = None, OrderedDict()
+    def __init__(self, look: int, per_component: int, hashes: int, threshold: int, skip: int):
+        self.look, self.per_component, self.threshold = look, per_component, threshold
+        self.kind = np.uint8 if hashes == PROBE_BYTES else np.uint16
+        self.need = (threshold - SLACK[hashes]) * hashes / 100
+        self.skip, self.key, self.recent = skip, None, OrderedDict()
 
     def partners(self, tree: int, path: bytes, node: int, comp: int, n: int, probe: bytes):
-        """Candidates of this row among the rows before it; (nodes, window was full)."""
+        """(candidates of this row, nodes about which there is more to find)."""
         key = (tree, path[:2 * MIN_DEPTH])
         if key != self.key:
             self.key, self.recent = key, OrderedDict()
-        found, passed = [], 0
-        mine = np.frombuffer(probe, np.uint8) if self.recent else None
+        likely, passed, mine = [], 0, np.frombuffer(probe, self.kind)
+        more = []
         for other, rows in reversed(self.recent.items()):
             if other == comp:
                 continue
-            if passed >= self.window:
+            if passed >= self.look:
                 break
             passed += 1
             for q, m, theirs in rows:
-                if 100 * min(n, m) < self.threshold * max(n, m):
-                    continue
-                # the share of equal probe bytes strays from the similarity by 0.07 or so
-                if np.count_nonzero(mine == theirs) * 100 >= (self.threshold - 40) * PROBE_BYTES:
-                    found.append(q)
-        full = passed >= self.window
+                if self.skip < 0:
+                    more = [node, q]
+                if 100 * min(n, m) >= self.threshold * max(n, m):
+                    equal = np.count_nonzero(mine == theirs)
+                    if equal >= self.need:
+                        likely.append((-equal, q))
+        if self.skip >= 0:
+            likely.sort()
+            more = [node] if len(likely) > self.skip + CHOICE else []
+            likely = likely[self.skip:self.skip + CHOICE]
         own = self.recent.pop(comp, None) or deque(maxlen=self.per_component)
-        own.append((node, n, np.frombuffer(probe, np.uint8)))
+        own.append((node, n, mine))
         self.recent[comp] = own
-        if len(self.recent) > self.window + 1:
+        if len(self.recent) > self.look + 1:
             self.recent.popitem(last=False)
-        return found, full
+        return [q for _, q in likely], more
 
 
 ROW = ["t", "path", "node", "comp", "n", "probe"]
 
 
-def forest_pairs(nodes: DataFrame, trees: int, window: int, per_component: int,
-                 threshold: int) -> DataFrame:
-    """Candidate pairs (a, b) of different components, and rows that mark full windows.
+def forest_pairs(nodes: DataFrame, threshold: int, skip: int = -1) -> DataFrame:
+    """Candidate pairs (a, b) of different components; a row with b null says that there is
+    more to find about a.
 
-    ``nodes``: node, comp, n, paths, probe. Output: a, b (b null: the window of a was full)."""
+    ``nodes``: node, comp, n, paths, probe (the hashes to compare). ``skip`` -1: direct
+    neighbours, and what has one; else candidates from that place on, likeliest first."""
     spark = nodes.sparkSession
-    rows = nodes.select(
-        "node", "comp", "n", "probe", "paths",
-        F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("t"))
-    rows = rows.select("t", F.expr(f"substring(paths, t * {2 * DEPTH} + 1, {2 * DEPTH})").alias("path"),
+    look, per_component, hashes, depth = ((1, 1, PROBE_BYTES, DEPTH) if skip < 0 else
+                                          (LOOK, PER_COMPONENT, PERMUTATIONS, DEEP))
+    reach = look * per_component + 1
+    rows = nodes.select("node", "comp", "n", "probe", "paths",
+                        F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("t"))
+    # the hashes of a tree, then those of the next ones
+    order = f"substring(concat(paths, paths), t * {2 * DEPTH} + 1, {2 * depth})"
+    rows = rows.select("t", F.expr(order).alias("path"),
                        "node", "comp", "n", "probe")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(1, min(parts, nodes.count() * trees // (64 * (window + 1))))
+    parts = max(1, min(parts, nodes.count() * TREES // (16 * reach)))
+    names = ["a", "b", "seam", "place", *ROW]
+    whole = {c: "Int64" for c in ("a", "b", "seam", "place", "t", "node", "comp", "n")}
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part = TaskContext.get().partitionId()
-        region = Region(window, per_component, threshold)
-        head, tail = [], deque(maxlen=window + 1)
+        region = Region(look, per_component, hashes, threshold, skip)
+        head, tail = [], deque(maxlen=reach)
         for batch in batches:
             pairs = []
             for row in zip(*(batch[c] for c in ROW)):
-                found, full = region.partners(*row)
+                found, more = region.partners(*row)
                 pairs += [(row[2], q) for q in found]
-                if full:
-                    pairs.append((row[2], None))
-                if len(head) <= window:
+                pairs += [(q, None) for q in more]
+                if len(head) < reach:
                     head.append(row)
                 tail.append(row)
-            yield pd.DataFrame(pairs, columns=["a", "b"]).astype("Int64")
+            yield pd.DataFrame(pairs, columns=["a", "b"]).reindex(columns=names).astype(whole)
         edge = [(part - 1, i, *r) for i, r in enumerate(head) if part]
         edge += [(part, i - len(tail), *r) for i, r in enumerate(tail)]
-        yield pd.DataFrame(edge, columns=["seam", "place", *ROW])
+        yield pd.DataFrame(edge, columns=names[2:]).reindex(columns=names).astype(whole)
 
-    schema = ("a long, b long, seam int, place int, t int, path binary, node long, comp long, "
-              "n long, probe binary")
-
-    def filled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["a", "b", "seam", "place", *ROW]
-        for out in scan(batches):
-            yield out.reindex(columns=names).astype(
-                {c: "Int64" for c in ("a", "b", "seam", "place", "t", "node", "comp", "n")})
-
-    found = materialise(rows.repartitionByRange(parts, "t", "path", "node")
-                        .sortWithinPartitions("t", "path", "node").mapInPandas(filled, schema),
-                        "forest")
+    found = materialise(
+        rows.repartitionByRange(parts, "t", "path", "node").sortWithinPartitions("t", "path", "node")
+        .mapInPandas(scan, "a long, b long, seam int, place int, t int, path binary, node long, "
+                           "comp long, n long, probe binary"), "forest")
 
     def across(rows: pd.DataFrame) -> pd.DataFrame:
-        """Pairs over the seam between two partitions: at most 2 (window + 1) rows."""
-        region, pairs = Region(window, per_component, threshold), []
+        """Pairs over the seam between two partitions: at most twice ``reach`` rows."""
+        region, pairs = Region(look, per_component, hashes, threshold, skip), []
         before = set()
         for place, *row in rows.sort_values("place")[["place", *ROW]].itertuples(index=False):
-            got, _ = region.partners(*row)
+            got, more = region.partners(*row)
             if place < 0:
                 before.add(row[2])
             else:
                 pairs += [(row[2], q) for q in got if q in before]
+                pairs += [(q, None) for q in more]
         return pd.DataFrame(pairs, columns=["a", "b"]).astype("Int64")
 
     seams = found.filter("seam IS NOT NULL").groupBy("seam").applyInPandas(across, "a long, b long")
@@ -288,31 +300,32 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     nodes = materialise(sets.select(
         F.col("_least._id").alias("node"), "_least.doc_id", "_least._hash", "s1", "s2",
         F.col("n_shingles").alias("n"), "paths", "probe", "_rows"), "near-nodes")
-    links = tested = None
+    links, tested, active, skip, quiet = None, None, None, -1, 0
     comps = nodes.select("node", "n", "paths", "probe", F.col("node").alias("comp"))
-    trees, window, per_component = FIRST_TREES, 1, 1
     while True:
-        found = materialise(forest_pairs(comps, trees, window, per_component, threshold)
-                            .select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"),
-                                    "b").distinct(), "near-pairs")
-        pairs = found.filter("b IS NOT NULL").select("u", "v").distinct()
+        found = materialise(forest_pairs(comps, threshold, skip).select(
+            F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"),
+            F.col("b").isNull().alias("more")).distinct(), "near-pairs")
+        more = found.filter("more").select(F.col("u").alias("node"))
+        pairs = found.filter("NOT more").select("u", "v")
         if tested is not None:
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
         pairs = materialise(pairs, "near-new")
         good = materialise(confirmed(pairs, docs, nodes, doc_id, text, threshold), "near-links")
-        merged = not good.isEmpty()
         links = good if links is None else links.unionByName(good)
-        if merged:
+        new = not good.isEmpty()
+        if new or tested is None:
             stars = star_edges(links)
-        elif tested is None:
-            stars = links.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        more = found.filter("b IS NULL").isEmpty()
-        if window > 1 and (more or not merged):
+        quiet = 0 if new or skip < 0 else quiet + 1
+        if quiet == QUIET or (not new and more.isEmpty()):
             break
+        if active is None:
+            active = materialise(nodes.join(more, "node", "left_semi").select(
+                "node", "n", "paths", F.col("paths").alias("probe")), "near-active")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        trees, window, per_component = TREES, WINDOW, PER_COMPONENT
-        comps = (nodes.select("node", "n", "paths", "probe").join(stars, "node", "left")
-                 .withColumn("comp", F.coalesce("root", "node")).drop("root"))
+        comps = active.join(stars, "node", "left").withColumn(
+            "comp", F.coalesce("root", "node")).drop("root")
+        skip = 0 if skip < 0 else skip if new else skip + CHOICE
     # sets that several rows share or that are linked: everything else stands alone
     placed = nodes.join(stars, "node", "left").filter("_rows > 1 OR root IS NOT NULL").select(
         "s1", "s2", F.coalesce("root", "node").alias("_root"))
