@@ -10,10 +10,10 @@ share many, so depth follows the region. Candidates are confirmed on full shingl
 
 Dense regions (thousands of near copies) are thinned first: the first pass tests only direct
 neighbours and joins them into components. The following passes run over the nodes that had
-a neighbour at all; they are sorted by DEEP hashes, and a node looks back over its own component to the LOOK
-nearest others and tests its CHOICE likeliest candidates, by the share of equal hashes. A
-pass is repeated while it finds links, then the next CHOICE are taken; the end is reached
-when nothing is left to choose or QUIET choices in a row bring no link.
+a neighbour at all, sorted by DEEP hashes. A node looks back to the LOOK nearest nodes and
+tests those of other components that are likeliest by the share of equal hashes: a few in
+the second pass; where there were more, and the pass found links, three times as many in
+the next, until all are tested.
 
 Defined results: a null text, an empty one and one without words have the empty set and
 are linked with nothing; fewer than five words are one shingle; rows with a null id take
@@ -23,7 +23,7 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from collections import OrderedDict, deque
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,16 +43,18 @@ DEPTH = 8
 PERMUTATIONS = TREES * DEPTH
 MIN_DEPTH = 4
 PROBE_BYTES = 32
-#: Later passes: components looked back to per node and tree, nodes of each, and how many
-#: candidates are tested in a pass.
-LOOK = 32
-PER_COMPONENT = 2
-CHOICE = 6
+#: Later passes: nodes looked back to per node and tree; hashes sorted by; candidates of a
+#: node and tree tested in the second pass, and the factor of each further one.
+LOOK = 512
 DEEP = 16
-QUIET = 2
+CHOICE, GROWTH = 3, 3
 #: A candidate is left out if its share of equal hashes is so many percent below the
-#: threshold (about six standard errors of 32 hashes, five of 128).
-SLACK = {PROBE_BYTES: 36, PERMUTATIONS: 16}
+#: threshold (about six standard errors of 32 hashes, four and a half of 128).
+SLACK = {PROBE_BYTES: 36, PERMUTATIONS: 14}
+#: A pair is named in the trees where its common prefix is longest, so many at most.
+NAMED = 2
+#: Rows on each side of a seam between two partitions that are brought together.
+SEAM = 32
 FILTER_BITS = 1 << 22
 #: Nodes of rows without id are numbered from here.
 NO_ID = 1 << 62
@@ -150,83 +152,92 @@ def signatures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                                   "paths binary, probe binary")
 
 
+def _longest(same: np.ndarray) -> np.ndarray:
+    """The NAMED trees in which a pair with these equal hashes has its longest prefixes."""
+    ring = np.concatenate([same, same]).reshape(2 * TREES, DEPTH)
+    runs = np.where(ring.all(axis=1), DEPTH, ring.argmin(axis=1))
+    runs = runs[:TREES] + np.where(runs[:TREES] == DEPTH, runs[1:TREES + 1], 0)
+    return np.argsort(-runs, kind="stable")[:NAMED]
+
+
 class Region:
-    """Recent nodes of one sorted run with a common prefix of MIN_DEPTH hashes, newest
-    component first. Keeps what a node may look back to and no more."""
+    """The last ``look`` nodes of a sorted run with a common prefix of MIN_DEPTH hashes."""
 
-    def __init__(self, look: int, per_component: int, hashes: int, threshold: int, skip: int):
-        self.look, self.per_component, self.threshold = look, per_component, threshold
+    def __init__(self, look: int, hashes: int, threshold: int, choice: int):
+        self.look, self.threshold, self.choice = look, threshold, choice
         self.kind = np.uint8 if hashes == PROBE_BYTES else np.uint16
         self.need = (threshold - SLACK[hashes]) * hashes / 100
-        self.skip, self.key, self.recent = skip, None, OrderedDict()
+        self.probes = np.zeros((look, hashes), self.kind)
+        self.nodes, self.comps, self.sizes = (np.zeros(look, np.int64) for _ in range(3))
+        self.asks = np.zeros(look, bool)
+        self.key, self.count = None, 0
 
-    def partners(self, tree: int, path: bytes, node: int, comp: int, n: int, probe: bytes):
+    def partners(self, tree: int, path: bytes, node: int, comp: int, n: int, probe: bytes,
+                 asks: bool) -> tuple[list[int], list[int]]:
         """(candidates of this row, nodes about which there is more to find)."""
         key = (tree, path[:2 * MIN_DEPTH])
         if key != self.key:
-            self.key, self.recent = key, OrderedDict()
-        likely, passed, mine = [], 0, np.frombuffer(probe, self.kind)
-        more = []
-        for other, rows in reversed(self.recent.items()):
-            if other == comp:
-                continue
-            if passed >= self.look:
-                break
-            passed += 1
-            for q, m, theirs in rows:
-                if self.skip < 0:
-                    more = [node, q]
-                if 100 * min(n, m) >= self.threshold * max(n, m):
-                    equal = np.count_nonzero(mine == theirs)
-                    if equal >= self.need:
-                        likely.append((-equal, q))
-        if self.skip >= 0:
-            likely.sort()
-            more = [node] if len(likely) > self.skip + CHOICE else []
-            likely = likely[self.skip:self.skip + CHOICE]
-        own = self.recent.pop(comp, None) or deque(maxlen=self.per_component)
-        own.append((node, n, mine))
-        self.recent[comp] = own
-        if len(self.recent) > self.look + 1:
-            self.recent.popitem(last=False)
-        return [q for _, q in likely], more
-
-
-ROW = ["t", "path", "node", "comp", "n", "probe"]
-
-
-def forest_pairs(nodes: DataFrame, threshold: int, skip: int = -1) -> DataFrame:
+            self.key, self.count = key, 0
+        mine = np.frombuffer(probe, self.kind)
+        found: list[int] = []
+        more: list[int] = []
+        if self.count:
+            k = min(self.count, self.look)
+            if not self.choice:
+                more = [node, int(self.nodes[(self.count - 1) % self.look])]
+            sizes = self.sizes[:k]
+            at = np.flatnonzero((self.comps[:k] != comp) & (self.asks[:k] | asks)
+                                & (100 * np.minimum(n, sizes) >= self.threshold * np.maximum(n, sizes)))
+            same = self.probes[at] == mine
+            equal = same.sum(axis=1)
+            likely = np.flatnonzero(equal >= self.need)
+            if self.choice:
+                likely = likely[np.lexsort((self.nodes[at[likely]], -equal[likely]))]
+                more = [node] if len(likely) > self.choice else []
+                likely = [i for i in likely[:self.choice] if tree in _longest(same[i])]
+            found = [int(self.nodes[at[i]]) for i in likely]
+        i = self.count % self.look
+        self.probes[i], self.nodes[i], self.comps[i], self.sizes[i] = mine, node, comp, n
+        self.asks[i] = asks
+        self.count += 1
+        return found, more
+
+
+ROW = ["t", "path", "node", "comp", "n", "probe", "asks"]
+
+
+def forest_pairs(nodes: DataFrame, threshold: int, choice: int = 0) -> DataFrame:
     """Candidate pairs (a, b) of different components; a row with b null says that there is
     more to find about a.
 
-    ``nodes``: node, comp, n, paths, probe (the hashes to compare). ``skip`` -1: direct
-    neighbours, and what has one; else candidates from that place on, likeliest first."""
+    ``nodes``: node, comp, n, paths, probe (the hashes to compare) and asks (whether to look
+    for its candidates). ``choice`` 0: direct neighbours, and what has one; else so many of
+    the likeliest."""
     spark = nodes.sparkSession
-    look, per_component, hashes, depth = ((1, 1, PROBE_BYTES, DEPTH) if skip < 0 else
-                                          (LOOK, PER_COMPONENT, PERMUTATIONS, DEEP))
-    reach = look * per_component + 1
-    rows = nodes.select("node", "comp", "n", "probe", "paths",
+    look, hashes, depth = ((LOOK, PERMUTATIONS, DEEP) if choice else (1, PROBE_BYTES, DEPTH))
+    rows = nodes.select("node", "comp", "n", "probe", "paths", "asks",
                         F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("t"))
     # the hashes of a tree, then those of the next ones
     order = f"substring(concat(paths, paths), t * {2 * DEPTH} + 1, {2 * depth})"
     rows = rows.select("t", F.expr(order).alias("path"),
-                       "node", "comp", "n", "probe")
+                       "node", "comp", "n", "probe", "asks")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(1, min(parts, nodes.count() * TREES // (16 * reach)))
+    parts = max(1, min(parts, nodes.count() * TREES // (64 * SEAM)))
     names = ["a", "b", "seam", "place", *ROW]
     whole = {c: "Int64" for c in ("a", "b", "seam", "place", "t", "node", "comp", "n")}
+    whole["asks"] = "boolean"
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part = TaskContext.get().partitionId()
-        region = Region(look, per_component, hashes, threshold, skip)
-        head, tail = [], deque(maxlen=reach)
+        region = Region(look, hashes, threshold, choice)
+        head, tail = [], deque(maxlen=SEAM)
         for batch in batches:
             pairs = []
             for row in zip(*(batch[c] for c in ROW)):
                 found, more = region.partners(*row)
                 pairs += [(row[2], q) for q in found]
                 pairs += [(q, None) for q in more]
-                if len(head) < reach:
+                if len(head) < SEAM:
                     head.append(row)
                 tail.append(row)
             yield pd.DataFrame(pairs, columns=["a", "b"]).reindex(columns=names).astype(whole)
@@ -237,11 +248,11 @@ def forest_pairs(nodes: DataFrame, threshold: int, skip: int = -1) -> DataFrame:
     found = materialise(
         rows.repartitionByRange(parts, "t", "path", "node").sortWithinPartitions("t", "path", "node")
         .mapInPandas(scan, "a long, b long, seam int, place int, t int, path binary, node long, "
-                           "comp long, n long, probe binary"), "forest")
+                           "comp long, n long, probe binary, asks boolean"), "forest")
 
     def across(rows: pd.DataFrame) -> pd.DataFrame:
-        """Pairs over the seam between two partitions: at most twice ``reach`` rows."""
-        region, pairs = Region(look, per_component, hashes, threshold, skip), []
+        """Pairs over the seam between two partitions: at most twice SEAM rows."""
+        region, pairs = Region(look, hashes, threshold, choice), []
         before = set()
         for place, *row in rows.sort_values("place")[["place", *ROW]].itertuples(index=False):
             got, more = region.partners(*row)
@@ -256,21 +267,21 @@ def forest_pairs(nodes: DataFrame, threshold: int, skip: int = -1) -> DataFrame:
     return found.filter("seam IS NULL").select("a", "b").unionByName(seams)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, doc_id: str, text: str,
-              threshold: int) -> DataFrame:
-    """The pairs (u, v) of nodes whose full sets reach ``threshold`` percent."""
-    needed = pairs.select(F.col("u").alias("node")).unionByName(
-        pairs.select(F.col("v").alias("node"))).distinct()
-    needed = materialise(nodes.join(needed, "node", "left_semi")
-                         .select("node", F.col("doc_id").alias("_nid"), "_hash"), "near-needed")
+def node_texts(nodes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(node, _t) for ``nodes`` (node, doc_id, _hash): one scan; only rows that pass a filter
+    of fixed size are shuffled. Rows equal in id and text are one node."""
+    needed = nodes.select("node", F.col("doc_id").alias("_nid"), "_hash")
     rows = docs.select(F.col(doc_id).cast("long").alias("_did"), F.col(text).alias("_t"),
                        F.xxhash64(F.col(text)).alias("_dhash"))
     wanted = key_filter(needed.withColumnRenamed("_hash", "_dhash"), ["_dhash"], FILTER_BITS)
     rows = may_contain(rows, wanted, ["_dhash"], FILTER_BITS, "_in").filter("_in")
-    # rows equal in id and text are the same node: one of them is enough
-    texts = materialise(
-        rows.join(needed, (rows["_dhash"] == needed["_hash"]) & rows["_did"].eqNullSafe(needed["_nid"]))
-        .select("node", "_t").dropDuplicates(["node", "_t"]), "near-texts")
+    match = (rows["_dhash"] == needed["_hash"]) & rows["_did"].eqNullSafe(needed["_nid"])
+    return materialise(rows.join(needed, match).select("node", "_t").dropDuplicates(["node", "_t"]),
+                       "near-texts")
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (u, v) of nodes whose full sets reach ``threshold`` percent."""
     both = (pairs.join(texts.select(F.col("node").alias("u"), F.col("_t").alias("_tu")), "u")
             .join(texts.select(F.col("node").alias("v"), F.col("_t").alias("_tv")), "v"))
 
@@ -300,32 +311,40 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     nodes = materialise(sets.select(
         F.col("_least._id").alias("node"), "_least.doc_id", "_least._hash", "s1", "s2",
         F.col("n_shingles").alias("n"), "paths", "probe", "_rows"), "near-nodes")
-    links, tested, active, skip, quiet = None, None, None, -1, 0
-    comps = nodes.select("node", "n", "paths", "probe", F.col("node").alias("comp"))
+    comps = nodes.select("node", "n", "paths", "probe", F.col("node").alias("comp"),
+                         F.lit(True).alias("asks"))
+    stars = tested = active = None
+    choice = 0
     while True:
-        found = materialise(forest_pairs(comps, threshold, skip).select(
+        found = materialise(forest_pairs(comps, threshold, choice).select(
             F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"),
             F.col("b").isNull().alias("more")).distinct(), "near-pairs")
         more = found.filter("more").select(F.col("u").alias("node"))
         pairs = found.filter("NOT more").select("u", "v")
-        if tested is not None:
-            pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        pairs = materialise(pairs, "near-new")
-        good = materialise(confirmed(pairs, docs, nodes, doc_id, text, threshold), "near-links")
-        links = good if links is None else links.unionByName(good)
-        new = not good.isEmpty()
-        if new or tested is None:
+        if active is None:
+            active = materialise(nodes.join(more, "node", "left_semi"), "near-active")
+            texts = node_texts(active, docs, doc_id, text)
+        else:
+            pairs = materialise(pairs.join(tested, ["u", "v"], "left_anti"), "near-new")
+        links = materialise(confirmed(pairs, texts, threshold), "near-links")
+        if stars is None:
             stars = star_edges(links)
-        quiet = 0 if new or skip < 0 else quiet + 1
-        if quiet == QUIET or (not new and more.isEmpty()):
+        elif links.isEmpty():
+            break
+        else:
+            stars = star_edges(links.unionByName(stars.select(F.col("node").alias("u"),
+                                                              F.col("root").alias("v"))))
+        if more.isEmpty():
             break
-        if active is None:
-            active = materialise(nodes.join(more, "node", "left_semi").select(
-                "node", "n", "paths", F.col("paths").alias("probe")), "near-active")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        comps = active.join(stars, "node", "left").withColumn(
-            "comp", F.coalesce("root", "node")).drop("root")
-        skip = 0 if skip < 0 else skip if new else skip + CHOICE
+        comps = active.select("node", "n", "paths", F.col("paths").alias("probe")).join(
+            stars, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+        if choice:
+            comps = comps.join(more.withColumn("asks", F.lit(True)), "node", "left").withColumn(
+                "asks", F.coalesce("asks", F.lit(False)))
+        else:
+            comps = comps.withColumn("asks", F.lit(True))
+        choice = choice * GROWTH or CHOICE
     # sets that several rows share or that are linked: everything else stands alone
     placed = nodes.join(stars, "node", "left").filter("_rows > 1 OR root IS NOT NULL").select(
         "s1", "s2", F.coalesce("root", "node").alias("_root"))
