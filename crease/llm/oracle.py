@@ -48,8 +48,44 @@ g AS (SELECT doc_id, string_agg(ln, chr(10) ORDER BY i) FILTER (NOT gone) AS t,
 SELECT doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(t, '') END AS text,
     coalesce(n, 0) AS n_lines, coalesce(r, 0) AS n_removed FROM documents d LEFT JOIN g USING (doc_id)"""
 
+OP5 = """
+WITH o AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id
+        ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS i
+    FROM conversations WHERE conv_id IS NOT NULL),
+f AS (SELECT conv_id, role AS r1, text AS t1 FROM o WHERE i = 1),
+s AS (SELECT conv_id, coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS n
+    FROM o GROUP BY conv_id),
+c AS (SELECT conv_id, first_value(conv_id) OVER (PARTITION BY r1, t1 ORDER BY n DESC, conv_id) AS best
+    FROM f JOIN s USING (conv_id)),
+p AS (SELECT best AS c, conv_id AS r FROM c WHERE best <> conv_id),
+l AS (SELECT conv_id, max(i) AS z, arg_min(struct_pack(text := text), i).text AS stale FROM o
+    WHERE role = 'assistant' GROUP BY conv_id HAVING count(*) > 1),
+a AS (SELECT c, r, i, role, text FROM p JOIN o ON conv_id = c UNION ALL
+    SELECT conv_id, conv_id, i, role, text FROM o JOIN l USING (conv_id) WHERE i <= z),
+b AS (SELECT c, r, i, role, text FROM p JOIN o ON conv_id = r UNION ALL
+    SELECT conv_id, conv_id, i, role, CASE WHEN i = z THEN stale ELSE text END
+    FROM o JOIN l USING (conv_id) WHERE i <= z),
+d AS (SELECT a.c, a.r, min(a.i) - 1 AS n FROM a LEFT JOIN b USING (c, r, i)
+    WHERE b.c IS NULL OR a.role IS DISTINCT FROM b.role OR a.text IS DISTINCT FROM b.text GROUP BY ALL),
+k AS (SELECT a.c, a.r, coalesce(any_value(d.n), max(a.i)) AS n FROM a LEFT JOIN d USING (c, r) GROUP BY ALL),
+t AS (SELECT *, '<|' || coalesce(role, 'none') || '|>' || chr(10) AS h,
+    coalesce(text, '') || '<|end|>' || chr(10) AS e, coalesce(role = 'assistant', FALSE) AS m
+    FROM (SELECT 1 AS side, * FROM a UNION ALL SELECT 2, * FROM b)),
+u AS (SELECT *, h || e AS x, '0:' || length(h) || ',' || CASE WHEN m THEN '1:' ELSE '0:' END
+    || length(e) AS y FROM t),
+g AS (SELECT c, r, n, string_agg(x, '' ORDER BY i) FILTER (side = 1 AND i <= n) AS p1,
+    string_agg(x, '' ORDER BY i) FILTER (side = 1 AND i > n) AS x1,
+    string_agg(y, ',' ORDER BY i) FILTER (side = 1 AND i > n) AS y1,
+    string_agg(x, '' ORDER BY i) FILTER (side = 2 AND i > n) AS x2,
+    string_agg(y, ',' ORDER BY i) FILTER (side = 2 AND i > n) AS y2
+    FROM u JOIN k USING (c, r) GROUP BY c, r, n)
+SELECT c AS chosen_id, r AS rejected_id, CAST(n AS BIGINT) AS n_prompt_turns,
+    coalesce(p1, '') AS prompt, coalesce(x1, '') AS chosen_text, coalesce(y1, '') AS chosen_mask,
+    coalesce(x2, '') AS rejected_text, coalesce(y2, '') AS rejected_mask FROM g"""
+
 ORACLE: dict[str, str] = {
     "op1_line_dedup": OP1,
     "op2_host_quality": OP2,
     "op3_exact_dedup": OP3,
+    "op5_preference_format": OP5,
 }

@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crease.llm import exact, language, lines, mixing, near, packing, quality, sharding
+from crease.llm import (exact, language, lines, mixing, near, packing, passages, preferences, quality,
+                        sharding)
 from crease.llm.common import documents
+from crease.session import table_path
 
 N_SHARDS = 40
 
@@ -32,6 +34,14 @@ def op4_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(documents(spark, sf_dir)).drop("_hash")
 
 
+def op5_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(table_path(sf_dir, "conversations"))
+    convs = preferences.stored_conversations(turns)
+    pairs = preferences.pairs_by_first_turn(convs).unionByName(
+        preferences.pairs_by_stale_reply(convs))
+    return preferences.format_pairs(pairs)
+
+
 def op6_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shard_by_bytes(documents(spark, sf_dir), N_SHARDS)
     return rows.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"),
@@ -48,6 +58,10 @@ def op8_flow_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op9_passage_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(documents(spark, sf_dir))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a null doc_id has no fold: it is neither learned from nor part of the learned share
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1,
@@ -60,8 +74,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_host_quality": op2_host_quality,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_minhash_forest": op4_minhash_forest,
+    "op5_preference_format": op5_preference_format,
     "op6_histogram_shards": op6_histogram_shards,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_flow_mixing": op8_flow_mixing,
+    "op9_passage_chaining": op9_passage_chaining,
     "op10_language_id": op10_language_id,
 }
