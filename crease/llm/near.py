@@ -12,8 +12,8 @@ Dense regions (thousands of near copies) are thinned first: the first pass tests
 neighbours and joins them into components. The following passes run over the nodes that had
 a neighbour at all, sorted by DEEP hashes. A node looks back to the LOOK nearest nodes and
 tests those of other components that are likeliest by the share of equal hashes: a few in
-the second pass; where there were more, and the pass found links, three times as many in
-the next, until all are tested.
+the second pass; where there were more, and the pass found links, more in the next, and
+all in the last of CHOICES.
 
 Defined results: a null text, an empty one and one without words have the empty set and
 are linked with nothing; fewer than five words are one shingle; rows with a null id take
@@ -44,17 +44,17 @@ PERMUTATIONS = TREES * DEPTH
 MIN_DEPTH = 4
 PROBE_BYTES = 32
 #: Later passes: nodes looked back to per node and tree; hashes sorted by; candidates of a
-#: node and tree tested in the second pass, and the factor of each further one.
+#: node and tree tested in each pass, in the last one all.
 LOOK = 512
 DEEP = 16
-CHOICE, GROWTH = 3, 3
+CHOICES = (3, 15, 40, LOOK)
 #: A candidate is left out if its share of equal hashes is so many percent below the
 #: threshold (about six standard errors of 32 hashes, four and a half of 128).
 SLACK = {PROBE_BYTES: 36, PERMUTATIONS: 14}
 #: A pair is named in the trees where its common prefix is longest, so many at most.
 NAMED = 2
 #: Rows on each side of a seam between two partitions that are brought together.
-SEAM = 32
+SEAM = 16
 FILTER_BITS = 1 << 22
 #: Nodes of rows without id are numbered from here.
 NO_ID = 1 << 62
@@ -184,7 +184,7 @@ class Region:
         if self.count:
             k = min(self.count, self.look)
             if not self.choice:
-                more = [node, int(self.nodes[(self.count - 1) % self.look])]
+                more = [node] if self.count > 1 else [node, int(self.nodes[0])]
             sizes = self.sizes[:k]
             at = np.flatnonzero((self.comps[:k] != comp) & (self.asks[:k] | asks)
                                 & (100 * np.minimum(n, sizes) >= self.threshold * np.maximum(n, sizes)))
@@ -222,7 +222,7 @@ def forest_pairs(nodes: DataFrame, threshold: int, choice: int = 0) -> DataFrame
     rows = rows.select("t", F.expr(order).alias("path"),
                        "node", "comp", "n", "probe", "asks")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(1, min(parts, nodes.count() * TREES // (64 * SEAM)))
+    parts = max(1, min(parts, nodes.count() * TREES // (128 * SEAM)))
     names = ["a", "b", "seam", "place", *ROW]
     whole = {c: "Int64" for c in ("a", "b", "seam", "place", "t", "node", "comp", "n")}
     whole["asks"] = "boolean"
@@ -314,8 +314,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     comps = nodes.select("node", "n", "paths", "probe", F.col("node").alias("comp"),
                          F.lit(True).alias("asks"))
     stars = tested = active = None
-    choice = 0
-    while True:
+    for choice in (0, *CHOICES):
         found = materialise(forest_pairs(comps, threshold, choice).select(
             F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"),
             F.col("b").isNull().alias("more")).distinct(), "near-pairs")
@@ -344,7 +343,6 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 "asks", F.coalesce("asks", F.lit(False)))
         else:
             comps = comps.withColumn("asks", F.lit(True))
-        choice = choice * GROWTH or CHOICE
     # sets that several rows share or that are linked: everything else stands alone
     placed = nodes.join(stars, "node", "left").filter("_rows > 1 OR root IS NOT NULL").select(
         "s1", "s2", F.coalesce("root", "node").alias("_root"))
