@@ -2,23 +2,49 @@
 
 STAGES lists (name, function); a function takes (spark, docs, sf_dir) and returns a
 DataFrame, which ``run`` writes as Parquet below the shared checkpoint folder and rereads.
+All but the last return the columns of ``documents``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from crease.llm import quality
+from crease.llm import lines, mixing, near, packing, quality
 from crease.llm.common import documents, materialise
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the quality rules, or whose host does, go."""
-    return quality.keep_good(docs if docs is not None else documents(spark, sf_dir))
+    return quality.keep_good(docs)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Boilerplate lines go, but for their first place; so do documents of nothing else."""
+    return lines.keep_unboiled(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the least id stays."""
+    return near.keep_representatives(docs)
+
+
+def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are left out or repeated, whole, until each source nears its target."""
+    return mixing.mixed_documents(docs)
+
+
+def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a document, with its place in a training sequence."""
+    return packing.pack(docs)
 
 
 STAGES = [
-    ("quality", quality_stage),
+    ("quality rules", quality_stage),
+    ("line dedup", line_stage),
+    ("near dedup", near_stage),
+    ("mixing", mix_stage),
+    ("packing", pack_stage),
 ]
 
 #: Similarity components, seeded selection and packing are not SQL; tests use brute force.
@@ -28,5 +54,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = materialise(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
     return docs
