@@ -16,6 +16,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SEPARATOR_CHARS = " \t\n\x0b\x0c\r"
 #: A hot key is dealt over this many salts.
 SALTS = 64
+#: The small side of a salted join is broadcast up to so many rows.
+BROADCAST_ROWS = 50_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,22 +40,31 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], spread: Column,
-                how: str = "left", salts: int = SALTS) -> DataFrame:
+                how: str = "left", salts: int = SALTS, rows: int | None = None) -> DataFrame:
     """Join many ``left`` rows to few ``right`` rows when one key may own a third of ``left``.
 
-    ``right`` (one row per key) is repeated once per salt and ``left`` takes its salt from
-    ``spread``, so a hot key is shared by ``salts`` tasks. Null keys match null keys. The
-    planner does not see that the repeated side is ``salts`` times as large, so it is told
-    to shuffle it."""
+    ``right`` has one narrow row per key. Up to BROADCAST_ROWS it is broadcast (it is counted
+    for that, unless the caller knows a bound, ``rows``). Beyond, it is repeated once per salt
+    and ``left`` takes its salt from ``spread``, so a hot key is shared by ``salts`` tasks; the
+    planner does not see how large the repeated side is, so it is told to shuffle it. Null
+    keys match null keys."""
+    if rows is None:
+        right = materialise(right, "join-side")
+        rows = right.count()
     keys = [f"__{i}" for i in range(len(on))]
     small = right.select(*[F.col(c).alias(k) for c, k in zip(on, keys)],
-                         *[c for c in right.columns if c not in on],
-                         F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__salt"))
-    big = left.withColumn("__dealt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    cond = big["__dealt"] == small["__salt"]
+                         *[c for c in right.columns if c not in on])
+    big, cond = left, F.lit(True)
+    if rows <= BROADCAST_ROWS:
+        small = F.broadcast(small)
+    else:
+        salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__salt")
+        small = small.select("*", salt).hint("merge")
+        big = left.withColumn("__dealt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+        cond = big["__dealt"] == small["__salt"]
     for c, k in zip(on, keys):
         cond = cond & big[c].eqNullSafe(small[k])
-    return big.join(small.hint("merge"), cond, how).drop("__dealt", "__salt", *keys)
+    return big.join(small, cond, how).drop("__dealt", "__salt", *keys)
 
 
 def key_filter(keys: DataFrame, columns: Sequence[str], bits: int) -> DataFrame:

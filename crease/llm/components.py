@@ -11,10 +11,11 @@ from crease.llm.common import materialise, salted_join
 NODE_SALTS = 16
 
 
-def _least_neighbour(sym: DataFrame) -> DataFrame:
+def _least_neighbour(sym: DataFrame, nodes: int) -> DataFrame:
     """Each neighbour pair (u, v) with the least node among u and its neighbours as m."""
     least = sym.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    return salted_join(sym, least, ["u"], F.col("v"), how="inner", salts=NODE_SALTS)
+    return salted_join(sym, least, ["u"], F.col("v"), how="inner", salts=NODE_SALTS,
+                       rows=nodes)
 
 
 def star_edges(links: DataFrame) -> DataFrame:
@@ -32,10 +33,10 @@ def star_edges(links: DataFrame) -> DataFrame:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         seen = mark
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _least_neighbour(both).filter("v > u").select(F.col("v").alias("u"),
+        large = _least_neighbour(both, 2 * mark[0]).filter("v > u").select(F.col("v").alias("u"),
                                                               F.col("m").alias("v"))
         large = materialise(large.filter("u != v").distinct(), "large-star")
-        small = _least_neighbour(large)
+        small = _least_neighbour(large, 2 * mark[0])
         small = (small.select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(small.select("u", F.col("m").alias("v")))
                  .filter("u != v").distinct())

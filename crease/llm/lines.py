@@ -17,6 +17,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from crease.llm.common import SEPARATOR_CHARS, materialise, salted_join
 
@@ -56,7 +57,7 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
         near.join(exact.select(*key), key, "left_semi").select(*key, "_first"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _without(text: pd.Series, gone: pd.Series) -> pd.Series:
     def cut(body, at):
         if body is None or at is None:
@@ -66,9 +67,8 @@ def _without(text: pd.Series, gone: pd.Series) -> pd.Series:
     return pd.Series([cut(*x) for x in zip(text, gone)], dtype=object)
 
 
-def remove_boilerplate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                       site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
-    """``docs`` with the lines removed from ``text``, and n_lines and n_removed (long)."""
+def _cleaned(docs: DataFrame, doc_id: str, text: str, site: str, min_sites: int) -> DataFrame:
+    """_doc (the columns of ``docs``, lines removed from ``text``), _n_lines, _n_removed."""
     lines = materialise(site_lines(docs, doc_id, text, site), "lines")
     spread = materialise(boilerplate(lines, min_sites), "boilerplate")
     key = ["_h1", "_h2"]
@@ -86,14 +86,25 @@ def remove_boilerplate(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     cleaned = _without(F.when(hit, body), F.col("_gone"))
     n_lines = F.size(F.filter(F.split(F.coalesce(body, F.lit("")), "\n"),
                               lambda x: F.btrim(x, F.lit(SEPARATOR_CHARS)) != ""))
-    out = [F.when(hit, cleaned).otherwise(body).alias(c) if c == text else col.alias(c)
-           for c, col in zip(docs.columns, own)]
-    return joined.select(*out, n_lines.cast("long").alias("n_lines"),
-                         F.when(hit, F.size("_gone")).otherwise(0).cast("long").alias("n_removed"))
+    body = F.when(hit, cleaned).otherwise(body)
+    out = [body.alias(c) if c == text else col.alias(c) for c, col in zip(docs.columns, own)]
+    return joined.select(F.struct(*out).alias("_doc"), n_lines.cast("long").alias("_n_lines"),
+                         F.when(hit, F.size("_gone")).otherwise(0).cast("long").alias("_n_removed"))
+
+
+def remove_boilerplate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                       site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
+    """``docs`` with the lines removed from ``text``, and n_lines and n_removed (long), which
+    replace columns of these names."""
+    own = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return _cleaned(docs, doc_id, text, site, min_sites).select(
+        *[F.col(f"_doc.`{c}`").alias(c) for c in own], F.col("_n_lines").alias("n_lines"),
+        F.col("_n_removed").alias("n_removed"))
 
 
-def keep_unboiled(docs: DataFrame, **options) -> DataFrame:
+def keep_unboiled(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                  site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
     """``docs`` without their boilerplate lines; documents of which nothing is left go."""
-    rows = remove_boilerplate(docs, **options)
-    return rows.filter("n_removed = 0 OR n_removed < n_lines").select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    rows = _cleaned(docs, doc_id, text, site, min_sites)
+    return rows.filter("_n_removed = 0 OR _n_removed < _n_lines").select(
+        *[F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])

@@ -362,7 +362,8 @@ def keep_representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     # two hashes, so that the join and the removal of repeated rows share one exchange
     gone = materialise(verdicts.filter("NOT kept").select(
         "_hash", F.xxhash64("doc_id").alias("_key")).distinct(), "near-gone")
-    rows = docs.withColumn("_hash", F.xxhash64(F.col(text))).withColumn(
-        "_key", F.xxhash64(F.col(doc_id).cast("long")))
-    left = rows.join(gone, ["_hash", "_key"], "left_anti")
-    return left.dropDuplicates(["_hash", "_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
+                       F.xxhash64(F.col(text)).alias("_hash"),
+                       F.xxhash64(F.col(doc_id).cast("long")).alias("_key"))
+    left = rows.join(gone, ["_hash", "_key"], "left_anti").dropDuplicates(["_hash", "_key"])
+    return left.select(*[F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])
