@@ -30,10 +30,15 @@ def count_when(cond: Column) -> Column:
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
 
 
+def int_div(a, b) -> Column:
+    """Integer quotient in 64-bit arithmetic, never through a double."""
+    return F.call_function("div", a, b)
+
+
 def overs_display(balls) -> Column:
     """Legal balls as overs text: 17 -> '2.5' (integer div / mod, not a decimal)."""
     b = _c(balls).cast("bigint")
-    return F.concat(((b - b % 6) / 6).cast("bigint").cast("string"), F.lit("."),
+    return F.concat(int_div(b, F.lit(6)).cast("string"), F.lit("."),
                     (b % 6).cast("string"))
 
 
@@ -42,14 +47,14 @@ def half_up_rate(num, den, factor: int = 1, scale: int = 2) -> Column:
     NULL when den is NULL or 0; returned as DOUBLE.
 
     Computed in integer arithmetic: q = floor((2*factor*10^scale*num + den) / (2*den)),
-    so there is no double rounding; q / 10^scale is then correctly rounded to double.
+    and q / 10^scale as a decimal, so there is one rounding to double, at the end.
     """
     n, d = _c(num).cast("bigint"), _c(den).cast("bigint")
     mult = 10 ** scale
     a = n * F.lit(2 * factor * mult) + d
     b = d * F.lit(2)
-    q = ((a - a % b) / b).cast("bigint")
-    return F.when(d > 0, q / F.lit(float(mult)))
+    exact = int_div(a, b).cast("decimal(20,0)") / F.lit(mult).cast("decimal(10,0)")
+    return F.when(d > 0, exact.cast(f"decimal(30,{scale})").cast("double"))
 
 
 def half_up_decimal(num, den, factor: int = 1, scale: int = 2, precision: int = 20) -> Column:
@@ -58,8 +63,7 @@ def half_up_decimal(num, den, factor: int = 1, scale: int = 2, precision: int =
     mult = 10 ** scale
     a = n * F.lit(2 * factor * mult) + d
     b = d * F.lit(2)
-    q = ((a - a % b) / b).cast("bigint")
-    return F.when(d > 0, (q.cast(f"decimal({precision},0)") / F.lit(mult))
+    return F.when(d > 0, (int_div(a, b).cast(f"decimal({precision},0)") / F.lit(mult))
                   .cast(f"decimal({precision},{scale})"))
 
 
@@ -106,12 +110,9 @@ def opponent(teams, position0) -> Column:
 def result_text(winner, margin_runs, margin_wickets) -> Column:
     """'<winner> won by <n> runs|wickets'; NULL when there is no winner (|| semantics)."""
     w = _c(winner)
-    by = (F.when(_c(margin_runs).isNotNull(),
-                 F.concat(_c(margin_runs).cast("string"), F.lit(" runs")))
-          .when(_c(margin_wickets).isNotNull(),
-                F.concat(_c(margin_wickets).cast("string"), F.lit(" wickets")))
-          .otherwise(F.lit("")))
-    return F.concat(w, F.when(w.isNotNull(), F.lit(" won by ")).otherwise(F.lit("")), by)
+    by = F.coalesce(F.concat(_c(margin_runs).cast("string"), F.lit(" runs")),
+                    F.concat(_c(margin_wickets).cast("string"), F.lit(" wickets")), F.lit(""))
+    return F.concat(w, F.lit(" won by "), by)
 
 
 def match_id_from_filename(filename) -> Column:

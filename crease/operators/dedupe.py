@@ -1,9 +1,8 @@
 """DISTINCT ON (keys) with a deterministic survivor.
 
-Implemented as ``groupBy(keys).agg(min_by(struct(rest), struct(order)))``: a hash
-aggregate with map-side partial aggregation, so a hot key is reduced before the shuffle
-and no group is ever sorted or buffered whole (a ``row_number() = 1`` window would put a
-hot key's rows into one task).
+Implemented as ``groupBy(keys).agg(min_by(struct(rest), struct(order)))``: a sort
+aggregate (its state is a struct) with map-side partial aggregation, so a hot key is reduced
+before the shuffle (a ``row_number() = 1`` window would put a hot key's rows into one task).
 """
 
 from __future__ import annotations

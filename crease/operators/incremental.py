@@ -32,17 +32,14 @@ def new_only(df: DataFrame, target: DataFrame, key: str = "hash_id") -> DataFram
 def not_in_counts(df: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """One row: rows of ``df`` kept by an anti join and by ``key NOT IN (target)``.
 
-    NOT IN is NULL-aware: one NULL in the target makes every comparison unknown, so it
-    keeps nothing. Computed without a join: anti-join rows and target NULL markers are
-    unioned and aggregated."""
-    kept = new_only(df, target, key).select(F.lit(1).alias("_new"), F.lit(0).alias("_null"))
-    nulls = target.filter(F.col(key).isNull()).select(F.lit(0).alias("_new"),
-                                                      F.lit(1).alias("_null"))
-    agg = kept.unionByName(nulls).agg(F.coalesce(F.sum("_new"), F.lit(0)).alias("n"),
-                                      F.coalesce(F.max("_null"), F.lit(0)).alias("z"))
-    return agg.select(F.col("n").cast("bigint").alias("n_left_anti"),
-                      F.when(F.col("z") > 0, F.lit(0)).otherwise(F.col("n"))
-                      .cast("bigint").alias("n_not_in"))
+    NOT IN is NULL-aware: one NULL in the target keeps nothing, a NULL key is kept only
+    against an empty target. Spark plans it as a null-aware anti join, which broadcasts the
+    target; ``new_only`` is the form to use at scale."""
+    kept = new_only(df, target, key).agg(F.count(F.lit(1)).alias("n_left_anti"))
+    strict = df.sparkSession.sql(
+        f"SELECT count(1) AS n_not_in FROM {{rows}} WHERE `{key}` NOT IN (SELECT `{key}` FROM {{known}})",
+        rows=df, known=target)
+    return kept.select("n_left_anti", strict.scalar().alias("n_not_in"))
 
 
 def upsert_by_key(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
@@ -97,6 +94,27 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None,
     w.parquet(path)
 
 
+def _bucket_files(spark: SparkSession, path: str, buckets: list[int]) -> dict[int, list[str]]:
+    """File names of those partition directories that exist."""
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(
+        spark.sparkContext._jsc.hadoopConfiguration())
+    found = {}
+    for b in buckets:
+        part = jvm.org.apache.hadoop.fs.Path(f"{path}/{BUCKET_COL}={b}")
+        if fs.exists(part):
+            found[b] = sorted(str(f.getPath().getName()) for f in fs.listStatus(part))
+    return found
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete table or partition directories, where they exist."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        table = jvm.org.apache.hadoop.fs.Path(path)
+        table.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(table, True)
+
+
 def replace_matches(spark: SparkSession, path: str, rebuilt: DataFrame,
                     changed: DataFrame, width: int = BUCKET_WIDTH_DEFAULT,
                     key: str = "match_id") -> None:
@@ -107,14 +125,19 @@ def replace_matches(spark: SparkSession, path: str, rebuilt: DataFrame,
     rows. Dynamic overwrite writes new files to a job staging directory and swaps the
     touched partitions in only at job commit, after every task has finished reading the
     old files, so reading and replacing the same partitions in one job is safe (a
-    static overwrite of a path being read is not, and is never used)."""
+    static overwrite of a path being read is not, and is never used). A touched bucket that
+    ends without rows is not written, so its files are still the old ones: it is deleted."""
     rebuilt_b = with_bucket(rebuilt, width, key)
     if not table_exists(spark, path):
         write_table(rebuilt_b, path, BUCKET_COL)
         return
     old = spark.read.parquet(path)
-    keep = (in_buckets(old, touched_buckets(changed, width, key))
+    touched = touched_buckets(changed, width, key)
+    before = _bucket_files(spark, path, touched)
+    keep = (in_buckets(old, touched)
             .join(changed.select(key).distinct(), key, "left_anti"))
     merged = keep.unionByName(rebuilt_b.select(*old.columns))
     (merged.hint("rebalance", BUCKET_COL).write.mode("overwrite").partitionBy(BUCKET_COL)
      .option("partitionOverwriteMode", "dynamic").parquet(path))
+    after = _bucket_files(spark, path, touched)
+    drop_tables(spark, [f"{path}/{BUCKET_COL}={b}" for b in before if after.get(b) == before[b]])

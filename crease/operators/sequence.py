@@ -1,20 +1,8 @@
 """Running counts (COUNT(*) OVER (PARTITION BY p ORDER BY o)) and appearance orders.
 
 ``running_count`` keeps the SQL default frame (RANGE UNBOUNDED PRECEDING .. CURRENT ROW):
-rows with equal order keys (peers) share one value.
-
-A plain window puts a whole partition into one task. That is right for bounded groups
-(an innings has a few hundred balls) and wrong if one partition key holds a large share
-of the table. So the operator measures the largest group first (a partial aggregate,
-cheap) and, above ``max_group_rows``, switches to a split plan:
-
-1. collapse rows to distinct (p, o) keys with their multiplicity (map-side combine);
-2. range-partition those keys by (p, o) into slices — a hot ``p`` spans many slices;
-3. running sum of multiplicities inside each (slice, p)   — bounded by slice size;
-4. per (slice, p) totals, prefix-summed over slices        — at most #slices rows per p;
-5. join numbered keys back to the rows on (p, o).
-
-Both plans give identical results (tests check this).
+rows with equal order keys (peers) share one value. It is one plain window at every size:
+a partition is an innings or one of its parts, a few hundred rows by the rules of the game.
 """
 
 from __future__ import annotations
@@ -22,62 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_GROUP_ROWS = 2_000_000
-CONF_MAX_GROUP_ROWS = "crease.window.maxGroupRows"
-
-
-def _max_group_rows(df: DataFrame, override: int | None) -> int:
-    if override is not None:
-        return override
-    v = df.sparkSession.conf.get(CONF_MAX_GROUP_ROWS, None)
-    return int(v) if v else DEFAULT_MAX_GROUP_ROWS
-
-
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Row count of the biggest group (one small aggregate job)."""
-    row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()
-    return int(row[0] or 0)
-
 
 def running_count(df: DataFrame, partition_by: list[str], order_by: list[str],
-                  out: str, strategy: str = "auto",
-                  max_group_rows: int | None = None, slices: int | None = None) -> DataFrame:
+                  out: str) -> DataFrame:
     """Add ``out`` = number of rows in the same partition with order key <= this row's.
 
     ``order_by`` columns are ascending, nulls first (Spark's default; PostgreSQL's
-    default ASC is nulls last — callers keep order keys non-null)."""
-    p, o = list(partition_by), list(order_by)
-    if strategy == "auto":
-        limit = _max_group_rows(df, max_group_rows)
-        strategy = "window" if largest_group(df, p) <= limit else "split"
-    if strategy == "window":
-        w = Window.partitionBy(*p).orderBy(*o)
-        return df.withColumn(out, F.count(F.lit(1)).over(w))
-    if strategy != "split":
-        raise ValueError(f"unknown strategy {strategy!r}")
-    return _running_count_split(df, p, o, out, slices)
-
-
-def _running_count_split(df: DataFrame, p: list[str], o: list[str], out: str,
-                         slices: int | None) -> DataFrame:
-    spark = df.sparkSession
-    n_slices = slices or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
-    keys = df.groupBy(*p, *o).agg(F.count(F.lit(1)).alias("_mult"))
-    sliced = (keys.repartitionByRange(n_slices, *p, *o)
-              .withColumn("_slice", F.spark_partition_id()))
-    upto = Window.partitionBy("_slice", *p).orderBy(*o).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    local = sliced.withColumn("_local", F.sum("_mult").over(upto))
-    before = Window.partitionBy(*p).orderBy("_slice").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = (sliced.groupBy("_slice", *p).agg(F.sum("_mult").alias("_tot"))
-               .withColumn("_off", F.coalesce(F.sum("_tot").over(before), F.lit(0)))
-               .drop("_tot"))
-    numbered = (local.join(offsets, ["_slice", *p])
-                .select(*[F.col(c).alias(f"_k_{c}") for c in p + o],
-                        (F.col("_off") + F.col("_local")).cast("bigint").alias(out)))
-    cond = [df[c].eqNullSafe(numbered[f"_k_{c}"]) for c in p + o]
-    return df.join(numbered, cond, "inner").drop(*[f"_k_{c}" for c in p + o])
+    default ASC is nulls last — callers keep order keys non-null). Rows with a NULL
+    partition key form one partition."""
+    w = Window.partitionBy(*partition_by).orderBy(*order_by)
+    return df.withColumn(out, F.count(F.lit(1)).over(w))
 
 
 def role_first_steps(events: DataFrame, partition_by: list[str], seq_col: str,
@@ -102,8 +44,7 @@ def role_first_steps(events: DataFrame, partition_by: list[str], seq_col: str,
 
 
 def appearance_order(events: DataFrame, partition_by: list[str], seq_col: str,
-                     actors: list[tuple[str, int]], name_out: str, pos_out: str,
-                     strategy: str = "auto") -> DataFrame:
+                     actors: list[tuple[str, int]], name_out: str, pos_out: str) -> DataFrame:
     """Order in which actors first appear in a sequence.
 
     For each actor column (with a priority used to break a tie on the same step), take
@@ -114,7 +55,6 @@ def appearance_order(events: DataFrame, partition_by: list[str], seq_col: str,
     roles has at most ``len(actors)`` rows per partition."""
     p = list(partition_by)
     earliest = role_first_steps(events, p, seq_col, actors)
-    numbered = running_count(earliest, p, ["_min_first", "_priority"], pos_out,
-                             strategy=strategy)
+    numbered = running_count(earliest, p, ["_min_first", "_priority"], pos_out)
     return numbered.select(*p, F.col("_actor").alias(name_out), F.col(pos_out))
 

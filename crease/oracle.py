@@ -112,7 +112,8 @@ SELECT r_name AS city, 'UNKNOWN' AS country FROM region"""
 
 CTES["iv"] = f"""
 SELECT DISTINCT ON (venue_name) {sk('venue_name')} AS venue_id, venue_name, city, country
-FROM vc JOIN cc USING (city)
+FROM (SELECT n_name AS venue_name, r_name AS city
+      FROM nation JOIN region ON n_regionkey = r_regionkey) JOIN cc USING (city)
 ORDER BY venue_name, (country = 'UNKNOWN'), country, city"""
 
 CTES["im"] = """

@@ -2,7 +2,7 @@
 
 Everything keyed by match is computed from the staging row of that match. Dimension
 joins (venues, teams) are left to the planner's size-checked broadcast (see
-``crease.operators.sizing``): small seeds broadcast, a large one stays a shuffled join.
+``spark.sql.autoBroadcastJoinThreshold``): small seeds broadcast, a large one stays a shuffled join.
 """
 
 from __future__ import annotations

@@ -18,25 +18,23 @@ from crease.operators.sequence import appearance_order, running_count
 INNINGS_KEY = ["match_id", "innings_number"]
 
 
-def fct_deliveries_sequence(deliveries: DataFrame, strategy: str = "auto") -> DataFrame:
-    """``strategy`` is the running-count plan ("window", "split" or "auto" to measure);
-    callers that already know the largest innings pass it down."""
+def fct_deliveries_sequence(deliveries: DataFrame) -> DataFrame:
     seq = running_count(deliveries, INNINGS_KEY, ["over_number", "ball_in_over"],
-                        "ball_in_innings", strategy=strategy)
+                        "ball_in_innings")
     return seq.select("match_id", "innings_number", "ball_in_innings", "batter",
                       "non_striker", "bowler")
 
 
-def fct_batting_order(sequence: DataFrame, strategy: str = "auto") -> DataFrame:
+def fct_batting_order(sequence: DataFrame) -> DataFrame:
     """Striker (priority 1) before non-striker (2) when both first appear on one ball."""
     return appearance_order(sequence, INNINGS_KEY, "ball_in_innings",
                             [("batter", 1), ("non_striker", 2)],
-                            "player_name", "batting_position", strategy=strategy)
+                            "player_name", "batting_position")
 
 
-def fct_bowling_order(sequence: DataFrame, strategy: str = "auto") -> DataFrame:
+def fct_bowling_order(sequence: DataFrame) -> DataFrame:
     return appearance_order(sequence, INNINGS_KEY, "ball_in_innings", [("bowler", 1)],
-                            "bowler", "bowling_position", strategy=strategy)
+                            "bowler", "bowling_position")
 
 
 def fct_dismissed_players(deliveries: DataFrame) -> DataFrame:

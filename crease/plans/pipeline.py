@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crease import schemas
-from crease.operators.incremental import (BUCKET_COL, BUCKET_WIDTH_DEFAULT, in_buckets,
-                                         replace_matches, table_exists, touched_buckets,
+from crease.operators.incremental import (BUCKET_COL, BUCKET_WIDTH_DEFAULT, drop_tables,
+                                         in_buckets, replace_matches, table_exists, touched_buckets,
                                          with_bucket)
 from crease.plans import intermediate as im
 from crease.plans import marts as mt
@@ -150,11 +150,17 @@ def ingest(wh: Warehouse, files: DataFrame, on_changed: str = "replace") -> Data
     replace_matches(spark, wh.path("raw/matches"), fs.match_rows(docs), changed, wh.bucket_width)
     replace_matches(spark, wh.path("raw/deliveries"), fs.flatten_deliveries(docs), changed,
                     wh.bucket_width)
-    fs.quarantine(parsed).write.mode("append").parquet(wh.path("raw/quarantine"))
+    quarantined = fs.quarantine(parsed)
+    if table_exists(spark, wh.path("raw/quarantine")):  # a replay finds its own rows there
+        known = spark.read.parquet(wh.path("raw/quarantine"))
+        quarantined = quarantined.join(known.select("filename", "file_hash").distinct(),
+                                        ["filename", "file_hash"], "left_anti")
+    quarantined.write.mode("append").parquet(wh.path("raw/quarantine"))
     write_version(vn.upsert_venues(wh.src_venues(), vn.batch_venues(docs)),
                   wh.path("raw/src_venues"))
     # registry last: a failure above leaves the files unregistered -> replayed next run
-    write_version(fs.registry_append(registry, fresh), wh.path("raw/registry"))
+    # and from the stored batch, so a file rewritten meanwhile keeps the hash of what was loaded
+    write_version(fs.registry_append(registry, parsed), wh.path("raw/registry"))
     return changed
 
 
@@ -267,8 +273,10 @@ def seed_initial(wh: Warehouse, venue_city: DataFrame, city_country: DataFrame)
 
 
 def reset(wh: Warehouse) -> None:
-    """Start over: new empty versions of the raw registry/venues and seeds (data tables
-    are replaced by match on the next ingest)."""
+    """Start over: the raw tables, the models made from them and the run batches go; the
+    registry and the source venues get a new empty version. Seeds stay."""
+    drop_tables(wh.spark, [wh.path(name) for name in (
+        "raw/matches", "raw/deliveries", "raw/quarantine", "models", "batches")])
     for name, schema in [("raw/registry", schemas.REGISTRY),
                          ("raw/src_venues", schemas.SRC_VENUES)]:
         write_version(wh.spark.createDataFrame([], schema), wh.path(name))

@@ -80,7 +80,7 @@ def to_date_parse(w: World) -> DataFrame:
 def json_path_extract(w: World) -> DataFrame:
     """Schemaless JSON payload: ``props`` parsed to VARIANT, one path extracted."""
     e = w.table("events")
-    return e.select("event_id", F.expr("variant_get(parse_json(props), '$.k', 'int')")
+    return e.select("event_id", F.expr("try_variant_get(try_parse_json(props), '$.k', 'int')")
                     .alias("k"))
 
 
@@ -205,7 +205,7 @@ def first_wicket(w: World) -> DataFrame:
     """Balls whose JSON lists two wickets (a run-out of the non-striker added on even
     line numbers): only the first counts."""
     two = F.col("delivery.wickets").isNotNull() & (F.col("_ln") % 2 == 0)
-    raw = (ad.fd_raw(w.spark, w.sf_dir, w.strategy, keep_line=True)
+    raw = (ad.fd_raw(w.spark, w.sf_dir, keep_line=True)
            .select("match_id", "hash_id", F.col("innings_number").alias("n_innings"), "team",
                    F.col("over_number").alias("n_over"), F.col("ball_in_over").alias("n_delivery"),
                    "super_over", "_ln", ad.delivery_struct().alias("delivery")))
@@ -222,7 +222,7 @@ def first_wicket(w: World) -> DataFrame:
 def legal_ball_predicate(w: World) -> DataFrame:
     """JSON where bye balls also carry ``"noballs": null``: the key is present, so the
     ball is not legal, while its no-ball count still defaults to 0."""
-    raw = ad.fd_deliveries_json(w.spark, w.sf_dir, w.strategy)
+    raw = ad.fd_deliveries_json(w.spark, w.sf_dir)
     has_byes = (F.col("delivery").contains('"byes":')
                 & ~F.col("delivery").contains('"noballs":'))
     raw = raw.withColumn("delivery", F.when(

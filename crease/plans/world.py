@@ -16,7 +16,6 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crease.operators.sequence import CONF_MAX_GROUP_ROWS, DEFAULT_MAX_GROUP_ROWS
 from crease.plans import intermediate as im
 from crease.plans import marts as mt
 from crease.plans import staging as st
@@ -25,10 +24,6 @@ from crease.session import read_table
 from crease.sources.venues import UNKNOWN_COUNTRY
 
 
-def _max_group_rows(spark: SparkSession) -> int:
-    v = spark.conf.get(CONF_MAX_GROUP_ROWS, None)
-    return int(v) if v else DEFAULT_MAX_GROUP_ROWS
-
 # --- fixed scenario values ---------------------------------------------------------------
 SEEDED_NATIONS = 15        # venues (nations) with key below this are in the venue seed
 COUNTRY_REGIONS = 3        # regions with key below this have a real country name
@@ -47,17 +42,9 @@ class World:
         return read_table(self.spark, self.sf_dir, name)
 
     # raw inputs -------------------------------------------------------------------------
-    @cached_property
-    def strategy(self) -> str:
-        """Running-count plan for every ball-grain window: all of them partition by
-        (match, innings) or finer, so the largest innings bounds every group. Measured
-        once at the source (two columns of lineitem)."""
-        limit = _max_group_rows(self.spark)
-        return "window" if ad.largest_innings(self.spark, self.sf_dir) <= limit else "split"
-
     @cached_property
     def fd_raw(self) -> DataFrame:
-        return ad.fd_raw(self.spark, self.sf_dir, self.strategy)
+        return ad.fd_raw(self.spark, self.sf_dir)
 
     @cached_property
     def fm(self) -> DataFrame:
@@ -108,7 +95,11 @@ class World:
 
     @cached_property
     def venues(self) -> DataFrame:
-        return im.int_venues(self.venue_city, self.city_country)
+        """All nations are seeded; the split into old and new seeds is for the seed queries."""
+        n, r = self.table("nation"), self.table("region")
+        cities = n.join(r, n.n_regionkey == r.r_regionkey).select(
+            F.col("n_name").alias("venue_name"), F.col("r_name").alias("city"))
+        return im.int_venues(cities, self.city_country)
 
     @cached_property
     def matches(self) -> DataFrame:
@@ -136,15 +127,15 @@ class World:
 
     @cached_property
     def sequence(self) -> DataFrame:
-        return mt.fct_deliveries_sequence(self.deliveries, self.strategy)
+        return mt.fct_deliveries_sequence(self.deliveries)
 
     @cached_property
     def batting_order(self) -> DataFrame:
-        return mt.fct_batting_order(self.sequence, self.strategy)
+        return mt.fct_batting_order(self.sequence)
 
     @cached_property
     def bowling_order(self) -> DataFrame:
-        return mt.fct_bowling_order(self.sequence, self.strategy)
+        return mt.fct_bowling_order(self.sequence)
 
     @cached_property
     def dismissed(self) -> DataFrame:

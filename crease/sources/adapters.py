@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crease import schemas
-from crease.operators.sequence import largest_group, running_count
+from crease.operators.sequence import running_count
 from crease.session import read_table, table_path
 
 # --- fixed values of the adapters ---------------------------------------------------
@@ -32,22 +32,7 @@ SQUAD = 11
 # ---------------------------------------------------------------------------------------
 
 
-_LARGEST: dict[tuple[str, float], int] = {}
-
-
-def largest_innings(spark: SparkSession, sf_dir: str) -> int:
-    """Balls in the biggest F-D innings: one aggregate over two lineitem columns,
-    remembered per input file version."""
-    path = table_path(sf_dir, "lineitem")
-    key = (path, os.path.getmtime(path) if os.path.exists(path) else 0.0)
-    if key not in _LARGEST:
-        li = read_table(spark, sf_dir, "lineitem").select("l_suppkey", "l_linestatus")
-        _LARGEST[key] = largest_group(li, ["l_suppkey", "l_linestatus"])
-    return _LARGEST[key]
-
-
-def fd_raw(spark: SparkSession, sf_dir: str, strategy: str = "auto",
-           keep_line: bool = False) -> DataFrame:
+def fd_raw(spark: SparkSession, sf_dir: str, keep_line: bool = False) -> DataFrame:
     """Balls with raw (nullable) extras, before the staging defaults. ``keep_line``
     also returns the source line number as ``_ln``."""
     # Partition the position window by the derived (match_id, innings_number) rather
@@ -58,8 +43,7 @@ def fd_raw(spark: SparkSession, sf_dir: str, strategy: str = "auto",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
         "l_shipdate", "CAST(l_suppkey AS INT) AS match_id",
         f"CAST({_INN} AS INT) AS innings_number")
-    seq = running_count(li, ["match_id", "innings_number"], FD_ORDER, "_pos",
-                        strategy=strategy)
+    seq = running_count(li, ["match_id", "innings_number"], FD_ORDER, "_pos")
     return seq.selectExpr(*FD_EXPRS, *(["l_linenumber AS _ln"] if keep_line else []))
 
 
@@ -117,27 +101,22 @@ FD_STAGED_EXPRS = [
 ]
 
 
-def fd_deliveries(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> DataFrame:
-    """F-D as staged balls (the int_deliveries shape)."""
-    return fd_raw(spark, sf_dir, strategy).selectExpr(*FD_STAGED_EXPRS)
-
-
 def delivery_struct() -> Column:
     """The raw per-ball object: extras holds only the keys that are present."""
     return F.expr(DELIVERY_SQL)
 
 
-def fd_deliveries_raw(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> DataFrame:
+def fd_deliveries_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F-D in the raw deliveries-table shape (typed delivery struct)."""
-    return fd_raw(spark, sf_dir, strategy).select(
+    return fd_raw(spark, sf_dir).select(
         "match_id", "hash_id", F.col("innings_number").alias("n_innings"), "team",
         F.col("over_number").alias("n_over"), F.col("ball_in_over").alias("n_delivery"),
         "super_over", delivery_struct().alias("delivery"))
 
 
-def fd_deliveries_json(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> DataFrame:
+def fd_deliveries_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F-D as raw rows whose ``delivery`` is JSON text, as a loader would store it."""
-    return fd_deliveries_raw(spark, sf_dir, strategy).withColumn(
+    return fd_deliveries_raw(spark, sf_dir).withColumn(
         "delivery", F.to_json("delivery"))
 
 

@@ -70,3 +70,10 @@ def test_result_text_null_propagation(spark):
 def test_count_when_zero_not_null(spark):
     df = spark.createDataFrame([(1, False), (1, False)], "g int, c boolean")
     assert df.groupBy("g").agg(count_when(F.col("c")).alias("n")).first().n == 0
+
+
+def test_integer_quotients_above_2_to_the_53(spark):
+    from crease.functions.columns import half_up_rate, overs_display
+    df = spark.createDataFrame([(900000000000000011, 400000000000001, 3)], "b long, n long, d long")
+    row = df.select(overs_display("b").alias("o"), half_up_rate("n", "d").alias("r")).first()
+    assert row["o"] == "150000000000000001.5" and row["r"] == 133333333333333.67

@@ -1,11 +1,10 @@
-"""Operators: running count (both plans), distinct_on, incremental helpers, quality."""
-
-import random
+"""Operators: running count, distinct_on, incremental helpers, quality."""
 
 from pyspark.sql import functions as F
 
 from crease.operators.dedupe import distinct_on
-from crease.operators.incremental import not_in_counts, replace_by_match, upsert_by_key
+from crease.operators.incremental import (not_in_counts, replace_by_match, replace_matches,
+                                          upsert_by_key)
 from crease.operators.quality import not_null, relationships, unique, unique_combination
 from crease.operators.sequence import appearance_order, running_count
 
@@ -21,27 +20,39 @@ def _sorted(rows):
 def test_running_count_peers_share_value(spark):
     df = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (2, 5), (None, 1), (None, 1)],
                                "p int, o int")
-    got = _rows(running_count(df, ["p"], ["o"], "n", strategy="window"), ["p", "o", "n"])
+    got = _rows(running_count(df, ["p"], ["o"], "n"), ["p", "o", "n"])
     assert got == _sorted([(1, 1, 2), (1, 1, 2), (1, 2, 3), (2, 5, 1), (None, 1, 2),
                            (None, 1, 2)])
 
 
-def test_running_count_split_equals_window_on_hot_key(spark):
-    rnd = random.Random(7)
-    # one partition key holds most rows; order keys have ties
-    data = [(0, rnd.randint(0, 300), rnd.randint(0, 3)) for _ in range(3000)]
-    data += [(k, rnd.randint(0, 20), rnd.randint(0, 3)) for k in range(1, 50) for _ in range(20)]
-    df = spark.createDataFrame(data, "p int, o1 int, o2 int")
-    a = running_count(df, ["p"], ["o1", "o2"], "n", strategy="window")
-    b = running_count(df, ["p"], ["o1", "o2"], "n", strategy="split", slices=16)
-    cols = ["p", "o1", "o2", "n"]
-    assert _rows(a, cols) == _rows(b, cols)
-
-
-def test_running_count_auto_picks_split_above_limit(spark):
-    df = spark.range(500).select((F.col("id") % 2).alias("p"), F.col("id").alias("o"))
-    out = running_count(df, ["p"], ["o"], "n", max_group_rows=100)
-    assert out.filter("p = 0").agg(F.max("n")).first()[0] == 250
+def test_running_count_large_group_without_exchange_reuse(spark):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        df = spark.range(1_200_000).select(F.lit(None).cast("int").alias("p"), F.col("id").alias("o"))
+        wrong = running_count(df, ["p"], ["o"], "n").filter(F.col("n") != F.col("o") + 1)
+        assert wrong.count() == 0
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_not_in_null_keys(spark):
+    def counts(keys, known):
+        def frame(values):
+            return spark.createDataFrame([(v,) for v in values], "k string")
+        return tuple(not_in_counts(frame(keys), frame(known), "k").first())
+    assert counts([None, "a"], ["b"]) == (2, 1)
+    assert counts([None, "a"], ["b", None]) == (2, 0)
+    assert counts([None, "a", "b"], []) == (3, 3)
+
+
+def test_replace_matches_empties_a_bucket(spark, tmpdir_path):
+    path = tmpdir_path + "/table"
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (9, "c")], "match_id int, v string")
+    replace_matches(spark, path, old, old.select("match_id"), width=4)
+    none = spark.createDataFrame([], old.schema)
+    replace_matches(spark, path, none, spark.createDataFrame([(9,)], "match_id int"), width=4)
+    rows = spark.read.parquet(path).select("match_id", "v").collect()
+    assert sorted(map(tuple, rows)) == [(1, "a"), (2, "b")]
 
 
 def test_appearance_order_striker_before_non_striker(spark):

@@ -1,20 +1,17 @@
 """Every catalog key against its DuckDB oracle on the smallest driver tables (row count,
-column names, order-insensitive values). The two pipeline keys write a warehouse and
-take minutes; they run with CREASE_SLOW=1 (tests/test_pipeline.py covers the pipeline)."""
-
-import os
+column names, order-insensitive values)."""
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from crease import catalog, oracle
 from conftest import SMALL_SF
 from tools.compare import TABLES, digest
 
 SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE",
                  "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMP"}
-SLOW = {"incremental_two_batches", "mart_incremental_equals_full"}
-KEYS = sorted(k for k in entry.queries() if os.environ.get("CREASE_SLOW") or k not in SLOW)
+KEYS = sorted(catalog.queries())
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +23,7 @@ def con():
 
 
 def test_every_key_has_oracle_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
 
 
 @pytest.mark.parametrize("key", KEYS)
@@ -50,22 +47,3 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["batter", "innings", "not_outs", "runs", "average", "strike_rate"]
     assert df.count() > 0
-
-
-@pytest.mark.parametrize("key", ["fct_deliveries_sequence", "fct_batting_order",
-                                 "fct_bowling_order", "q_top_batters", "running_count_ties"])
-def test_split_window_plan_matches_oracle(spark, con, key):
-    """Force the hot-key plan of every running count (groups above 3 rows are split into
-    range slices) and check the models still equal the oracle."""
-    from crease.operators.sequence import CONF_MAX_GROUP_ROWS
-    spark.conf.set(CONF_MAX_GROUP_ROWS, "3")
-    try:
-        df = entry.queries()[key](spark, SMALL_SF)
-        assert "rangepartitioning" in df._jdf.queryExecution().executedPlan().toString()
-        srows = [tuple(r) for r in df.collect()]
-    finally:
-        spark.conf.unset(CONF_MAX_GROUP_ROWS)
-    cur = con.execute(entry.oracle_sql()[key])
-    ocols = [d[0] for d in cur.description]
-    orows = cur.fetchall()
-    assert digest(df.columns, srows)[0] == digest(ocols, orows)[0]

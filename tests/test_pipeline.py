@@ -229,6 +229,17 @@ def test_replay_after_lost_registry_is_idempotent(spark, tmpdir_path):
     assert wh.model("int_deliveries").count() == balls_before
 
 
+def test_reset_forgets_the_former_files(spark, tmpdir_path):
+    first, second = (os.path.join(tmpdir_path, x) for x in ("first", "second"))
+    mf.write(first, "6001.json", mf.match_1001())
+    mf.write(second, "6002.json", mf.match_1001())
+    wh = _wh(spark)
+    pipeline.ingest(wh, fs.scan_files(spark, first))
+    pipeline.reset(wh)
+    pipeline.ingest(wh, fs.scan_files(spark, second))
+    assert [r[0] for r in wh.read_table("raw/matches").select("match_id").collect()] == [6002]
+
+
 def test_build_without_known_venues(spark, tmpdir_path):
     """No venue seeded and no seed refresh: the match-teams junction stays empty (its
     venue join drops every match) and the build still completes."""
