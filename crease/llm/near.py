@@ -52,7 +52,7 @@ CHOICES = (3, 15, 40, LOOK)
 #: threshold (about six standard errors of 32 hashes, four and a half of 128).
 SLACK = {PROBE_BYTES: 36, PERMUTATIONS: 14}
 #: A pair is named in the trees where its common prefix is longest, so many at most.
-NAMED = 2
+NAMED = 1
 #: Rows on each side of a seam between two partitions that are brought together.
 SEAM = 16
 FILTER_BITS = 1 << 22
