@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 
-from crease.plans.world import REPORT_EVENT, REPORT_YEAR
+from crease.plans.world import PLANT_KEYS, REPORT_EVENT, REPORT_YEAR
 
 SK_NULL = "'_dbt_utils_surrogate_key_null_'"
 
@@ -98,6 +98,7 @@ SELECT CAST(k AS INTEGER) AS match_id,
        CASE WHEN k % 11 = 0 THEN CASE WHEN k % 2 = 0 THEN 'tie' ELSE 'no result' END END AS result,
        CAST(CASE WHEN k % 11 <> 0 AND k % 4 < 2 THEN k % 50 + 1 END AS INTEGER) AS margin_runs,
        CAST(CASE WHEN k % 11 <> 0 AND k % 4 >= 2 THEN k % 10 + 1 END AS INTEGER) AS margin_wickets,
+       CAST(CASE WHEN k % 11 <> 0 AND k % 8 = 0 THEN 1 END AS INTEGER) AS margin_innings,
        CASE WHEN k % 11 <> 0 THEN 'P' || CAST(k % 11 AS VARCHAR) END AS player_of_match_0
 FROM fm0"""
 
@@ -120,7 +121,8 @@ CTES["im"] = """
 SELECT fm.match_id, fm.hash_id, iv.venue_id, fm.start_date, fm.format, fm.gender,
        fm.event_name, fm.event_match_number, fm.event_stage, fm.toss_winner, fm.toss_decision,
        CASE WHEN fm.winner IS NOT NULL THEN 'winner' ELSE fm.result END AS outcome_type,
-       fm.margin_runs, fm.margin_wickets, fm.winner
+       fm.margin_runs, fm.margin_wickets, fm.margin_innings, fm.winner,
+       '["' || fm.player_of_match_0 || '"]' AS player_of_match
 FROM fm LEFT JOIN iv ON fm.venue = iv.venue_name"""
 
 CTES["seq"] = """
@@ -159,35 +161,32 @@ FROM (SELECT match_id, innings_number, bowler, min(ball_in_innings) AS first_app
 CTES["dp"] = """
 SELECT DISTINCT match_id, innings_number, player_out FROM fd WHERE player_out IS NOT NULL"""
 
+CTES["batter_tally"] = """
+SELECT match_id, innings_number, team, batter AS player_name,
+       coalesce(bool_or(super_over), FALSE) AS is_super_over,
+       CAST(sum(batter_runs) AS BIGINT) AS runs, count(*) FILTER (WHERE wides = 0) AS balls
+FROM fd GROUP BY match_id, innings_number, team, batter"""
+
 CTES["bs"] = """
-SELECT s.*, dp.player_out IS NOT NULL AS is_dismissed
-FROM (SELECT bo.match_id, bo.innings_number, bo.batting_position,
-             coalesce(any_value(d.super_over), FALSE) AS is_super_over,
-             any_value(d.team) AS team, any_value(bo.player_name) AS player_name,
-             CAST(coalesce(sum(d.batter_runs), 0) AS BIGINT) AS runs,
-             CAST(sum(CASE WHEN d.wides = 0 THEN 1 ELSE 0 END) AS BIGINT) AS balls
-      FROM bo JOIN fd d ON d.match_id = bo.match_id AND d.innings_number = bo.innings_number
-                        AND d.batter = bo.player_name
-      GROUP BY bo.match_id, bo.innings_number, bo.batting_position) s
-LEFT JOIN dp ON s.match_id = dp.match_id AND s.innings_number = dp.innings_number
-            AND s.player_name = dp.player_out"""
+SELECT match_id, innings_number, batting_position, is_super_over, team, player_name, runs, balls,
+       (match_id, innings_number, player_name) IN (SELECT (match_id, innings_number, player_out)
+                                                   FROM dp) AS is_dismissed
+FROM batter_tally JOIN bo USING (match_id, innings_number, player_name)"""
+
+CTES["bowler_tally"] = """
+SELECT match_id, innings_number, bowler, coalesce(bool_or(super_over), FALSE) AS is_super_over,
+       count(*) FILTER (WHERE is_legal) AS balls,
+       CAST(sum(batter_runs + wides + noballs) AS BIGINT) AS runs,
+       count(player_out) FILTER (WHERE dismissal_mode NOT IN ('run out', 'retired hurt')) AS wickets,
+       count(*) FILTER (WHERE is_legal AND batter_runs = 0) AS dots,
+       count(*) FILTER (WHERE wides > 0) AS wides,
+       count(*) FILTER (WHERE noballs > 0) AS noballs
+FROM fd GROUP BY match_id, innings_number, bowler"""
 
 CTES["ws"] = f"""
-SELECT *, {half_up('runs', 'balls', 6)} AS economy
-FROM (SELECT wo.match_id, wo.innings_number, wo.bowling_position,
-             coalesce(any_value(d.super_over), FALSE) AS is_super_over,
-             any_value(d.bowler) AS bowler,
-             CAST(sum(CASE WHEN d.is_legal THEN 1 ELSE 0 END) AS BIGINT) AS balls,
-             CAST(sum(d.batter_runs) + sum(d.wides) + sum(d.noballs) AS BIGINT) AS runs,
-             CAST(sum(CASE WHEN d.player_out IS NOT NULL AND d.dismissal_mode IN
-                  ('lbw', 'bowled', 'caught', 'caught and bowled', 'stumped', 'hit wicket')
-                  THEN 1 ELSE 0 END) AS BIGINT) AS wickets,
-             CAST(sum(CASE WHEN d.is_legal AND d.batter_runs = 0 THEN 1 ELSE 0 END) AS BIGINT) AS dots,
-             CAST(sum(CASE WHEN d.wides > 0 THEN 1 ELSE 0 END) AS BIGINT) AS wides,
-             CAST(sum(CASE WHEN d.noballs > 0 THEN 1 ELSE 0 END) AS BIGINT) AS noballs
-      FROM wo JOIN fd d ON d.match_id = wo.match_id AND d.innings_number = wo.innings_number
-                        AND d.bowler = wo.bowler
-      GROUP BY wo.match_id, wo.innings_number, wo.bowling_position) t"""
+SELECT match_id, innings_number, is_super_over, bowling_position, bowler, balls, runs, wickets,
+       dots, {half_up('runs', 'balls', 6)} AS economy, wides, noballs
+FROM bowler_tally JOIN wo USING (match_id, innings_number, bowler)"""
 
 CTES["ii"] = """
 SELECT match_id, innings_number,
@@ -200,21 +199,25 @@ SELECT match_id, innings_number,
        CAST(sum(extras) AS BIGINT) AS extras
 FROM fd GROUP BY match_id, innings_number"""
 
-CTES["ms"] = f"""
-SELECT match_id, string_agg(team || ' ' || scores, ' vs ' ORDER BY ordering) AS scoreline
-FROM (SELECT match_id, team, min(innings_number) AS ordering,
-             string_agg(CAST(runs_scored AS VARCHAR) || '/' || CAST(wickets_lost AS VARCHAR)
-                        || ' (' || {overs('legal_deliveries')} || ')', ' & ' ORDER BY innings_number) AS scores
-      FROM ii GROUP BY match_id, team) t
-GROUP BY match_id"""
+# one text per innings; the innings of a team stand together, teams by their first innings
+CTES["innings_score"] = f"""
+SELECT match_id, team, innings_number,
+       min(innings_number) OVER (PARTITION BY match_id, team) AS team_from,
+       innings_number > min(innings_number) OVER (PARTITION BY match_id, team) AS again,
+       format('{{}}/{{}} ({{}})', runs_scored, wickets_lost, {overs('legal_deliveries')}) AS score
+FROM ii"""
+
+CTES["scorelines"] = """
+SELECT match_id, ltrim(string_agg(CASE WHEN again THEN ' & ' || score
+                                       ELSE ' vs ' || team || ' ' || score END, ''
+                                  ORDER BY team_from, innings_number), ' vs') AS scoreline
+FROM innings_score GROUP BY match_id"""
 
 CTES["summary"] = """
-SELECT im.match_id, im.start_date, ms.scoreline,
-       im.winner || CASE WHEN im.winner IS NOT NULL THEN ' won by ' ELSE '' END ||
-       CASE WHEN im.margin_runs IS NOT NULL THEN CAST(im.margin_runs AS VARCHAR) || ' runs'
-            WHEN im.margin_wickets IS NOT NULL THEN CAST(im.margin_wickets AS VARCHAR) || ' wickets'
-            ELSE '' END AS result
-FROM im LEFT JOIN ms ON im.match_id = ms.match_id"""
+SELECT match_id, start_date, scoreline,
+       winner || ' won by ' || coalesce(margin_runs || ' runs', margin_wickets || ' wickets', '')
+           AS result
+FROM im LEFT JOIN scorelines USING (match_id)"""
 
 
 def with_ctes(body: str) -> str:
@@ -252,33 +255,33 @@ SQL["fct_match_summary"] = "SELECT * FROM summary"
 SQL["int_venues"] = "SELECT * FROM iv"
 SQL["int_matches"] = "SELECT * FROM im"
 
+CTES["event_matches"] = f"""
+SELECT match_id FROM fm
+WHERE event_name = '{REPORT_EVENT}' AND year(start_date) = {REPORT_YEAR}"""
+
+CTES["event_batters"] = """
+SELECT player_name AS batter, count(*) AS innings, count(*) FILTER (WHERE is_dismissed) AS outs,
+       CAST(sum(runs) AS BIGINT) AS runs, CAST(sum(balls) AS BIGINT) AS balls
+FROM bs SEMI JOIN event_matches USING (match_id) GROUP BY player_name"""
+
 SQL["q_top_batters"] = f"""
-SELECT batter, innings, CAST(innings - dismissals AS BIGINT) AS not_outs, runs,
-       {half_up('runs', 'dismissals')} AS average,
+SELECT batter, innings, innings - outs AS not_outs, runs, {half_up('runs', 'outs')} AS average,
        {half_up('runs', 'balls', 100)} AS strike_rate
-FROM (SELECT CAST(count(*) AS BIGINT) AS innings, b.player_name AS batter,
-             CAST(sum(b.runs) AS BIGINT) AS runs, CAST(sum(b.balls) AS BIGINT) AS balls,
-             CAST(sum(CASE WHEN b.is_dismissed THEN 1 ELSE 0 END) AS BIGINT) AS dismissals
-      FROM bs b JOIN im m USING (match_id)
-      WHERE m.event_name = '{REPORT_EVENT}' AND EXTRACT(YEAR FROM m.start_date) = {REPORT_YEAR}
-      GROUP BY b.player_name) t
-ORDER BY runs DESC NULLS FIRST, batter ASC NULLS LAST
-LIMIT 10"""
+FROM event_batters
+QUALIFY row_number() OVER (ORDER BY runs DESC NULLS FIRST, batter ASC NULLS LAST) <= 10"""
+
+CTES["event_bowlers"] = """
+SELECT bowler, count(*) AS innings, CAST(sum(wickets) AS BIGINT) AS wickets,
+       CAST(sum(balls) AS BIGINT) AS balls, CAST(sum(runs) AS BIGINT) AS runs,
+       CAST(sum(dots) AS BIGINT) AS dots
+FROM ws SEMI JOIN event_matches USING (match_id) GROUP BY bowler"""
 
 SQL["q_top_bowlers"] = f"""
-SELECT bowler, innings, wickets, {overs('balls')} AS overs,
-       {half_up('runs', 'wickets')} AS average,
-       {half_up('runs', 'balls', 6)} AS economy,
-       dots,
-       {half_up('dots', 'balls', 100)} AS dot_ball_pct
-FROM (SELECT CAST(count(*) AS BIGINT) AS innings, b.bowler,
-             CAST(sum(b.runs) AS BIGINT) AS runs, CAST(sum(b.balls) AS BIGINT) AS balls,
-             CAST(sum(b.wickets) AS BIGINT) AS wickets, CAST(sum(b.dots) AS BIGINT) AS dots
-      FROM ws b JOIN im m USING (match_id)
-      WHERE m.event_name = '{REPORT_EVENT}' AND EXTRACT(YEAR FROM m.start_date) = {REPORT_YEAR}
-      GROUP BY b.bowler) t
-ORDER BY dots DESC NULLS FIRST, dot_ball_pct DESC NULLS FIRST, bowler ASC NULLS LAST
-LIMIT 10"""
+SELECT bowler, innings, wickets, {overs('balls')} AS overs, {half_up('runs', 'wickets')} AS average,
+       {half_up('runs', 'balls', 6)} AS economy, dots, {half_up('dots', 'balls', 100)} AS dot_ball_pct
+FROM event_bowlers
+QUALIFY row_number() OVER (ORDER BY dots DESC NULLS FIRST, dot_ball_pct DESC NULLS FIRST,
+                                    bowler ASC NULLS LAST) <= 10"""
 
 
 # --- junctions and dimensions -------------------------------------------------------------
@@ -486,6 +489,30 @@ MODEL_CTE = {
     "fct_batting_order": "bo", "fct_deliveries_sequence": "seq", "fct_dismissed_players": "dp",
     "fct_bowling_order": "wo", "fct_match_summary": "summary",
 }
+#: Reference columns whose value is made to point nowhere.
+STRAY = {"match_id": "-match_id", "venue_id": "'?' || venue_id", "team_id": "'?' || team_id",
+         "start_date": "CAST(start_date + INTERVAL 100 YEAR AS DATE)"}
+
+
+def _planted(model: str) -> str:
+    """The model with one fifth of its keys nulled, one made stray and one doubled."""
+    from crease.operators.quality import DECLARED
+    part = f"({PLANT_KEYS.get(model, 'match_id')}) % 5"
+    cte = MODEL_CTE[model]
+    changed: dict[str, list[str]] = {}
+    for m, cols in DECLARED.not_null:
+        for c in cols if m == model else []:
+            changed.setdefault(c, []).append(f"WHEN {part} = 1 THEN NULL")
+    for m, c, _, _ in DECLARED.relationships:
+        if m == model:
+            changed.setdefault(c, []).append(f"WHEN {part} = 2 THEN {STRAY[c]}")
+    cases = ", ".join(f"CASE {' '.join(w)} ELSE {c} END AS {c}" for c, w in changed.items())
+    star = f"* REPLACE ({cases})" if cases else "*"
+    return f"SELECT {star} FROM {cte} UNION ALL SELECT * FROM {cte} WHERE {part} = 0"
+
+
+for _model in MODEL_CTE:
+    CTES[f"planted_{_model}"] = _planted(_model)
 
 
 def _dq_sql(kind: str) -> str:
@@ -498,29 +525,29 @@ def _dq_sql(kind: str) -> str:
     if kind == "unique":
         for m, c in DECLARED.unique:
             parts.append(head("unique", m, c) + f"CAST(count(*) AS BIGINT) AS failures FROM "
-                         f"(SELECT {c} FROM {MODEL_CTE[m]} WHERE {c} IS NOT NULL "
+                         f"(SELECT {c} FROM planted_{m} WHERE {c} IS NOT NULL "
                          f"GROUP BY {c} HAVING count(*) > 1) t")
     if kind == "not_null":
         for m, cols in DECLARED.not_null:
             for c in cols:
                 parts.append(head("not_null", m, c) + f"CAST(count(*) FILTER (WHERE {c} IS NULL) "
-                             f"AS BIGINT) AS failures FROM {MODEL_CTE[m]}")
+                             f"AS BIGINT) AS failures FROM planted_{m}")
     if kind == "relationships":
         for m, c, pm, f in DECLARED.relationships:
             parts.append(head(f"relationships:{pm}.{f}", m, c)
-                         + f"CAST(count(*) AS BIGINT) AS failures FROM {MODEL_CTE[m]} ch "
+                         + f"CAST(count(*) AS BIGINT) AS failures FROM planted_{m} ch "
                          f"WHERE ch.{c} IS NOT NULL AND ch.{c} NOT IN "
-                         f"(SELECT {f} FROM {MODEL_CTE[pm]} WHERE {f} IS NOT NULL)")
+                         f"(SELECT {f} FROM planted_{pm} WHERE {f} IS NOT NULL)")
     if kind == "unique_combination":
         for m, cols in DECLARED.unique_combination:
             cl = ", ".join(cols)
             parts.append(head("unique_combination", m, ",".join(cols))
                          + f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT {cl} FROM "
-                         f"{MODEL_CTE[m]} GROUP BY {cl} HAVING count(*) > 1) t")
+                         f"planted_{m} GROUP BY {cl} HAVING count(*) > 1) t")
     if kind == "singular":
         for name, m, cond in DECLARED.singular:
             parts.append(head(name, m, "") + f"CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) "
-                         f"AS failures FROM {MODEL_CTE[m]}")
+                         f"AS failures FROM planted_{m}")
     return "\nUNION ALL\n".join(parts)
 
 

@@ -10,14 +10,19 @@ from pyspark.sql import functions as F
 from crease.functions import count_when, half_up_rate, overs_display
 
 
-def _event_matches(matches: DataFrame, event_name: str, year: int) -> DataFrame:
+def event_matches(matches: DataFrame, event_name: str, year: int) -> DataFrame:
     return matches.filter((F.col("event_name") == event_name)
                           & (F.year("start_date") == year)).select("match_id")
 
 
 def top_batters(batting_scorecard: DataFrame, matches: DataFrame, event_name: str,
                 year: int, k: int = 10) -> DataFrame:
-    stats = (batting_scorecard.join(_event_matches(matches, event_name, year), "match_id")
+    ids = event_matches(matches, event_name, year)
+    return rank_batters(batting_scorecard.join(ids, "match_id", "left_semi"), k)
+
+
+def rank_batters(batting_scorecard: DataFrame, k: int = 10) -> DataFrame:
+    stats = (batting_scorecard
              .groupBy(F.col("player_name").alias("batter"))
              .agg(F.count(F.lit(1)).alias("innings"),
                   F.sum("runs").cast("bigint").alias("runs"),
@@ -35,7 +40,12 @@ def top_batters(batting_scorecard: DataFrame, matches: DataFrame, event_name: st
 
 def top_bowlers(bowling_scorecard: DataFrame, matches: DataFrame, event_name: str,
                 year: int, k: int = 10) -> DataFrame:
-    stats = (bowling_scorecard.join(_event_matches(matches, event_name, year), "match_id")
+    ids = event_matches(matches, event_name, year)
+    return rank_bowlers(bowling_scorecard.join(ids, "match_id", "left_semi"), k)
+
+
+def rank_bowlers(bowling_scorecard: DataFrame, k: int = 10) -> DataFrame:
+    stats = (bowling_scorecard
              .groupBy("bowler")
              .agg(F.count(F.lit(1)).alias("innings"),
                   F.sum("runs").cast("bigint").alias("runs"),

@@ -2,8 +2,8 @@
 
 * balls   = F-D (``lineitem``), as typed raw rows -> staging projection;
 * matches = F-M (``supplier`` ⋈ ``nation`` ⋈ ``region``) as staging match-info rows;
-* seeds   = venue -> city from ``nation``/``region`` (nations below ``SEEDED_NATIONS``
-            only, so some venues are unknown), city -> country from ``region`` with an
+* seeds   = venue -> city from ``nation``/``region`` (the seed scenarios load the nations
+            from ``SEEDED_NATIONS`` on as new venues), city -> country from ``region`` with an
             extra 'UNKNOWN' row per region (duplicates the venue table must resolve).
 
 Methods build lazily and memoise per world, so one query plan reuses its inputs.
@@ -20,7 +20,7 @@ from crease.plans import intermediate as im
 from crease.plans import marts as mt
 from crease.plans import staging as st
 from crease.sources import adapters as ad
-from crease.session import read_table
+from crease.session import read_table, scratch_path
 from crease.sources.venues import UNKNOWN_COUNTRY
 
 
@@ -31,9 +31,19 @@ COUNTRY_SUFFIX = " LAND"
 REPORT_EVENT = "EUROPE"        # an event with matches in the report year at every scale
 REPORT_YEAR = 2024
 LOADED_AT = "2025-01-01 00:00:00"
+#: Quality scenario: integer by which a model's rows are dealt to five parts (else match_id).
+PLANT_KEYS = {"int_venues": "ascii(right(venue_name, 1))", "int_teams": "CAST(substr(team, 2) AS INT)",
+              "int_players": "CAST(substr(player_name, 2) AS INT)"}
 # ---------------------------------------------------------------------------------------
 
 
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` below the shared checkpoint folder and read it back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class World:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -41,6 +51,21 @@ class World:
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
 
+    def only(self, match_ids: DataFrame) -> World:
+        """This world with the balls of ``match_ids`` only. Every ball window is inside one
+        match, so the cut goes below all of them."""
+        cut = World(self.spark, self.sf_dir)
+        cut.fd_raw = ad.fd_raw(self.spark, self.sf_dir, match_ids=match_ids)
+        return cut
+
+    def stored(self) -> World:
+        """This world with the tables that many models read written once and read back."""
+        kept = World(self.spark, self.sf_dir)
+        for name in ("stg_match_info", "deliveries", "sequence", "matches", "match_teams", "teams",
+                     "match_players", "batting_order", "bowling_order", "dismissed"):
+            setattr(kept, name, store(getattr(kept, name), name))
+        return kept
+
     # raw inputs -------------------------------------------------------------------------
     @cached_property
     def fd_raw(self) -> DataFrame:
@@ -50,13 +75,6 @@ class World:
     def fm(self) -> DataFrame:
         return ad.fm_matches(self.spark, self.sf_dir)
 
-    @cached_property
-    def raw_deliveries(self) -> DataFrame:
-        return self.fd_raw.select(
-            "match_id", "hash_id", F.col("innings_number").alias("n_innings"), "team",
-            F.col("over_number").alias("n_over"), F.col("ball_in_over").alias("n_delivery"),
-            "super_over", ad.delivery_struct().alias("delivery"))
-
     @cached_property
     def raw_matches(self) -> DataFrame:
         return self.fm.select("match_id", "hash_id",

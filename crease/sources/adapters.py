@@ -32,9 +32,11 @@ SQUAD = 11
 # ---------------------------------------------------------------------------------------
 
 
-def fd_raw(spark: SparkSession, sf_dir: str, keep_line: bool = False) -> DataFrame:
+def fd_raw(spark: SparkSession, sf_dir: str, keep_line: bool = False,
+           match_ids: DataFrame | None = None) -> DataFrame:
     """Balls with raw (nullable) extras, before the staging defaults. ``keep_line``
-    also returns the source line number as ``_ln``."""
+    also returns the source line number as ``_ln``; ``match_ids`` leaves only the balls of
+    these matches, before any window."""
     # Partition the position window by the derived (match_id, innings_number) rather
     # than the raw columns, so the ball-sequence window and per-innings aggregates
     # downstream reuse this exchange instead of shuffling the balls again.
@@ -43,6 +45,8 @@ def fd_raw(spark: SparkSession, sf_dir: str, keep_line: bool = False) -> DataFra
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
         "l_shipdate", "CAST(l_suppkey AS INT) AS match_id",
         f"CAST({_INN} AS INT) AS innings_number")
+    if match_ids is not None:
+        li = li.join(match_ids, "match_id", "left_semi")
     seq = running_count(li, ["match_id", "innings_number"], FD_ORDER, "_pos")
     return seq.selectExpr(*FD_EXPRS, *(["l_linenumber AS _ln"] if keep_line else []))
 

@@ -55,7 +55,15 @@ def test_report_filter_reaches_parquet_scan(spark, tmpdir_path):
     assert "ReadSchema: struct<match_id:int,start_date:date,event_name:string>" in scan
 
 
-def test_distinct_on_is_a_hash_aggregate(spark):
+def test_report_cuts_balls_before_every_window(spark):
+    df = entry.queries()["q_top_bowlers"](spark, SMALL_SF)
+    lines = _plan(df).splitlines()
+    depth = {name: [len(ln) - len(ln.lstrip(" :+-*(0123456789)")) for ln in lines if name in ln]
+             for name in (" Window [", " LeftSemi")}
+    assert depth[" Window ["] and max(depth[" Window ["]) < max(depth[" LeftSemi"])
+
+
+def test_distinct_on_is_an_aggregate_without_window(spark):
     df = entry.queries()["distinct_on"](spark, SMALL_SF)
     plan = _plan(df)
     assert "Window" not in plan and "Aggregate" in plan and "partial_max_by" in plan
