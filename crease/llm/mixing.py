@@ -125,6 +125,19 @@ def running_start(rows: DataFrame, group: str, order: str, size: str, out: str)
             .drop("_bin", "_off", "_in"))
 
 
+def _measured(docs: DataFrame, doc_id: str, text: str, sources: Column | None, seed: int,
+              whole: bool) -> DataFrame:
+    """doc_id, size, members, _seed and _row of ``docs``, and with ``whole`` its columns as _doc."""
+    member = F.array(F.col("source")) if sources is None else sources
+    kept = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")] if whole else []
+    return materialise(docs.select(
+        *kept, F.col(doc_id).alias("doc_id"),
+        F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
+        F.array_sort(F.array_distinct(member)).alias("members"),
+        F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text)).alias("_seed"),
+        F.monotonically_increasing_id().alias("_row")), "mix-docs" if whole else "mix-rows")
+
+
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         sources: Column | None = None, weights: Sequence[int] = WEIGHTS, seed: int = 17,
         most: int = MAX_TAKES) -> tuple[DataFrame, DataFrame]:
@@ -134,14 +147,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     ``sources``: array column of the sources a document belongs to (default: its ``source``).
     """
-    member = F.array(F.col("source")) if sources is None else sources
-    stored = materialise(docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
-        F.col(doc_id).alias("doc_id"),
-        F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
-        F.array_sort(F.array_distinct(member)).alias("members"),
-        F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text)).alias("_seed"),
-        F.monotonically_increasing_id().alias("_row")), "mix-docs")
+    stored = _measured(docs, doc_id, text, sources, seed, whole=True)
     return _mixed(stored.drop("_doc"), weights, most), stored.select("_row", "_doc")
 
 
@@ -149,17 +155,13 @@ def mix_sizes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
               sources: Column | None = None, weights: Sequence[int] = WEIGHTS, seed: int = 17,
               most: int = MAX_TAKES) -> DataFrame:
     """The ``rows`` of ``mix`` alone: texts are read once and not kept."""
-    member = F.array(F.col("source")) if sources is None else sources
-    rows = materialise(docs.select(
-        F.col(doc_id).alias("doc_id"),
-        F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
-        F.array_sort(F.array_distinct(member)).alias("members"),
-        F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text)).alias("_seed"),
-        F.monotonically_increasing_id().alias("_row")), "mix-rows")
-    return _mixed(rows, weights, most)
+    return _mixed(_measured(docs, doc_id, text, sources, seed, whole=False), weights, most)
 
 
-def _mixed(rows: DataFrame, weights: Sequence[int], most: int) -> DataFrame:
+def _laid(rows: DataFrame, weights: Sequence[int], most: int) -> DataFrame:
+    """``rows`` with their pattern's share of the flow (lap, routed, cuts), _start, _laps (whole
+    laps), _rest (words of the partial lap) and _round: 0 for a document that the partial lap
+    takes, 1, 2, .. for one that a repair round adds, else null."""
     spark = rows.sparkSession
     # one row per distinct set of sources
     patterns = [(r["members"], r["n"]) for r in
@@ -190,22 +192,27 @@ def _mixed(rows: DataFrame, weights: Sequence[int], most: int) -> DataFrame:
     full = F.when(F.col("lap") > 0, F.expr("routed div lap")).otherwise(F.lit(0))
     rest = F.col("routed") - full * F.col("lap")
     rows = (rows.withColumn("_laps", full)
-            .withColumn("_extra", F.col("_start") + F.col("size") <= rest)
+            .withColumn("_round", F.when(F.col("_start") + F.col("size") <= rest, F.lit(0)))
             .withColumn("_rest", rest))
     rows = materialise(rows, "mix-laps")
-    for _ in range(REPAIRS):
+    for n in range(1, REPAIRS + 1):
         got = rows.groupBy("_group").agg(
-            F.sum(F.when(F.col("_extra"), F.col("size")).otherwise(0)).alias("_got"))
-        missing = salted_join(rows.filter(~F.col("_extra")), got, ["_group"], F.col("_row"), "inner")
+            F.sum(F.when(F.col("_round").isNotNull(), F.col("size")).otherwise(0)).alias("_got"))
+        missing = salted_join(rows.filter("_round IS NULL"), got, ["_group"], F.col("_row"), "inner")
         short = F.col("_rest") - F.col("_got")
         fits = missing.withColumn("_short", short).filter("size > 0 AND size <= _short")
         fits = running_start(fits.select("_row", "_group", "_seed", "size", "_short"),
                              "_group", "_seed", "size", "_at")
-        more = fits.filter("_at + size <= _short").select("_row", F.lit(True).alias("_more"))
+        more = fits.filter("_at + size <= _short").select("_row", F.lit(n).alias("_more"))
         rows = materialise(rows.join(more, "_row", "left")
-                           .withColumn("_extra", F.col("_extra") | F.coalesce("_more", F.lit(False)))
+                           .withColumn("_round", F.coalesce("_round", "_more"))
                            .drop("_more"), "mix-repair")
-    copies = (F.col("_laps") + F.col("_extra").cast("long")).cast("int")
+    return rows
+
+
+def _mixed(rows: DataFrame, weights: Sequence[int], most: int) -> DataFrame:
+    rows = _laid(rows, weights, most)
+    copies = (F.col("_laps") + F.col("_round").isNotNull().cast("long")).cast("int")
     middle = F.col("_start") + F.expr("size div 2")
 
     def owner(lap: Column) -> Column:
@@ -225,10 +232,28 @@ def _mixed(rows: DataFrame, weights: Sequence[int], most: int) -> DataFrame:
         F.get(F.transform("cuts", public), F.lit(0)).alias("own"))
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: rows of ``docs``, each as often as it is taken."""
-    rows, stored = mix(docs, **options)
-    taken = rows.filter("copies > 0").select("_row", "copies")
-    return (stored.join(taken, "_row")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                    sources: Column | None = None, weights: Sequence[int] = WEIGHTS, seed: int = 17,
+                    most: int = MAX_TAKES) -> DataFrame:
+    """The mix itself: rows of ``docs``, each as often as it is taken.
+
+    What a round takes of a pattern is the beginning of the seeded order of the documents that
+    fit, so one row per pattern (the last document of each round and the words that were
+    missing) tells every document its copies: the texts are not shuffled."""
+    stored = _measured(docs, doc_id, text, sources, seed, whole=True)
+    place = F.struct("_seed", "_row")
+    rounds = range(REPAIRS + 1)
+    rules = _laid(stored.drop("_doc"), weights, most).groupBy("members", "_laps", "_rest").agg(
+        *[F.max(F.when(F.col("_round") == n, place)).alias(f"_last{n}") for n in rounds],
+        *[F.coalesce(F.sum(F.when(F.col("_round") < n, F.col("size"))), F.lit(0)).alias(f"_got{n}")
+          for n in rounds])
+    rows = salted_join(stored, rules, ["members"], F.col("_row"), how="inner")
+    extra = F.lit(False)
+    for n in rounds:
+        fits = (F.col("size") > 0) & (F.col("size") <= F.col("_rest") - F.col(f"_got{n}"))
+        taken = F.coalesce(place <= F.col(f"_last{n}"), F.lit(False))
+        extra = extra | (taken & fits if n else taken)
+    copies = (F.col("_laps") + extra.cast("long")).cast("int")
+    return (rows.withColumn("_copies", copies).filter("_copies > 0")
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
             .select(*[F.col(f"_doc.`{c}`").alias(c) for c in docs.columns]))

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from crease.llm import (exact, language, lines, mixing, near, oracle, packing, passages, preferences,
@@ -236,6 +237,17 @@ def test_mix(spark, docs, messy, none):
     assert mixing.mixed_documents(messy).columns == messy.columns
 
 
+def test_mixed_documents_take_what_mix_says(spark, messy):
+    whole = documents(spark, SF)
+    both = F.when(F.col("doc_id") % 4 == 0, F.array("source", F.lit("zz"))).otherwise(F.array("source"))
+    for df, options in ((whole, {}), (whole, {"sources": both}), (messy, {})):
+        rows, stored = mixing.mix(df, **options)
+        want = (stored.join(rows, "_row").filter("copies > 0")
+                .select("_doc.doc_id", F.expr("explode(sequence(1, copies))")).groupBy("doc_id").count())
+        got = mixing.mixed_documents(df, **options).groupBy("doc_id").count()
+        assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+
+
 def test_targets_and_flow():
     goal = mixing.targets({"a": 10, "b": 1000, None: 90})
     assert goal["a"] == 30 and sum(goal.values()) == 1100 and goal[None] == 270
@@ -265,7 +277,6 @@ def test_passages(spark, none, messy):
 
 
 def test_language(spark, messy, none):
-    from pyspark.sql import functions as F
     rows = queries.op10_language_id(spark, SF).toPandas().merge(
         documents(spark, SF).select("doc_id", "lang").toPandas(), on="doc_id")
     held = rows[rows["held_out"]]
