@@ -1,7 +1,8 @@
 """Oracle SQL (DuckDB dialect) for the query catalog.
 
 Each statement re-derives its inputs relationally from the same parquet tables — no
-JSON, no shared code with the Spark side — and computes the expected result. Rates use
+JSON — and computes the expected result. It shares with the Spark side only the scenario's
+constants and the list of declared quality tests. Rates use
 exact integer half-up arithmetic emitted as DOUBLE; every integer is cast explicitly
 (DuckDB SUM is HUGEINT). ``with_ctes`` prepends only the CTEs a statement uses.
 """
