@@ -276,6 +276,31 @@ def test_passages(spark, none, messy):
     assert {(2, 1), (3, 1)} <= odd or {(3, 1), (3, 2)} <= odd
 
 
+@pytest.mark.parametrize("change", ["every sixth", 0.1, 0.15])
+def test_passages_recall_of_fuzzy_copies(spark, change):
+    """Brute force: the planted stretches are 83 to 90 percent equal, word by word."""
+    rng, rows, planted = random.Random(11), [], set()
+
+    def text(n):
+        return [f"v{rng.randrange(10**9)}" for _ in range(n)]
+    for k in range(0, 200, 2):
+        body = text(61)
+        at = range(0, 61, 6) if change == "every sixth" else rng.sample(range(61), round(61 * change))
+        edited = list(body)
+        for i in at:
+            edited[i] = text(1)[0]
+        # the best stretch, by every start and end; of equal ones the shortest
+        same = np.cumsum([0, *(20 if a == b else -80 for a, b in zip(body, edited))])
+        best = max((same[e] - same[s], s - e) for s in range(61) for e in range(s + 1, 62))
+        if best[1] <= -50:
+            planted.add((k + 1, k))
+        rows += [(k, " ".join(text(40) + body + text(40))), (k + 1, " ".join(text(50) + edited + text(30)))]
+    got = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = {(r["doc_id"], r["source_id"]) for r in got}
+    assert len(planted) > 10 and found <= {(k + 1, k) for k in range(0, 200, 2)}
+    assert len(found & planted) >= 0.97 * len(planted)
+
+
 def test_language(spark, messy, none):
     rows = queries.op10_language_id(spark, SF).toPandas().merge(
         documents(spark, SF).select("doc_id", "lang").toPandas(), on="doc_id")
