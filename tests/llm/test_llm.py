@@ -301,6 +301,22 @@ def test_passages_recall_of_fuzzy_copies(spark, change):
     assert len(found & planted) >= 0.97 * len(planted)
 
 
+def test_passages_of_common_fragments(spark):
+    """Every seed that 50 and 51 share stands in a lower and a higher document as well."""
+    rng = random.Random(4)
+
+    def text(n):
+        return [f"v{rng.randrange(10**9)}" for _ in range(n)]
+    shared = text(80)
+    rows = [(50, text(20) + shared + text(30)), (51, text(40) + shared + text(10))]
+    for k, at in enumerate(range(0, 80, 10)):
+        rows += [(i + k, text(60) + shared[at:at + 34] + text(60)) for i in (1, 90)]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    got = {(r["doc_id"], r["source_id"]): r for r in passages.repeated_passages(df).collect()}
+    assert set(got) == {(51, 50)}
+    assert got[51, 50]["start"] == 40 and got[51, 50]["finish"] == 120 and got[51, 50]["source_start"] == 20
+
+
 def test_language(spark, messy, none):
     rows = queries.op10_language_id(spark, SF).toPandas().merge(
         documents(spark, SF).select("doc_id", "lang").toPandas(), on="doc_id")
