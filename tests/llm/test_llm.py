@@ -209,6 +209,19 @@ def test_packing_round_trip(spark, docs, messy, none):
     assert packing.pack(messy).select("doc_id").count() >= len(ROWS) and packing.pack(none).count() == 0
 
 
+def test_packing_ids_of_added_tokens(spark):
+    from tokenizers import Tokenizer
+    slow = Tokenizer.from_file(packing.tokenizer_path() + ".json")
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n" * 900, "a <|endoftext| > b"]
+    want = [[*slow.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+    assert want[0] == [64, 220, 50256, 275, 0]
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for r in rows:
+        part = np.array(want[r["doc_id"]][r["start"]:r["start"] + r["length"]], "<u4")
+        assert len(part) == r["length"] and zlib.crc32(part.tobytes()) == r["ids_crc32"]
+    assert sum(r["length"] for r in rows) == sum(map(len, want))
+
+
 def test_best_fit_matches_a_linear_search():
     rng = random.Random(5)
     lengths = sorted((rng.randrange(1, 65) for _ in range(400)), reverse=True)
