@@ -29,16 +29,23 @@ def new_only(df: DataFrame, target: DataFrame, key: str = "hash_id") -> DataFram
     return df.join(known, key, "left_anti")
 
 
+def not_in(df: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is NOT IN ``target``: one NULL in the target keeps nothing,
+    a NULL key is kept only against an empty target.
+
+    Spark plans NOT IN itself as a null-aware join that always broadcasts the target. Here the
+    target's rows and keys are counted (one row), and the rest is a plain left anti join."""
+    state = target.agg(F.count(F.lit(1)).alias("__rows"), F.count(key).alias("__keys"))
+    strict = (F.col("__rows") == 0) | ((F.col("__rows") == F.col("__keys")) & F.col(key).isNotNull())
+    return new_only(df, target, key).crossJoin(F.broadcast(state)).filter(strict).drop("__rows", "__keys")
+
+
 def not_in_counts(df: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """One row: rows of ``df`` kept by an anti join and by ``key NOT IN (target)``.
 
-    NOT IN is NULL-aware: one NULL in the target keeps nothing, a NULL key is kept only
-    against an empty target. Spark plans it as a null-aware anti join, which broadcasts the
-    target; ``new_only`` is the form to use at scale."""
+    NOT IN is NULL-aware, see ``not_in``."""
     kept = new_only(df, target, key).agg(F.count(F.lit(1)).alias("n_left_anti"))
-    strict = df.sparkSession.sql(
-        f"SELECT count(1) AS n_not_in FROM {{rows}} WHERE `{key}` NOT IN (SELECT `{key}` FROM {{known}})",
-        rows=df, known=target)
+    strict = not_in(df, target, key).agg(F.count(F.lit(1)).alias("n_not_in"))
     return kept.select("n_left_anti", strict.scalar().alias("n_not_in"))
 
 

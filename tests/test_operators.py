@@ -81,6 +81,20 @@ def test_not_in_counts(spark):
     assert tuple(not_in_counts(df, reg_null, "h").first()) == (2, 0)
 
 
+def test_not_in_counts_broadcasts_no_keys(spark):
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        df = spark.range(100).selectExpr("CAST(id AS string) AS h")
+        out = not_in_counts(df, df.filter("h < '5'"), "h")
+        plan = out._jdf.queryExecution().toString()
+        assert "HashedRelationBroadcastMode" not in plan and "LeftAnti" in plan
+        assert tuple(out.first()) == (df.filter("h >= '5'").count(),) * 2
+    finally:
+        spark.conf.set(limit, before)
+
+
 def test_upsert_by_key_null_safe(spark):
     t = spark.createDataFrame([(1, None, "old"), (2, "x", "keep")], "a int, b string, v string")
     u = spark.createDataFrame([(1, None, "new")], "a int, b string, v string")
