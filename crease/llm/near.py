@@ -12,8 +12,10 @@ Dense regions (thousands of near copies) are thinned first: the first pass tests
 neighbours and joins them into components. The following passes run over the nodes that had
 a neighbour at all, sorted by DEEP hashes. A node looks back to the LOOK nearest nodes and
 tests those of other components that are likeliest by the share of equal hashes: a few in
-the second pass; where there were more, and the pass found links, more in the next, and
-all in the last of CHOICES.
+the second pass; where there were more, and the pass found links, more in the next. These
+passes only join what is easily found. The last one leaves no candidate out: of all nodes that
+share MIN_DEPTH hashes in a tree and are still of different components, however many stand
+there, every two meet in a pair of blocks, and those likely enough are compared by full sets.
 
 Defined results: a null text, an empty one and one without words have the empty set and
 are linked with nothing; fewer than five words are one shingle; rows with a null id take
@@ -25,6 +27,7 @@ from __future__ import annotations
 
 from collections import deque
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -44,10 +47,12 @@ PERMUTATIONS = TREES * DEPTH
 MIN_DEPTH = 4
 PROBE_BYTES = 32
 #: Later passes: nodes looked back to per node and tree; hashes sorted by; candidates of a
-#: node and tree tested in each pass, in the last one all.
+#: node and tree tested in each pass. What they leave out is left to the last pass.
 LOOK = 512
 DEEP = 16
-CHOICES = (3, 15, 40, LOOK)
+CHOICES = (3, 15)
+#: Nodes of a block in the last pass; any two blocks that share MIN_DEPTH hashes meet.
+BLOCK_NODES = 1024
 #: A candidate is left out if its share of equal hashes is so many percent below the
 #: threshold (about six standard errors of 32 hashes, four and a half of 128).
 SLACK = {PROBE_BYTES: 36, PERMUTATIONS: 14}
@@ -300,6 +305,113 @@ def confirmed(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     return both.mapInPandas(task, "u long, v long")
 
 
+def _candidates(tree: int, nodes: np.ndarray, comps: np.ndarray, sizes: np.ndarray, sigs: np.ndarray,
+                left: np.ndarray, right: np.ndarray, threshold: int) -> np.ndarray:
+    """Which nodes have a candidate between ``left`` and ``right``: of another component, likely
+    enough, and with ``tree`` as the first in which the two share MIN_DEPTH hashes."""
+    need = (threshold - SLACK[PERMUTATIONS]) * PERMUTATIONS / 100
+    marked = np.zeros(len(nodes), bool)
+    for i in left:
+        at = right[(comps[right] != comps[i]) & (nodes[right] != nodes[i])
+                   & (100 * np.minimum(sizes[i], sizes[right]) >= threshold * np.maximum(sizes[i], sizes[right]))]
+        same = sigs[at] == sigs[i]
+        likely = np.flatnonzero(np.count_nonzero(same, axis=1) >= need)
+        if len(likely):
+            shared = same[likely].reshape(-1, TREES, DEPTH)[:, :, :MIN_DEPTH].all(axis=2)
+            likely = likely[shared.argmax(axis=1) == tree]
+            marked[at[likely]] = True
+            marked[i] |= len(likely) > 0
+    return marked
+
+
+def _spanning_links(nodes: np.ndarray, comps: np.ndarray, sets: list[np.ndarray], left: np.ndarray,
+                    right: np.ndarray, threshold: int) -> list[tuple[int, int]]:
+    """Links between ``left`` and ``right``, by full sets, that join different components: as
+    many as are needed to join all that are linked."""
+    root = {c: c for c in comps.tolist()}
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    sizes = np.array([len(s) for s in sets])
+    values = np.concatenate([sets[j] for j in right])
+    order = np.argsort(values, kind="stable")
+    values, holder = values[order], np.repeat(np.arange(len(right)), sizes[right])[order]
+    links = []
+    for i in left:
+        first, last = (np.searchsorted(values, sets[i], side) for side in ("left", "right"))
+        count = last - first
+        where = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+        common = np.bincount(holder[where], minlength=len(right))
+        for j in right[100 * common >= threshold * (sizes[i] + sizes[right] - common)]:
+            a, b = find(int(comps[i])), find(int(comps[j]))
+            if a != b:
+                root[a] = b
+                links.append((int(nodes[i]), int(nodes[j])))
+    return links
+
+
+def _sides(blocks: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.flatnonzero(blocks == low), np.flatnonzero(blocks == high)
+
+
+def remaining_links(comps: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
+    """Links (u, v) that join all components which any link of two nodes sharing MIN_DEPTH hashes
+    in a tree joins. ``comps``: node, comp, n, paths; ``texts``: node, _t.
+
+    The nodes that share a tree's hashes are dealt into blocks, and any two blocks meet, so that
+    a group holds twice BLOCK_NODES rows, however many share the hashes. Of a group come the
+    nodes that have a candidate, and then, by their sets, fewer links than nodes."""
+    rows = comps.select("node", "comp", "n", "paths",
+                        F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("t"))
+    rows = rows.withColumn("key", F.expr(f"substring(paths, t * {2 * DEPTH} + 1, {2 * MIN_DEPTH})"))
+    crowds = rows.groupBy("t", "key").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("c"),
+                                          F.max("comp").alias("d")).filter("c < d")
+    crowds = crowds.select("t", "key", F.expr(f"CAST(ceil(m / {BLOCK_NODES}) AS int)").alias("blocks"))
+    rows = salted_join(rows, crowds, ["t", "key"], F.col("node"), how="inner")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    group = ["t", "key", "low", "high"]
+    rows = rows.select("t", "key", F.least("block", "other").alias("low"),
+                       F.greatest("block", "other").alias("high"), "block", "node", "comp", "n", "paths")
+
+    def groups(batches: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[tuple[tuple, list]]:
+        """(group, its columns) of rows that are sorted by group."""
+        names = [*group, *columns]
+        stream = (row for batch in batches for row in zip(*(batch[c] for c in names)))
+        for key, members in groupby(stream, key=lambda row: row[:len(group)]):
+            yield key, list(zip(*(row[len(group):] for row in members)))
+
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for key, (block, node, comp, n, paths) in groups(batches, ["block", "node", "comp", "n", "paths"]):
+            if len(set(comp)) == 1:
+                continue
+            block, node, comp, n = map(np.array, (block, node, comp, n))
+            sigs = np.frombuffer(b"".join(paths), np.uint16).reshape(-1, PERMUTATIONS)
+            marked = _candidates(key[0], node, comp, n, sigs, *_sides(block, *key[2:]), threshold)
+            if marked.any():
+                yield pd.DataFrame({**dict(zip(group, key)), "block": block[marked], "node": node[marked],
+                                    "comp": comp[marked]})
+
+    def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cache = WordHashes()
+        for key, (block, node, comp, text) in groups(batches, ["block", "node", "comp", "_t"]):
+            block, node, comp = map(np.array, (block, node, comp))
+            sets = [shingle_set(t, cache) for t in text]
+            links = _spanning_links(node, comp, sets, *_sides(block, *key[2:]), threshold)
+            if links:
+                yield pd.DataFrame(links, columns=["u", "v"])
+
+    def together(df: DataFrame) -> DataFrame:
+        return df.repartition(*group).sortWithinPartitions(*group)
+
+    marked = materialise(together(rows).mapInPandas(
+        mark, "t int, key binary, low int, high int, block int, node long, comp long"), "near-rest")
+    return together(marked.join(texts, "node")).mapInPandas(link, "u long, v long")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     threshold: int = THRESHOLD) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (least id reachable), kept (the row's own id
@@ -343,6 +455,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 "asks", F.coalesce("asks", F.lit(False)))
         else:
             comps = comps.withColumn("asks", F.lit(True))
+    comps = active.select("node", "n", "paths").join(stars, "node", "left").withColumn(
+        "comp", F.coalesce("root", "node"))
+    rest = materialise(remaining_links(comps, texts, threshold), "near-rest-links")
+    if not rest.isEmpty():
+        stars = star_edges(rest.unionByName(stars.select(F.col("node").alias("u"), F.col("root").alias("v"))))
     # sets that several rows share or that are linked: everything else stands alone
     placed = nodes.join(stars, "node", "left").filter("_rows > 1 OR root IS NOT NULL").select(
         "s1", "s2", F.coalesce("root", "node").alias("_root"))

@@ -141,6 +141,30 @@ def test_near_duplicates_against_all_pairs(spark, docs):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == components(rows)
 
 
+def crowd(pairs):
+    """Copies of a text with a word or two changed: 67 to 81 percent alike, but for ``pairs`` of 85 or more."""
+    rng = random.Random(8)
+    body, rows = [f"t{i}" for i in range(100)], []
+    for k in range(pairs):
+        at = rng.randrange(4, 94)
+        other = (at + rng.randrange(10, 80)) % 94
+        for shift in (0, 2):
+            copy = list(body)
+            copy[at + shift] = f"n{rng.randrange(10**9)}"
+            if k % 2:
+                copy[other] = f"same{k}"
+            rows.append((len(rows) * 7919 % 10_007, " ".join(copy)))
+    return rows
+
+
+def test_near_duplicates_beyond_the_window(spark, monkeypatch):
+    """More nodes with a common prefix than a pass looks back to."""
+    monkeypatch.setattr(near, "LOOK", 2)
+    rows = crowd(60)
+    got = near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == components(rows)
+
+
 def test_near_duplicates_odd_rows(messy, none):
     rows = near.near_duplicates(messy).collect()
     assert len(rows) == len(ROWS)
