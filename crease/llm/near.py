@@ -12,7 +12,7 @@ Dense regions (thousands of near copies) are thinned first: the first pass tests
 neighbours and joins them into components. The following passes run over the nodes that had
 a neighbour at all, sorted by DEEP hashes. A node looks back to the LOOK nearest nodes and
 tests those of other components that are likeliest by the share of equal hashes: a few in
-the second pass; where there were more, and the pass found links, more in the next. These
+the second pass; where there were more, more in the next. These
 passes only join what is easily found. The last one leaves no candidate out: of all nodes that
 share MIN_DEPTH hashes in a tree and are still of different components, however many stand
 there, every two meet in a pair of blocks, and those likely enough are compared by full sets.
@@ -440,9 +440,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         links = materialise(confirmed(pairs, texts, threshold), "near-links")
         if stars is None:
             stars = star_edges(links)
-        elif links.isEmpty():
-            break
-        else:
+        elif not links.isEmpty():
             stars = star_edges(links.unionByName(stars.select(F.col("node").alias("u"),
                                                               F.col("root").alias("v"))))
         if more.isEmpty():

@@ -165,6 +165,14 @@ def test_near_duplicates_beyond_the_window(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == components(rows)
 
 
+def test_near_duplicates_after_passes_without_links(spark, monkeypatch):
+    """The passes test one candidate of a node and tree; what is left is linked all the same."""
+    monkeypatch.setattr(near, "CHOICES", (1,))
+    rows = crowd(60)
+    got = near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == components(rows)
+
+
 def test_near_duplicates_odd_rows(messy, none):
     rows = near.near_duplicates(messy).collect()
     assert len(rows) == len(ROWS)
