@@ -56,9 +56,8 @@ BLOCK_NODES = 1024
 #: A candidate is left out if its share of equal hashes is so many percent below the
 #: threshold (about six standard errors of 32 hashes, four and a half of 128).
 SLACK = {PROBE_BYTES: 36, PERMUTATIONS: 14}
-#: A pair is named in the trees where its common prefix is longest, so many at most.
-NAMED = 1
-#: Rows on each side of a seam between two partitions that are brought together.
+#: Rows on each side of a seam between two partitions that are brought together; who has a
+#: neighbour is told across all seams, and the last pass does not depend on them.
 SEAM = 16
 FILTER_BITS = 1 << 22
 #: Nodes of rows without id are numbered from here.
@@ -157,14 +156,6 @@ def signatures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                                   "paths binary, probe binary")
 
 
-def _longest(same: np.ndarray) -> np.ndarray:
-    """The NAMED trees in which a pair with these equal hashes has its longest prefixes."""
-    ring = np.concatenate([same, same]).reshape(2 * TREES, DEPTH)
-    runs = np.where(ring.all(axis=1), DEPTH, ring.argmin(axis=1))
-    runs = runs[:TREES] + np.where(runs[:TREES] == DEPTH, runs[1:TREES + 1], 0)
-    return np.argsort(-runs, kind="stable")[:NAMED]
-
-
 class Region:
     """The last ``look`` nodes of a sorted run with a common prefix of MIN_DEPTH hashes."""
 
@@ -199,7 +190,7 @@ class Region:
             if self.choice:
                 likely = likely[np.lexsort((self.nodes[at[likely]], -equal[likely]))]
                 more = [node] if len(likely) > self.choice else []
-                likely = [i for i in likely[:self.choice] if tree in _longest(same[i])]
+                likely = likely[:self.choice]
             found = [int(self.nodes[at[i]]) for i in likely]
         i = self.count % self.look
         self.probes[i], self.nodes[i], self.comps[i], self.sizes[i] = mine, node, comp, n
@@ -269,7 +260,13 @@ def forest_pairs(nodes: DataFrame, threshold: int, choice: int = 0) -> DataFrame
         return pd.DataFrame(pairs, columns=["a", "b"]).astype("Int64")
 
     seams = found.filter("seam IS NOT NULL").groupBy("seam").applyInPandas(across, "a long, b long")
-    return found.filter("seam IS NULL").select("a", "b").unionByName(seams)
+    # nodes with a neighbour beyond a seam, over however many partitions
+    ends = found.filter("seam IS NOT NULL").groupBy(
+        "t", F.substring("path", 1, 2 * MIN_DEPTH).alias("key")).agg(F.collect_set("node").alias("nodes"))
+    alike = ends.filter(F.size("nodes") > 1).select(F.explode("nodes").alias("a"),
+                                                    F.lit(None).cast("long").alias("b"))
+    found = found.filter("seam IS NULL").select("a", "b").unionByName(seams)
+    return found if choice else found.unionByName(alike)
 
 
 def node_texts(nodes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:

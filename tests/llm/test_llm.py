@@ -173,6 +173,18 @@ def test_near_duplicates_after_passes_without_links(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == components(rows)
 
 
+def test_near_duplicates_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(near, "SEAM", 1)  # as many partitions as the rows allow
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    rows = crowd(120)
+    try:
+        got = near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == components(rows)
+
+
 def test_near_duplicates_odd_rows(messy, none):
     rows = near.near_duplicates(messy).collect()
     assert len(rows) == len(ROWS)
