@@ -14,6 +14,10 @@ from crease.llm import lines, mixing, near, packing, quality
 from crease.llm.common import documents, materialise
 
 
+#: Near duplicates of this stage share so many percent of their shingles; op4 has its own.
+NEAR_PERCENT = 80
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the quality rules, or whose host does, go."""
     return quality.keep_good(docs)
@@ -26,7 +30,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the least id stays."""
-    return near.keep_representatives(docs)
+    return near.keep_representatives(docs, threshold=NEAR_PERCENT)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

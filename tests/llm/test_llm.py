@@ -391,6 +391,22 @@ def test_language(spark, messy, none):
     assert sum(a.values()) == sum(b.values())
 
 
+def test_near_stage_finds_copies_of_80_percent(spark):
+    rng, rows = random.Random(12), []
+    for k in range(0, 200, 2):
+        body = [f"b{rng.randrange(10**9)}" for _ in range(154)]
+        copy = list(body)
+        for i in range(10, 150, 50):  # each changed word changes five shingles: 150 - 15 of 150 + 15
+            copy[i] = f"c{rng.randrange(10**9)}"
+        copy[30 + k % 40:30 + k % 40] = ["x"] if k % 4 else []
+        rows += [(k, " ".join(body)), (k + 1, " ".join(copy))]
+    groups = components(rows, 80)
+    assert sum(c != d for d, (n, c) in groups.items()) > sum(c != d for d, (n, c) in components(rows).items()) + 20
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.near_stage(spark, frame, SF).select("doc_id").collect()
+    assert {r["doc_id"] for r in kept} == {d for d, (n, c) in groups.items() if c == d}
+
+
 def test_pipeline_stages(spark, docs):
     frame, seen = documents(spark, SF), {}
     for name, stage in corpus_pipeline.STAGES:
