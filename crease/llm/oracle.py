@@ -83,9 +83,29 @@ SELECT c AS chosen_id, r AS rejected_id, CAST(n AS BIGINT) AS n_prompt_turns,
     coalesce(p1, '') AS prompt, coalesce(x1, '') AS chosen_text, coalesce(y1, '') AS chosen_mask,
     coalesce(x2, '') AS rejected_text, coalesce(y2, '') AS rejected_mask FROM g"""
 
+OP13 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
+    sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS s FROM documents),
+h AS (SELECT doc_id, t, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+    list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(s, i, 8) AS BIGINT)) AS h FROM d),
+c AS (SELECT *, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS a,
+    greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 50
+        THEN 'plain' WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, coalesce(array_to_string(list_slice(u, 1, a), ''), '') AS x,
+    coalesce(array_to_string(list_slice(u, a + 1, b), ''), '') AS y,
+    coalesce(array_to_string(list_slice(u, b + 1, len(u)), ''), '') AS z FROM c)
+SELECT doc_id, CAST(len(u) AS BIGINT) AS n, form,
+    CASE WHEN form <> 'plain' THEN CAST(length(x) AS BIGINT) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN CAST(length(y) AS BIGINT) END AS middle_chars,
+    sha256(CASE form WHEN 'psm' THEN '<P>' || x || '<S>' || z || '<M>' || y
+        WHEN 'spm' THEN '<S>' || z || '<P>' || x || '<M>' || y ELSE t END) AS output_sha256,
+    sha256(t) AS restored_sha256 FROM p"""
+
 ORACLE: dict[str, str] = {
     "op1_line_dedup": OP1,
     "op2_host_quality": OP2,
     "op3_exact_dedup": OP3,
     "op5_preference_format": OP5,
+    "op13_fill_in_middle": OP13,
 }

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crease.llm import (exact, language, lines, mixing, near, packing, passages, preferences, quality,
-                        sharding)
+from crease.llm import (exact, infill, language, lines, mixing, near, packing, passages, pieces,
+                        preferences, quality, runs, sharding)
 from crease.llm.common import documents
 from crease.session import table_path
 
@@ -69,6 +69,29 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents(spark, sf_dir), ~held_out, carry={"held_out": held_out})
 
 
+def op11_piece_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pieces.encode(documents(spark, sf_dir), decoded=True)
+    return rows.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(runs.with_planted_runs(documents(spark, sf_dir)))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("best", runs.strongest(F.col("runs"))).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = infill.fill_in_middle(documents(spark, sf_dir))
+    back = infill.restored(F.col("output"), F.col("form"))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_host_quality": op2_host_quality,
@@ -80,4 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_flow_mixing": op8_flow_mixing,
     "op9_passage_chaining": op9_passage_chaining,
     "op10_language_id": op10_language_id,
+    "op11_piece_tokens": op11_piece_tokens,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
