@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from crease import schemas
 from crease.functions import count_when, opponent, overs_display, surrogate_key
 from crease.operators.dedupe import distinct_on
 from crease.operators.sequence import role_first_steps, running_count
@@ -22,6 +23,7 @@ from crease.plans import staging as st
 from crease.plans.world import PLANT_KEYS, REPORT_EVENT, REPORT_YEAR, World, store
 from crease.session import scratch_path
 from crease.sources import adapters as ad
+from crease.streaming import landing as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -287,6 +289,10 @@ for _name, _fn in [
     ("venue_semi_join", sc.venue_semi_join),
     ("raw_roundtrip_flatten", sc.raw_roundtrip_flatten),
     ("match_doc_load", sc.match_doc_load),
+    ("raw_whole_balls", sc.raw_whole_balls),
+    ("raw_schema_drift", sc.raw_schema_drift),
+    ("registry_double_names", sc.registry_double_names),
+    ("files_to_batches", sc.files_to_batches),
     ("malformed_innings_quarantine", sc.malformed_innings_quarantine),
     ("first_wicket", sc.first_wicket),
     ("legal_ball_predicate", sc.legal_ball_predicate),
@@ -360,14 +366,12 @@ for _key, _kind in [("dq_unique", "unique"), ("dq_not_null", "not_null"),
 def _two_batch_warehouse(w: World) -> pipeline.Warehouse:
     """Files for all matches, loaded in two runs (even match ids, then odd), each run
     followed by an incremental build of the changed matches only."""
-    wh = pipeline.Warehouse(w.spark, scratch_path(w.spark, "warehouse"))
-    pipeline.seed_initial(wh, w.venue_city, w.city_country)
-    files = sc.match_files(w).withColumn(
+    wh = _warehouse(w)
+    files = store(sc.match_files(w), "match-files").withColumn(
         "_id", F.regexp_extract("path", r"(\d+)\.json$", 1).cast("int"))
     for parity in (0, 1):
         batch = files.filter(F.col("_id") % 2 == parity).drop("_id")
-        changed = pipeline.ingest(wh, batch)
-        pipeline.build(wh, changed)
+        pipeline.run(wh, batch, seeds=False)
     return wh
 
 
@@ -383,5 +387,53 @@ def _mart_incremental(w: World) -> DataFrame:
     return wh.model("fct_batting_scorecard")
 
 
+def _warehouse(w: World) -> pipeline.Warehouse:
+    wh = pipeline.Warehouse(w.spark, scratch_path(w.spark, "warehouse"))
+    pipeline.seed_initial(wh, w.venue_city, w.city_country)
+    return wh
+
+
+@query("catch_up_after_interruption")
+def _catch_up(w: World) -> DataFrame:
+    """Even matches are loaded and only the first models built, as if the run was killed; the next
+    run loads the odd ones and brings every model up from where it stood."""
+    wh, files = _warehouse(w), store(sc.match_files(w), "match-files")
+    even = F.regexp_extract("path", r"(\d+)\.json$", 1).cast("int") % 2 == 0
+    pipeline.ingest(wh, files.filter(even))
+    pipeline.build_steps(wh, pipeline.STEPS[:1])
+    pipeline.run(wh, files.filter(~even), seeds=False)
+    return wh.model("fct_bowling_scorecard").withColumn("economy", F.col("economy").cast("double"))
+
+
+@query("corrections_merged_on_read")
+def _corrections(w: World) -> DataFrame:
+    """All matches are loaded, a third of them with one ball too many in each over; their corrected
+    files add a part with new rows, and the older rows of these matches are hidden on reading."""
+    wh, files = _warehouse(w), store(sc.match_files(w), "match-files")
+    third = F.regexp_extract("path", r"(\d+)\.json$", 1).cast("int") % 3 == 0
+    doc = F.from_json(F.col("content").cast("string"), schemas.MATCH_DOC)
+    longer = lambda o: o.withField("deliveries", F.concat(o["deliveries"], F.slice(o["deliveries"], 1, 1)))
+    wrong = doc.withField("innings", F.transform(doc["innings"], lambda i: i.withField(
+        "overs", F.transform(i["overs"], longer))))
+    stale = files.withColumn("content", F.when(third, F.encode(F.to_json(wrong), "UTF-8")).otherwise(F.col("content")))
+    pipeline.run(wh, stale, seeds=False)
+    pipeline.run(wh, files.filter(third), seeds=False)
+    return wh.model("int_deliveries").drop("hash_id")
+
+
+@query("stream_two_micro_batches")
+def _stream(w: World) -> DataFrame:
+    """Match files arrive in two micro-batches of a stream; each is one pipeline run."""
+    wh, landing = _warehouse(w), scratch_path(w.spark, "arrivals")
+    files = sc.match_files(w).withColumn("_odd", F.regexp_extract("path", r"(\d+)\.json$", 1).cast("int") % 2)
+    files = store(files, "match-files")
+    for odd in (0, 1):
+        files.filter(F.col("_odd") == odd).drop("_odd").coalesce(1).write.mode("append").parquet(landing)
+    arrivals = w.spark.readStream.schema("path string, content binary").option("maxFilesPerTrigger", 1).parquet(landing)
+    run = stream.start_stream(wh, arrivals, scratch_path(w.spark, "stream"))
+    run.awaitTermination()
+    return wh.model("int_innings").drop("hash_id")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

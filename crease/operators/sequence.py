@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from crease.session import scratch_path
+
 
 def running_count(df: DataFrame, partition_by: list[str], order_by: list[str],
                   out: str) -> DataFrame:
@@ -22,6 +24,28 @@ def running_count(df: DataFrame, partition_by: list[str], order_by: list[str],
     return df.withColumn(out, F.count(F.lit(1)).over(w))
 
 
+def running_sums(df: DataFrame, order: str, values: list[str]) -> DataFrame:
+    """Add ``__<value>`` = the sum of the value over all rows up to this one by ``order`` (unique,
+    not null), over the whole table and without a single task for it.
+
+    Rows are dealt to ranges of ``order`` and stored, so that every pass sees the same ranges; each
+    range sums its own rows, the totals of the ranges before it (one row per range) are added."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "ranges")
+    dealt = df.repartitionByRange(F.col(order)).withColumn("__range", F.spark_partition_id())
+    dealt.write.parquet(path)
+    rows = spark.read.schema(dealt.schema).parquet(path)
+    totals = rows.groupBy("__range").agg(*[F.sum(v).cast("long").alias(v) for v in values])
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(F.col("__range").alias("__of"), *[
+        F.coalesce(F.sum(v).over(before), F.lit(0)).alias("__before_" + v) for v in values])
+    own = Window.partitionBy("__range").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    out = rows.join(F.broadcast(offsets), F.col("__range") == F.col("__of"))
+    for v in values:
+        out = out.withColumn("__" + v, F.sum(v).over(own).cast("long") + F.col("__before_" + v))
+    return out.drop("__range", "__of", *["__before_" + v for v in values])
+
+
 def role_first_steps(events: DataFrame, partition_by: list[str], seq_col: str,
                      actors: list[tuple[str, int]], earliest_only: bool = True) -> DataFrame:
     """Per (partition, actor, role): the first step (``_first``). Roles come from one

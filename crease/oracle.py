@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import re
 
+from crease.plans.scenarios import BATCH_BYTES, BATCH_FILES
 from crease.plans.world import PLANT_KEYS, REPORT_EVENT, REPORT_YEAR
 
+# fixed value: what a surrogate key holds for NULL
 SK_NULL = "'_dbt_utils_surrogate_key_null_'"
 
 
@@ -209,9 +211,9 @@ SELECT match_id, team, innings_number,
 FROM ii"""
 
 CTES["scorelines"] = """
-SELECT match_id, ltrim(string_agg(CASE WHEN again THEN ' & ' || score
+SELECT match_id, substr(string_agg(CASE WHEN again THEN ' & ' || score
                                        ELSE ' vs ' || team || ' ' || score END, ''
-                                  ORDER BY team_from, innings_number), ' vs') AS scoreline
+                                  ORDER BY team_from, innings_number), 5) AS scoreline
 FROM innings_score GROUP BY match_id"""
 
 CTES["summary"] = """
@@ -472,9 +474,12 @@ SELECT match_id, innings_number, over_number, ball_in_over,
        CAST(coalesce(noballs_raw, 0) AS INTEGER) AS noballs,
        CAST(coalesce(byes_raw, 0) AS INTEGER) AS byes
 FROM fd_raw"""
+# hashes are never NULL, so NOT IN is an anti join; the balls are laid out once
+CTES["balls_once"] = "SELECT match_id, innings_number, over_number, ball_in_over, hash_id FROM fd"
 SQL["anti_join_new_hash"] = """
-SELECT match_id, innings_number, over_number, ball_in_over, hash_id
-FROM fd WHERE hash_id NOT IN (SELECT hash_id FROM fd WHERE match_id % 2 = 0)"""
+SELECT b.* FROM balls_once b
+ANTI JOIN (SELECT DISTINCT md5(CAST(CAST(l_suppkey AS INTEGER) AS VARCHAR)) AS hash_id
+           FROM lineitem WHERE l_suppkey % 2 = 0) loaded USING (hash_id)"""
 SQL["append_new_only"] = "SELECT * FROM fd"
 SQL["upsert_by_key"] = "SELECT * FROM fd"
 SQL["replace_by_match"] = "SELECT * FROM fd"
@@ -564,6 +569,39 @@ SELECT match_id, innings_number, team, super_over, runs_scored, wickets_lost, le
        wides, noballs, byes, legbyes, extras
 FROM ii"""
 SQL["mart_incremental_equals_full"] = "SELECT * FROM bs"
+SQL["catch_up_after_interruption"] = "SELECT * FROM ws"
+SQL["corrections_merged_on_read"] = "SELECT * EXCLUDE (hash_id) FROM fd"
+SQL["stream_two_micro_batches"] = SQL["incremental_two_batches"]
+
+# --- whole documents, names, batches --------------------------------------------------------
+SQL["raw_whole_balls"] = """
+SELECT match_id, innings_number, over_number, ball_in_over,
+       CASE WHEN batter_runs = 6 THEN batter END AS review_by,
+       CASE WHEN batter_runs = 6 THEN 'upheld' END AS decision,
+       CASE WHEN dismissal_mode = 'caught' THEN bowler END AS fielder
+FROM fd WHERE batter_runs = 6 OR dismissal_mode = 'caught'"""
+SQL["raw_schema_drift"] = """
+SELECT '$.info' AS level, 'officials' AS key, count(*) AS n_objects, count(*) AS n_documents,
+       'OBJECT<umpires: ARRAY<STRING>>' AS value_type FROM fm HAVING count(*) > 0
+UNION ALL
+SELECT '$.innings[].overs[].deliveries[]', 'review', count(*), count(DISTINCT match_id),
+       'OBJECT<by: STRING, decision: STRING>' FROM fd WHERE batter_runs = 6 HAVING count(*) > 0
+UNION ALL
+SELECT '$.innings[].overs[].deliveries[].wickets[]', 'fielders', count(*), count(DISTINCT match_id),
+       'ARRAY<OBJECT<name: STRING>>' FROM fd WHERE dismissal_mode = 'caught' HAVING count(*) > 0"""
+# the file with the lesser path holds what the document holds
+SQL["registry_double_names"] = SQL["registry_append"]
+SQL["files_to_batches"] = f"""
+WITH f AS (SELECT 'f' || lpad(CAST(doc_id AS VARCHAR), 12, '0') AS filename,
+                  CAST(coalesce(octet_length(encode(text)), 0) AS BIGINT) AS n FROM documents),
+s AS (SELECT *, sum(n) OVER (ORDER BY filename) - n AS before,
+             row_number() OVER (ORDER BY filename) - 1 AS place, max(n) OVER () AS most
+      FROM f WHERE n <= {BATCH_BYTES} // 2),
+d AS (SELECT filename, CAST(before // greatest(1, {BATCH_BYTES} - most) + place // {BATCH_FILES - 1} AS BIGINT) AS batch FROM s)
+SELECT * FROM d
+UNION ALL
+SELECT filename, CAST(row_number() OVER (ORDER BY filename) + (SELECT coalesce(max(batch), -1) FROM d) AS BIGINT)
+FROM f WHERE n > {BATCH_BYTES} // 2"""
 
 
 def oracle_sql() -> dict[str, str]:

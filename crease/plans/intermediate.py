@@ -157,6 +157,15 @@ def refresh_dimension(prior: DataFrame | None, junction: DataFrame, changed: Dat
     stale = prior.join(changed.select(F.col("match_id").alias("source_match_id")),
                        "source_match_id", "left_semi").select(*keys)
     touched = new_rows.select(*keys).unionByName(stale).distinct()
-    recomputed = rebuild(junction.join(touched, keys, "left_semi"))
-    kept = prior.join(touched, keys, "left_anti")
+    touched = touched.select(*[F.col(k).alias(f"__{k}") for k in keys])
+
+    def same(df: DataFrame):
+        """Keys may be NULL (a player without id)."""
+        cond = F.lit(True)
+        for k in keys:
+            cond = cond & df[k].eqNullSafe(touched[f"__{k}"])
+        return cond
+
+    recomputed = rebuild(junction.join(touched, same(junction), "left_semi"))
+    kept = prior.join(touched, same(prior), "left_anti")
     return kept.unionByName(recomputed.select(*prior.columns))

@@ -2,79 +2,66 @@
 
 Layout under ``root`` (a shared folder, e.g. under ``spark.checkpoint.dir``):
 
-    raw/registry/v=N        (filename, file_hash, ingested_at)        small, versioned
-    raw/src_venues/v=N      (venue_name, city)                          small, versioned
-    raw/quarantine          (filename, file_hash, reason)               append
-    raw/matches             partitioned by bucket = match_id div W     replace-by-match
-    raw/deliveries          bucket-partitioned                          replace-by-match
-    seeds/venue_city/v=N, seeds/city_country/v=N                        small, versioned
-    models/<name>           match-grain models, bucket-partitioned     replace-by-match
-    models/<dim>/v=N        int_venues, int_teams, int_players          new version per run
-
-``ingest`` writes data first and the registry last: a crash before the registry write
-re-ingests the same files on the next run, and replace-by-match makes that replay
-idempotent. ``build`` recomputes only the matches that changed (every match-grain row
-depends on one match) plus matches whose venue is unresolved (so a venue added to the
-seed later is picked up). The team and player dimensions are updated exactly but only
-for keys the changed matches touch (``intermediate.refresh_dimension``); each keeps the
-match its row came from (``source_match_id``).
+    _commits/<n>.json        states (``snapshots``): what the warehouse consists of
+    feed/entry=..            changed match ids of each commit, numbered in the state
+    raw/matches, raw/deliveries, models/<name>    match-grain tables of parts (``match_tables``)
+    raw/quarantine/part=..   (filename, file_hash, reason)
+    registry/by_name, registry/by_hash            log of ingested files (``sources.registry``)
+    raw/src_venues/v=.., seeds/../v=.., models/<dimension>/v=..    small tables, one directory each
+
+``ingest`` writes all files of a run and then commits once: matches, balls, venues, registry
+segment and a feed entry with the changed match ids appear together, or not at all. If another
+run was committed meanwhile, the ingest starts over against the new registry.
+
+Every model keeps a watermark, the last feed entry it has taken in, committed together with its
+rows. ``build`` brings each model from its own watermark to the end of the feed, so whatever
+a killed run left behind is done by the next one, and what is done is not done again. Readers
+see the models as of the last ``build`` that ended (all of them at one place of the feed).
+
+A change of the venue seeds puts the matches whose venue became known (or unknown) into the
+feed. The team and player dimensions are updated exactly but only for keys the changed matches
+touch (``intermediate.refresh_dimension``).
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crease import schemas
-from crease.operators.incremental import (BUCKET_COL, BUCKET_WIDTH_DEFAULT, drop_tables,
-                                         in_buckets, replace_matches, table_exists, touched_buckets,
-                                         with_bucket)
+from crease.operators.incremental import BUCKET_COL, BUCKET_WIDTH_DEFAULT, with_bucket
 from crease.plans import intermediate as im
 from crease.plans import marts as mt
+from crease.plans import match_tables as parts
 from crease.plans import staging as st
+from crease.plans.snapshots import Conflict, Snapshot, Store, new_id
 from crease.sources import files as fs
+from crease.sources import registry as rg
 from crease.sources import venues as vn
 
-MATCH_MODELS = ["int_deliveries", "int_innings", "int_matches", "int_match_teams",
-                "int_match_players", "fct_deliveries_sequence", "fct_batting_order",
-                "fct_bowling_order", "fct_dismissed_players", "fct_batting_scorecard",
-                "fct_bowling_scorecard", "fct_match_summary"]
+#: Match-grain models in steps: a model reads raw tables and models of earlier steps.
+STEPS = [
+    ["int_deliveries", "int_matches", "int_match_teams", "int_match_players"],
+    ["int_innings", "fct_deliveries_sequence", "fct_dismissed_players", "int_teams"],
+    ["fct_batting_order", "fct_bowling_order", "fct_match_summary", "int_players"],
+    ["fct_batting_scorecard", "fct_bowling_scorecard"],
+]
 DIM_MODELS = ["int_venues", "int_teams", "int_players"]
-
-
-def _jfs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def latest_version(spark: SparkSession, path: str) -> str | None:
-    """Newest complete ``v=N`` directory under ``path`` (has ``_SUCCESS``)."""
-    fsys, p = _jfs(spark, path)
-    if not fsys.exists(p):
-        return None
-    best = None
-    for status in fsys.listStatus(p):
-        name = status.getPath().getName()
-        if name.startswith("v=") and fsys.exists(
-                spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-                    status.getPath().toString() + "/_SUCCESS")):
-            n = int(name[2:])
-            best = n if best is None or n > best else best
-    return None if best is None else f"{path}/v={best}"
-
-
-def write_version(df: DataFrame, path: str) -> str:
-    """Write ``df`` as the next version of a small table; older versions stay readable
-    (a reader never sees a half-written table)."""
-    spark = df.sparkSession
-    cur = latest_version(spark, path)
-    n = int(cur.rsplit("=", 1)[1]) + 1 if cur else 1
-    out = f"{path}/v={n}"
-    df.write.mode("errorifexists").parquet(out)
-    return out
+MATCH_MODELS = [m for step in STEPS for m in step if m not in DIM_MODELS]
+RAW_TABLES = ["raw/matches", "raw/deliveries"]
+#: Models of one step that are written at the same time.
+PARALLEL = 6
+#: Times an ingest starts over after another run was committed.
+ATTEMPTS = 5
+EMPTY = {"epoch": 0, "feed": [], "next": 1, "work": {}, "live": {}, "small": {}, "quarantine": [],
+         "registry": rg.EMPTY}
 
 
 @dataclass
@@ -83,200 +70,571 @@ class Warehouse:
     root: str
     bucket_width: int = BUCKET_WIDTH_DEFAULT
 
-    def path(self, *parts: str) -> str:
-        return "/".join([self.root.rstrip("/"), *parts])
+    def path(self, *names: str) -> str:
+        return "/".join([self.root.rstrip("/"), *names])
+
+    @cached_property
+    def store(self) -> Store:
+        return Store(self.spark, self.root, EMPTY)
 
-    def read_versioned(self, name: str, schema) -> DataFrame:
-        cur = latest_version(self.spark, self.path(name))
-        if cur is None:
+    # --- reading, as of a state ---------------------------------------------------------------
+    def small(self, name: str, schema, at: Snapshot | None = None) -> DataFrame:
+        """A small table: one directory."""
+        entry = (at or self.store.head()).state["small"].get(name)
+        if entry is None:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(cur)
+        return self.spark.read.schema(schema).parquet(self.path(entry["dir"]))
 
-    def read_table(self, name: str, schema=None) -> DataFrame | None:
-        p = self.path(name)
-        if table_exists(self.spark, p):
-            reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-            return reader.parquet(p).drop("bucket")
-        return None
+    def table(self, name: str, state: dict, shelf: str = "work",
+              buckets: list[int] | None = None) -> DataFrame | None:
+        entry = state[shelf].get(name)
+        if entry is None:
+            return None
+        if "dir" in entry:  # a dimension
+            return self.spark.read.schema(_schema(entry)).parquet(self.path(entry["dir"]))
+        return parts.live_rows(self.store, name, entry, state["feed"], buckets)
 
     def registry(self) -> DataFrame:
-        return self.read_versioned("raw/registry", schemas.REGISTRY)
+        return rg.names(self.store, self.store.head().state["registry"])
 
     def src_venues(self) -> DataFrame:
-        return self.read_versioned("raw/src_venues", schemas.SRC_VENUES)
+        return self.small("raw/src_venues", schemas.SRC_VENUES)
 
     def venue_city(self) -> DataFrame:
-        return self.read_versioned("seeds/venue_city", schemas.VENUE_CITY)
+        return self.small("seeds/venue_city", schemas.VENUE_CITY)
 
     def city_country(self) -> DataFrame:
-        return self.read_versioned("seeds/city_country", schemas.CITY_COUNTRY)
-
-    def model_or_none(self, name: str) -> DataFrame | None:
-        if name in DIM_MODELS:
-            cur = latest_version(self.spark, self.path("models", name))
-            return None if cur is None else self.spark.read.parquet(cur)
-        return self.read_table(f"models/{name}")
-
-    def model(self, name: str, schema=None) -> DataFrame:
-        if name in DIM_MODELS:
-            cur = latest_version(self.spark, self.path("models", name))
-            return self.spark.read.parquet(cur)
-        df = self.read_table(f"models/{name}", schema)
-        if df is None:
-            if schema is None:
-                raise FileNotFoundError(name)
-            # written with no rows yet: an empty table of the known schema
-            return self.spark.createDataFrame([], schema).drop("bucket")
-        return df
+        return self.small("seeds/city_country", schemas.CITY_COUNTRY)
 
+    def read_table(self, name: str, at: Snapshot | None = None) -> DataFrame | None:
+        """A raw table as of the newest state (or a held one), or a model as of its build."""
+        state = (at or self.store.head()).state
+        return self.table(name, state, "live" if name.startswith("models/") else "work")
 
-def ingest(wh: Warehouse, files: DataFrame, on_changed: str = "replace") -> DataFrame:
-    """Load new/changed match files; returns the changed match ids (a written table).
+    def model_or_none(self, name: str, at: Snapshot | None = None) -> DataFrame | None:
+        return self.read_table(f"models/{name}", at)
 
-    ``files``: (path, content) rows, e.g. ``spark.read.format("binaryFile")``."""
-    spark = wh.spark
-    fp = fs.fingerprint(files.select("path", "content"))
-    registry = wh.registry()
-    fresh = fs.new_files(fp, registry, on_changed)
-    # one parse per run, written once: every later step reads this table
-    batch = wh.path("batches", _run_id())
-    fs.parse_documents(fresh).write.parquet(batch + "/parsed")
-    parsed = spark.read.parquet(batch + "/parsed")
+    def model(self, name: str, at: Snapshot | None = None) -> DataFrame:
+        """A model as of the last build that ended; ``at``: as of a state held by the reader."""
+        found = self.model_or_none(name, at)
+        if found is None:
+            raise FileNotFoundError(name)
+        return found
+
+
+def _schema(entry: dict) -> T.StructType:
+    return T.StructType.fromJson(json.loads(entry["schema"]))
+
+
+def _write(wh: Warehouse, name: str, df: DataFrame) -> dict:
+    """A new directory for a small table; it counts once a commit names it."""
+    path = f"{name}/v={new_id()}"
+    df.write.parquet(wh.path(path))
+    return {"dir": path}
+
+
+def _unchanged(base: Snapshot, state: dict, *keys: str) -> None:
+    for key in ("epoch", *keys):
+        if state[key] != base.state[key]:
+            raise Conflict(key)
+
+
+# --- ingest ----------------------------------------------------------------------------------
+
+def ingest(wh: Warehouse, files: DataFrame, on_changed: str = "replace") -> DataFrame:
+    """Load new and changed match files; returns the changed match ids (a written table).
+
+    ``files``: (path, content) rows, e.g. ``spark.read.format("binaryFile")``. They are stored
+    once, so that a file rewritten meanwhile keeps the hash of what was loaded."""
+    batch = wh.path("batches", new_id())
+    fs.fingerprint(files.select("path", "content")).write.parquet(f"{batch}/files")
+    stored = wh.spark.read.parquet(f"{batch}/files")
+    return _ingest(wh, stored, on_changed, batch)
+
+
+def _ingest(wh: Warehouse, stored: DataFrame, on_changed: str, batch: str) -> DataFrame:
+    try:
+        for _ in range(ATTEMPTS):
+            try:
+                return _ingest_once(wh, stored, on_changed, f"{batch}/{new_id()}")
+            except Conflict:
+                continue
+        raise Conflict("other runs were committed during every attempt")
+    finally:
+        wh.store.delete(batch)
+
+
+def _ingest_once(wh: Warehouse, stored: DataFrame, on_changed: str, batch: str) -> DataFrame:
+    spark, store, base = wh.spark, wh.store, wh.store.head()
+    log = base.state["registry"]
+    listed = stored.select("path", "filename", "file_hash")
+    named = fs.one_per_name(listed)
+    known = rg.known_hashes(store, log, listed.select("file_hash"))
+    named.join(known, "file_hash", "left_anti").write.parquet(f"{batch}/fresh")
+    fresh = spark.read.schema(listed.schema).parquet(f"{batch}/fresh")
+    size = listed.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("filename").alias("names")).first()
+    if on_changed == "error":
+        if rg.names(store, log, fresh.select("filename")).limit(1).count() > 0:
+            raise ValueError("changed content under an already registered file name")
+    elif on_changed != "replace":
+        raise ValueError(f"on_changed must be 'replace' or 'error', not {on_changed!r}")
+
+    # of the names that give one match id (7.json, 007.json) the least is loaded
+    first = fresh.select("path", "filename", fs.match_id_from_filename("filename").alias("match_id")).select(
+        "path", F.expr("min(filename) OVER (PARTITION BY match_id)").alias("__first"))
+    if size["n"] <= parts.BROADCAST_IDS:
+        first = F.broadcast(first)  # short rows: contents do not move
+    parsed = fs.parse_documents(stored.join(first, "path"), keep=["__first"])
+    parsed = parsed.withColumn("reason", F.coalesce("reason", F.when(
+        F.col("filename") != F.col("__first"), F.lit(fs.REASON_MATCH_TWICE)))).drop("__first")
+    parsed.write.parquet(f"{batch}/parsed")  # one parse per run: every later step reads this table
+    parsed = spark.read.schema(parsed.schema).parquet(f"{batch}/parsed")
+    found = with_bucket(parsed, wh.bucket_width).groupBy(BUCKET_COL, F.col("reason").isNull().alias("ok")).count().collect()
+    n_parsed, n_loaded = sum(r["count"] for r in found), sum(r["count"] for r in found if r["ok"])
+
+    refused = fs.quarantine(parsed)
+    if size["names"] < size["n"]:
+        refused = refused.unionByName(
+            listed.join(named.select("path"), "path", "left_anti")
+            .join(named.select("filename", F.col("file_hash").alias("__kept")), "filename")
+            .filter("file_hash <> __kept")
+            .select("filename", "file_hash", F.lit(fs.REASON_NAME_TWICE).alias("reason")))
+    n_refused = 0
+    if n_loaded < n_parsed or size["names"] < size["n"]:
+        if base.state["quarantine"]:
+            refused = refused.join(_quarantine(wh, base.state), ["filename", "file_hash"], "left_anti")
+        n_refused = refused.count()
     docs = fs.loadable(parsed)
-    changed = docs.select("match_id").distinct()
-    changed.write.parquet(batch + "/changed")
-    changed = spark.read.parquet(batch + "/changed")
-
-    replace_matches(spark, wh.path("raw/matches"), fs.match_rows(docs), changed, wh.bucket_width)
-    replace_matches(spark, wh.path("raw/deliveries"), fs.flatten_deliveries(docs), changed,
-                    wh.bucket_width)
-    quarantined = fs.quarantine(parsed)
-    if table_exists(spark, wh.path("raw/quarantine")):  # a replay finds its own rows there
-        known = spark.read.parquet(wh.path("raw/quarantine"))
-        quarantined = quarantined.join(known.select("filename", "file_hash").distinct(),
-                                        ["filename", "file_hash"], "left_anti")
-    quarantined.write.mode("append").parquet(wh.path("raw/quarantine"))
-    write_version(vn.upsert_venues(wh.src_venues(), vn.batch_venues(docs)),
-                  wh.path("raw/src_venues"))
-    # registry last: a failure above leaves the files unregistered -> replayed next run
-    # and from the stored batch, so a file rewritten meanwhile keeps the hash of what was loaded
-    write_version(fs.registry_append(registry, parsed), wh.path("raw/registry"))
+    entry = f"{parts.FEED}/{parts.ENTRY}=e{new_id()}"
+    docs.select("match_id").write.parquet(wh.path(entry))  # ids are unique, see above
+    changed = spark.read.schema("match_id int").parquet(wh.path(entry))
+    if not n_parsed and not n_refused:
+        return changed
+
+    def part(name: str, rows: DataFrame) -> Callable:
+        return lambda: new.update({name: (rows.schema.json(), parts.add_part(store, name, rows, wh.bucket_width, n_buckets))})
+
+    def venue_rows() -> None:
+        before = wh.small("raw/src_venues", schemas.SRC_VENUES, base)
+        incoming = vn.batch_venues(docs)
+        if incoming.join(before.select("venue_name"), "venue_name", "left_anti").limit(1).count():
+            small["raw/src_venues"] = _write(wh, "raw/src_venues", vn.upsert_venues(before, incoming))
+
+    new, small, refusals = {}, {}, []
+    n_buckets = len({r[BUCKET_COL] for r in found if r["ok"]})
+    segment, jobs = rg.append(store, log, parsed.select("filename", "file_hash"), n_parsed)
+    if n_loaded:
+        jobs += [part("raw/matches", fs.match_rows(docs)), part("raw/deliveries", fs.flatten_deliveries(docs)), venue_rows]
+    if n_refused:
+        jobs.append(lambda: refusals.append(_write(wh, "raw/quarantine", refused)["dir"]))
+    _together(jobs)
+    feed = {"dir": entry.split("=")[1], "rows": n_loaded,
+            "buckets": sorted(r[BUCKET_COL] for r in found if r["ok"])}
+
+    def change(state: dict) -> None:
+        _unchanged(base, state, "registry", "quarantine")
+        if state["small"].get("raw/src_venues") != base.state["small"].get("raw/src_venues"):
+            raise Conflict("raw/src_venues")
+        if n_loaded:
+            seq = _add_entry(state, feed, loads=True)
+            for name, (schema, written) in new.items():
+                table = state["work"].setdefault(name, {"parts": [], "watermark": 0})
+                table["schema"], table["watermark"] = schema, seq
+                if written["buckets"]:
+                    table["parts"].append(written | {"seq": seq})
+        state["quarantine"] += refusals
+        state["small"].update(small)
+        rg.add_segment(state["registry"], segment)
+
+    store.commit(change)
+    _merge_registry(wh)
     return changed
 
 
+def _quarantine(wh: Warehouse, state: dict) -> DataFrame:
+    return (wh.spark.read.schema(schemas.QUARANTINE).parquet(*[wh.path(p) for p in state["quarantine"]])
+            .select("filename", "file_hash").distinct())
+
+
+def _feed_entry(wh: Warehouse, path: str, ids: DataFrame) -> dict:
+    """Rows and buckets of a written feed entry (as many numbers as buckets)."""
+    count = with_bucket(ids, wh.bucket_width).groupBy(BUCKET_COL).count().collect()
+    return {"dir": path.split("=")[1], "rows": sum(r["count"] for r in count),
+            "buckets": sorted(r[BUCKET_COL] for r in count)}
+
+
+def _add_entry(state: dict, feed: dict, loads: bool = False) -> int:
+    """Number a feed entry; only one that ``loads`` new raw rows hides older ones."""
+    seq = state["next"]
+    state["feed"].append(feed | {"seq": seq, "loads": loads})
+    state["next"] = seq + 1
+    return seq
+
+
+def _merge_registry(wh: Warehouse) -> None:
+    base = wh.store.head()
+    chosen = rg.merge_candidates(base.state["registry"])
+    if not chosen:
+        return
+    one = rg.merged(wh.store, base.state["registry"], chosen)
+    gone = {s["dir"] for s in chosen}
+
+    def change(state: dict) -> None:
+        _unchanged(base, state, "registry")
+        kept = [s for s in state["registry"]["segments"] if s["dir"] not in gone]
+        state["registry"]["segments"] = sorted([*kept, one], key=lambda s: s["seq"])
+
+    try:
+        wh.store.commit(change)
+    except Conflict:  # the next run merges
+        pass
+
+
+def _together(jobs: list[Callable]) -> list:
+    """Run independent writes at the same time; all end before an error of one is raised."""
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        running = [pool.submit(job) for job in jobs]
+    return [r.result() for r in running]
+
+
+# --- batches of bounded size -------------------------------------------------------------------
+
+def ingest_directory(wh: Warehouse, directory: str, max_bytes: int = 1 << 30, max_files: int = 10_000,
+                     glob: str = "*.json", on_changed: str = "replace") -> int:
+    """Load a landing directory in batches of at most ``max_bytes`` and ``max_files``, each one
+    commit; returns the number of batches. A file above ``max_bytes`` is a batch alone.
+
+    Names, not contents, are listed first; a batch reads its own files only. A run that was killed
+    finds the files of its committed batches registered and goes on with the others."""
+    spark = wh.spark
+    found = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory).select("path", "length")
+    plan = wh.path("batches", new_id())
+    try:
+        found.withColumn("filename", fs.file_name("path")).write.parquet(f"{plan}/files")
+        listed = spark.read.parquet(f"{plan}/files")
+        # files of one name stay together: only one of them counts (``one_per_name``)
+        names = listed.groupBy("filename").agg(F.sum("length").alias("length"), F.count("path").alias("files"))
+        dealt = listed.join(fs.dealt_to_batches(names, max_bytes, max_files), "filename")
+        dealt.select("path", "batch").write.partitionBy("batch").parquet(f"{plan}/dealt")
+        batches = sorted(int(n.split("=")[1]) for n in wh.store.names(f"{plan}/dealt") if n.startswith("batch="))
+        for batch in batches:
+            # short strings, at most ``max_files`` names
+            own = [r["path"] for r in spark.read.parquet(f"{plan}/dealt/batch={batch}").select("path").collect()]
+            ingest(wh, spark.read.format("binaryFile").load([_glob_free(p) for p in own]), on_changed)
+    finally:
+        wh.store.delete(plan)
+    return len(batches)
+
+
+def _glob_free(path: str) -> str:
+    """A file's path as a pattern that matches it alone."""
+    return "".join("\\" + c if c in "{}[]*?,\\" else c for c in path)
+
+
+# --- seeds -------------------------------------------------------------------------------------
+
+def _set_small(wh: Warehouse, base: Snapshot, tables: dict[str, DataFrame]) -> None:
+    written = {name: _write(wh, name, df) for name, df in tables.items()}
+
+    def change(state: dict) -> None:
+        for name in ("raw/src_venues", *written):
+            if state["small"].get(name) != base.state["small"].get(name):
+                raise Conflict(name)
+        state["small"].update(written)
+
+    wh.store.commit(change)
+
+
 def refresh_seeds(wh: Warehouse) -> None:
-    vc = vn.refresh_venue_city(wh.src_venues(), wh.venue_city())
-    write_version(vc, wh.path("seeds/venue_city"))
-    cc = vn.refresh_city_country(wh.venue_city(), wh.city_country())
-    write_version(cc, wh.path("seeds/city_country"))
+    """New venues and cities get their seed rows; seeds without news are not written."""
+    for _ in range(ATTEMPTS):
+        base = wh.store.head()
+        old_vc = wh.small("seeds/venue_city", schemas.VENUE_CITY, base)
+        old_cc = wh.small("seeds/city_country", schemas.CITY_COUNTRY, base)
+        src, new = wh.small("raw/src_venues", schemas.SRC_VENUES, base), {}
+        if vn.new_seed_venues(src, old_vc).limit(1).count():
+            new["seeds/venue_city"] = vn.refresh_venue_city(src, old_vc)
+        vc = new.get("seeds/venue_city", old_vc)
+        if vn.new_seed_cities(vc, old_cc).limit(1).count():
+            new["seeds/city_country"] = vn.refresh_city_country(vc, old_cc)
+        if not new:
+            return
+        try:
+            return _set_small(wh, base, new)
+        except Conflict:
+            continue
+    raise Conflict("seeds")
 
 
-def _run_id() -> str:
-    import uuid
-    return uuid.uuid4().hex[:12]
+def seed_initial(wh: Warehouse, venue_city: DataFrame, city_country: DataFrame) -> None:
+    _set_small(wh, wh.store.head(), {"seeds/venue_city": venue_city.select("venue_name", "city"),
+                                     "seeds/city_country": city_country.select("city", "country")})
+
 
+# --- models ------------------------------------------------------------------------------------
 
 def build(wh: Warehouse, changed: DataFrame | None = None) -> None:
-    """(Re)build models. ``changed`` = match ids to recompute (None: all matches)."""
-    spark = wh.spark
-    venues = im.int_venues(wh.venue_city(), wh.city_country())
-    write_version(venues, wh.path("models/int_venues"))
-    venues = wh.model("int_venues")
-
-    raw_m = spark.read.parquet(wh.path("raw/matches"))
-    raw_d = spark.read.parquet(wh.path("raw/deliveries"))
-    if changed is None:
-        changed = raw_m.select("match_id").distinct()
-    # matches whose venue was unknown are re-resolved against the current venues
-    prior = wh.read_table("models/int_matches")
+    """Bring every model to the end of the feed and show the result to readers.
+
+    ``changed``: further match ids to recompute; what ``ingest`` returns is in the feed already
+    and is not taken in twice."""
+    _refresh_venues(wh)
+    if changed is not None:
+        _recompute(wh, changed)
+    state = wh.store.head().state
+    target = _end_of_feed(state)
+    if any(name not in state["work"] for name in RAW_TABLES):
+        return  # nothing was ever loaded
+    build_steps(wh, STEPS, target)
+    compact(wh)
+    _show(wh, target)
+
+
+def build_steps(wh: Warehouse, steps: list[list[str]], target: int | None = None) -> None:
+    """Bring the models of ``steps`` to the end of the feed, without showing them to readers."""
+    _refresh_venues(wh)
+    target = _end_of_feed(wh.store.head().state) if target is None else target
+    for step in steps:
+        _together([lambda name=name: _bring(wh, name, target) for name in step])
+
+
+def rebuild(wh: Warehouse) -> None:
+    """Recompute every match."""
+    matches = wh.read_table("raw/matches")
+    if matches is not None:
+        _recompute(wh, matches.select("match_id"), waiting=False)
+    build(wh)
+
+
+def _end_of_feed(state: dict) -> int:
+    return state["next"] - 1
+
+
+def _models(state: dict) -> dict[str, dict]:
+    return {n: t for n, t in state["work"].items() if n.startswith("models/") and "watermark" in t}
+
+
+def _recompute(wh: Warehouse, ids: DataFrame, waiting: bool = True) -> None:
+    """Put ids into the feed, for the models; with ``waiting`` only those not waiting there."""
+    base = wh.store.head()
+    marks = [t["watermark"] for t in _models(base.state).values()] or [0]
+    pending = [e for e in base.state["feed"] if e["seq"] > min(marks)]
+    if waiting and pending:
+        ids = ids.join(parts.changed_ids(wh.store, pending).select("match_id"), "match_id", "left_anti")
+    path = f"{parts.FEED}/{parts.ENTRY}=e{new_id()}"
+    ids.select(F.col("match_id").cast("int")).distinct().write.parquet(wh.path(path))
+    feed = _feed_entry(wh, path, wh.spark.read.schema("match_id int").parquet(wh.path(path)))
+
+    def change(state: dict) -> None:
+        _unchanged(base, state)
+        _add_entry(state, feed)
+
+    if feed["rows"]:
+        wh.store.commit(change)
+
+
+def _refresh_venues(wh: Warehouse) -> None:
+    """int_venues follows the seeds; matches whose venue became known or unknown are recomputed."""
+    base = wh.store.head()
+    seeds = {n: base.state["small"].get(n) for n in ("seeds/venue_city", "seeds/city_country")}
+    entry = base.state["work"].get("models/int_venues")
+    if entry is not None and entry["seeds"] == seeds:
+        return
+    venues = im.int_venues(wh.small("seeds/venue_city", schemas.VENUE_CITY, base),
+                           wh.small("seeds/city_country", schemas.CITY_COUNTRY, base))
+    written = _write(wh, "models/int_venues", venues) | {"schema": venues.schema.json(), "seeds": seeds}
+    feed = None
+    prior = wh.table("models/int_matches", base.state)
     if prior is not None:
-        unresolved = prior.filter(F.col("venue_id").isNull()).select("match_id")
-        changed = changed.unionByName(unresolved).distinct()
-    ids = wh.path("batches", _run_id(), "ids")
-    changed.write.parquet(ids)
-    changed = spark.read.parquet(ids)
-
-    # read only the partitions (buckets) holding changed matches, then semi-join the ids
-    changed_b = with_bucket(changed, wh.bucket_width)
-    buckets = touched_buckets(changed, wh.bucket_width)
-
-    def only_changed(table: DataFrame) -> DataFrame:
-        return (in_buckets(table, buckets)
-                .join(changed_b, [BUCKET_COL, "match_id"], "left_semi").drop(BUCKET_COL))
-
-    stg_m = st.stg_match_info(
-        only_changed(raw_m))
-    deliveries = im.int_deliveries(st.stg_deliveries(only_changed(raw_d)))
-    matches = im.int_matches(stg_m, venues)
-
-    schemas_written: dict = {}
-
-    def put(name: str, df: DataFrame) -> DataFrame:
-        replace_matches(spark, wh.path("models", name), df, changed, wh.bucket_width)
-        # read back with the written schema: a model with no rows yet (e.g. no venue
-        # seeded) leaves no data files to infer a schema from
-        schema = with_bucket(df, wh.bucket_width).schema
-        schemas_written[name] = schema
-        return only_changed(wh.model(name, schema).withColumn(
-            BUCKET_COL, F.floor(F.col("match_id") / F.lit(wh.bucket_width)).cast("int"))
-            if not table_exists(spark, wh.path("models", name))
-            else spark.read.schema(schema).parquet(wh.path("models", name)))
-
-    deliveries = put("int_deliveries", deliveries)
-    matches = put("int_matches", matches)
-    innings = put("int_innings", im.int_innings(deliveries))
-    new_teams = put("int_match_teams", im.int_match_teams(stg_m, venues))
-    new_players = put("int_match_players", im.int_match_players(stg_m))
-    seq = put("fct_deliveries_sequence", mt.fct_deliveries_sequence(deliveries))
-    batting_order = put("fct_batting_order", mt.fct_batting_order(seq))
-    bowling_order = put("fct_bowling_order", mt.fct_bowling_order(seq))
-    dismissed = put("fct_dismissed_players", mt.fct_dismissed_players(deliveries))
-    put("fct_batting_scorecard",
-        mt.fct_batting_scorecard(deliveries, batting_order, dismissed))
-    put("fct_bowling_scorecard", mt.fct_bowling_scorecard(deliveries, bowling_order))
-    put("fct_match_summary", mt.fct_match_summary(matches, innings))
-
-    # dimensions: only keys touched by the changed matches are recomputed
-    prior_teams = wh.model_or_none("int_teams")
-    teams = im.refresh_dimension(
-        prior_teams, wh.model("int_match_teams", schemas_written["int_match_teams"]),
-        changed, new_teams, ["team", "format"],
-        lambda mt_rows: im.int_teams(mt_rows, keep_source=True))
-    write_version(teams, wh.path("models/int_teams"))
-    teams = wh.model("int_teams")
-    prior_players = wh.model_or_none("int_players")
-    if prior_players is not None:
-        # a team key that no longer exists takes its players with it
-        prior_players = prior_players.join(teams.select("team_id"), "team_id", "left_semi")
-    new_player_keys = new_players.join(teams.select("team_id", "team", "format"),
-                                       ["team", "format"]).select("team_id", "player_id")
-    players = im.refresh_dimension(
-        prior_players,
-        wh.model("int_match_players", schemas_written["int_match_players"]).join(
-            teams.select("team_id", "team", "format"), ["team", "format"]),
-        changed, new_player_keys, ["team_id", "player_id"],
-        lambda mp_rows: im.int_players(mp_rows.drop("team_id"), teams, keep_source=True))
-    write_version(players, wh.path("models/int_players"))
+        now = wh.spark.read.schema(venues.schema).parquet(wh.path(written["dir"])).select(
+            F.col("venue_name").alias("__venue"), F.lit(True).alias("__known"))
+        stale = (wh.table("raw/matches", base.state).select("match_id", F.col("info.venue").alias("__venue"))
+                 .join(now, "__venue", "left").join(prior.select("match_id", "venue_id"), "match_id")
+                 .filter(F.col("__known").isNotNull() != F.col("venue_id").isNotNull()))
+        path = f"{parts.FEED}/{parts.ENTRY}=e{new_id()}"
+        stale.select("match_id").distinct().write.parquet(wh.path(path))
+        feed = _feed_entry(wh, path, wh.spark.read.schema("match_id int").parquet(wh.path(path)))
+
+    def change(state: dict) -> None:
+        _unchanged(base, state, "feed")
+        if state["work"].get("models/int_venues") != entry:
+            raise Conflict("int_venues")
+        state["work"]["models/int_venues"] = written
+        if feed and feed["rows"]:
+            _add_entry(state, feed)
+
+    try:
+        wh.store.commit(change)
+    except Conflict:  # another run loaded matches or refreshed the seeds meanwhile
+        _refresh_venues(wh)
+
+
+def _int_teams(read: Callable, whole: Callable, prior: DataFrame | None, ids: DataFrame) -> DataFrame:
+    return im.refresh_dimension(prior, whole("int_match_teams"), ids, read("int_match_teams"),
+                                ["team", "format"], lambda rows: im.int_teams(rows, keep_source=True))
+
+
+def _int_players(read: Callable, whole: Callable, prior: DataFrame | None, ids: DataFrame) -> DataFrame:
+    teams = whole("int_teams")
+    named = teams.select("team_id", "team", "format")
+    if prior is not None:  # a team key that no longer exists takes its players with it
+        prior = prior.join(teams.select("team_id"), "team_id", "left_semi")
+    keys = read("int_match_players").join(named, ["team", "format"]).select("team_id", "player_id")
+    return im.refresh_dimension(
+        prior, whole("int_match_players").join(named, ["team", "format"]), ids, keys,
+        ["team_id", "player_id"], lambda rows: im.int_players(rows.drop("team_id"), teams, keep_source=True))
+
+
+def _rows(name: str, read: Callable, whole: Callable) -> DataFrame:
+    """The rows of a match-grain model for the changed matches; ``read`` gives those of its inputs."""
+    if name == "int_deliveries":
+        return im.int_deliveries(st.stg_deliveries(st.typed_deliveries(read("raw/deliveries"))))
+    if name == "int_matches":
+        return im.int_matches(st.match_info(read("raw/matches")), whole("int_venues"))
+    if name == "int_match_teams":
+        return im.int_match_teams(st.match_info(read("raw/matches")), whole("int_venues"))
+    if name == "int_match_players":
+        return im.int_match_players(st.match_info(read("raw/matches")))
+    if name == "int_innings":
+        return im.int_innings(read("int_deliveries"))
+    if name == "fct_deliveries_sequence":
+        return mt.fct_deliveries_sequence(read("int_deliveries"))
+    if name == "fct_dismissed_players":
+        return mt.fct_dismissed_players(read("int_deliveries"))
+    if name == "fct_batting_order":
+        return mt.fct_batting_order(read("fct_deliveries_sequence"))
+    if name == "fct_bowling_order":
+        return mt.fct_bowling_order(read("fct_deliveries_sequence"))
+    if name == "fct_match_summary":
+        return mt.fct_match_summary(read("int_matches"), read("int_innings"))
+    if name == "fct_batting_scorecard":
+        return mt.fct_batting_scorecard(read("int_deliveries"), read("fct_batting_order"),
+                                        read("fct_dismissed_players"))
+    if name == "fct_bowling_scorecard":
+        return mt.fct_bowling_scorecard(read("int_deliveries"), read("fct_bowling_order"))
+    raise KeyError(name)
+
+
+def _bring(wh: Warehouse, name: str, target: int) -> None:
+    """Recompute the matches that the feed names after the model's watermark; commit rows and
+    watermark together."""
+    base, key = wh.store.head(), f"models/{name}"
+    entry = base.state["work"].get(key)
+    mark = entry["watermark"] if entry else 0
+    if mark >= target:
+        return
+    pending = [e for e in base.state["feed"] if mark < e["seq"] <= target]
+    buckets = sorted({b for e in pending for b in e["buckets"]})
+    ids = parts.changed_ids(wh.store, pending).select("match_id")
+    ids = ids.distinct() if len(pending) > 1 else ids
+    if sum(e["rows"] for e in pending) <= parts.BROADCAST_IDS:
+        ids = F.broadcast(ids)
+
+    def full(table: str) -> str:
+        return table if table.startswith("raw/") else f"models/{table}"
+
+    def read(table: str) -> DataFrame:
+        found = wh.table(full(table), base.state, buckets=buckets)
+        return found.join(ids, "match_id", "left_semi")
+
+    def whole(table: str) -> DataFrame:
+        return wh.table(full(table), base.state)
+
+    if name in DIM_MODELS:
+        prior = wh.table(key, base.state)
+        rows = {"int_teams": _int_teams, "int_players": _int_players}[name](read, whole, prior, ids)
+        new = _write(wh, key, rows) | {"schema": rows.schema.json(), "watermark": target}
+    elif pending:
+        rows = _rows(name, read, whole)
+        part = parts.add_part(wh.store, key, rows, wh.bucket_width, len(buckets))
+        old = entry["parts"] if entry else []
+        added = [part | {"seq": target}] if part["buckets"] else []
+        new = {"schema": rows.schema.json(), "watermark": target, "parts": [*old, *added]}
+    else:
+        new = entry | {"watermark": target}
+
+    def change(state: dict) -> None:
+        _unchanged(base, state)
+        if state["work"].get(key) != entry:
+            raise Conflict(key)
+        state["work"][key] = new
+
+    wh.store.commit(change)
+
+
+def compact(wh: Warehouse, max_parts: int = parts.MAX_PARTS) -> None:
+    """Rewrite the buckets that lie in more than ``max_parts`` parts."""
+    def one(name: str) -> None:
+        base = wh.store.head()
+        entry = base.state["work"][name]
+        buckets = parts.crowded_buckets(entry, max_parts)
+        if not buckets:
+            return
+        rows = wh.table(name, base.state, buckets=buckets)
+        part = parts.add_part(wh.store, name, rows, wh.bucket_width, len(buckets)) | {"seq": entry["watermark"]}
+
+        def change(state: dict) -> None:
+            _unchanged(base, state)
+            if state["work"].get(name) != entry:
+                raise Conflict(name)
+            parts.without_buckets(state["work"][name], buckets)
+            if part["buckets"]:
+                state["work"][name]["parts"].append(part)
+
+        try:
+            wh.store.commit(change)
+        except Conflict:  # it has been written to meanwhile; the next build looks again
+            pass
+
+    tables = [n for n, t in wh.store.head().state["work"].items() if "parts" in t]
+    _together([lambda n=n: one(n) for n in tables])
+
+
+def _show(wh: Warehouse, target: int) -> None:
+    """Readers see the models of this build; feed entries that nothing needs any more go."""
+    def change(state: dict) -> None:
+        if all(t["watermark"] >= target for t in _models(state).values()):
+            state["live"] = {n: t for n, t in state["work"].items() if n.startswith("models/")}
+        if len(_models(state)) == sum(map(len, STEPS)):
+            tables = [(n, t) for shelf in ("work", "live") for n, t in state[shelf].items() if "watermark" in t]
+            state["feed"] = parts.needed_entries(state["feed"], tables)
+
+    wh.store.commit(change)
 
 
 def run(wh: Warehouse, files: DataFrame, seeds: bool = True) -> None:
-    """One pipeline run: ingest, optional seed refresh, incremental build."""
-    changed = ingest(wh, files)
+    """One pipeline run: ingest, optional seed refresh, build of whatever is not built yet."""
+    ingest(wh, files)
     if seeds:
         refresh_seeds(wh)
-    build(wh, changed)
-
-
-def seed_initial(wh: Warehouse, venue_city: DataFrame, city_country: DataFrame) -> None:
-    write_version(venue_city.select("venue_name", "city"), wh.path("seeds/venue_city"))
-    write_version(city_country.select("city", "country"), wh.path("seeds/city_country"))
+    build(wh)
 
 
 def reset(wh: Warehouse) -> None:
-    """Start over: the raw tables, the models made from them and the run batches go; the
-    registry and the source venues get a new empty version. Seeds stay."""
-    drop_tables(wh.spark, [wh.path(name) for name in (
-        "raw/matches", "raw/deliveries", "raw/quarantine", "models", "batches")])
-    for name, schema in [("raw/registry", schemas.REGISTRY),
-                         ("raw/src_venues", schemas.SRC_VENUES)]:
-        write_version(wh.spark.createDataFrame([], schema), wh.path(name))
+    """Start over: no raw tables, models, quarantine, registry or source venues. Seeds stay."""
+    def change(state: dict) -> None:
+        state["epoch"] += 1
+        state.update(feed=[], work={}, live={}, quarantine=[],
+                     registry=rg.EMPTY | {"next": state["registry"]["next"]})
+        state["small"].pop("raw/src_venues", None)
+
+    wh.store.commit(change)
+    vacuum(wh, keep=1)
+
+
+def vacuum(wh: Warehouse, keep: int = 10) -> list[str]:
+    """Remove the files that none of the last ``keep`` states names. Not during a run."""
+    def named(state: dict) -> set[str]:
+        out = {t["dir"] for t in state["small"].values()} | set(state["quarantine"])
+        out |= {f"{parts.FEED}/{parts.ENTRY}={e['dir']}" for e in state["feed"]}
+        out |= {f"{layout}/segment={s['dir']}" for s in state["registry"]["segments"]
+                for layout in (rg.BY_NAME, rg.BY_HASH)}
+        for shelf in ("work", "live"):
+            for name, table in state[shelf].items():
+                out |= {table["dir"]} if "dir" in table else {f"{name}/{parts.PART}={p['dir']}" for p in table["parts"]}
+        return out
+
+    folders = [*RAW_TABLES, "raw/quarantine", "raw/src_venues", "seeds/venue_city", "seeds/city_country",
+               parts.FEED, rg.BY_NAME, rg.BY_HASH, "batches",
+               *[f"models/{m}" for m in (*MATCH_MODELS, *DIM_MODELS)]]
+    return wh.store.vacuum(named, folders, keep)

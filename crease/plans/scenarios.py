@@ -14,7 +14,7 @@ from crease import schemas
 from crease.operators.dedupe import distinct_on
 from crease.operators.incremental import new_only, not_in_counts, replace_by_match, upsert_by_key
 from crease.plans import staging as st
-from crease.plans.world import World
+from crease.plans.world import World, store
 from crease.sources import adapters as ad
 from crease.sources import files as fs
 from crease.sources import venues as vn
@@ -158,6 +158,65 @@ def match_files(w: World, planted: bool = False) -> DataFrame:
                        F.encode(F.to_json("doc"), "UTF-8").alias("content"))
 
 
+def whole_match_files(w: World) -> DataFrame:
+    """Files whose documents hold more than the typed columns: officials in ``info``, a review
+    of every six, the fielder of every catch."""
+    def ball(d):
+        review = F.when(d["runs"]["batter"] == 6, F.struct(d["batter"].alias("by"), F.lit("upheld").alias("decision")))
+        fielders = lambda x: F.when(x["kind"] == "caught", F.array(F.struct(d["bowler"].alias("name"))))
+        return d.withField("review", review).withField(
+            "wickets", F.transform(d["wickets"], lambda x: x.withField("fielders", fielders(x))))
+
+    overs = lambda inn: F.transform(inn["overs"], lambda o: o.withField(
+        "deliveries", F.transform(o["deliveries"], ball)))
+    officials = F.struct(F.array(F.col("doc.info.venue")).alias("umpires"))
+    doc = F.struct(F.col("doc.info").withField("officials", officials).alias("info"),
+                   F.transform("doc.innings", lambda inn: inn.withField("overs", overs(inn))).alias("innings"))
+    return documents(w).select(F.concat(F.lit("landing/"), F.col("match_id").cast("string"), F.lit(".json")).alias("path"),
+                               F.encode(F.to_json(doc), "UTF-8").alias("content"))
+
+
+def raw_whole_balls(w: World) -> DataFrame:
+    """Keys outside the typed columns, read back from the stored raw balls."""
+    docs = fs.loadable(fs.parse_documents(fs.fingerprint(whole_match_files(w))))
+    raw = store(fs.flatten_deliveries(docs), "raw-balls")
+    key = lambda path: F.try_variant_get("delivery", path, "string")
+    found = raw.select("match_id", F.col("n_innings").alias("innings_number"), F.col("n_over").alias("over_number"),
+                       F.col("n_delivery").alias("ball_in_over"), key("$.review.by").alias("review_by"),
+                       key("$.review.decision").alias("decision"),
+                       key("$.wickets[0].fielders[0].name").alias("fielder"))
+    return found.filter("review_by IS NOT NULL OR fielder IS NOT NULL")
+
+
+def raw_schema_drift(w: World) -> DataFrame:
+    docs = fs.loadable(fs.parse_documents(fs.fingerprint(whole_match_files(w))))
+    return fs.unknown_keys(store(fs.match_rows(docs).select("match_id", "document"), "raw-documents"))
+
+
+def registry_double_names(w: World) -> DataFrame:
+    """Every third document lies in two folders under one name, with different contents: the one
+    with the least path is registered."""
+    files = w.table("documents").select(F.concat(F.lit("a/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("path"),
+                                        F.col("text").alias("content"), "doc_id")
+    other = files.filter("doc_id % 3 = 0").select(F.concat(F.lit("b/"), F.substring("path", 3, 99)).alias("path"),
+                                                  F.concat("content", F.lit(" again")).alias("content"), "doc_id")
+    seen = fs.one_per_name(fs.fingerprint(files.unionByName(other)).drop("content"))
+    reg = known_registry(w).withColumn("ingested_at", F.current_timestamp())
+    return fs.registry_append(reg, fs.new_files(seen, reg)).select("filename", "file_hash")
+
+
+#: Bounds of the batch scenario, in bytes and files.
+BATCH_BYTES, BATCH_FILES = 20_000, 9
+
+
+def files_to_batches(w: World) -> DataFrame:
+    """Documents as files, dealt to batches of bounded bytes and files."""
+    files = w.table("documents").select(
+        F.concat(F.lit("f"), F.lpad(F.col("doc_id").cast("string"), 12, "0")).alias("filename"),
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("length"), F.lit(1).alias("files"))
+    return fs.dealt_to_batches(files, BATCH_BYTES, BATCH_FILES)
+
+
 def raw_roundtrip_flatten(w: World) -> DataFrame:
     """Documents -> JSON text -> typed parse -> 3-level flatten -> staging projection.
     hash_id is the F-D hash carried alongside (the file hash of generated JSON text is

@@ -19,6 +19,12 @@ def parse_delivery_json(raw_json: DataFrame) -> DataFrame:
     return raw_json.withColumn("delivery", F.from_json("delivery", schemas.DELIVERY))
 
 
+def typed_deliveries(raw: DataFrame) -> DataFrame:
+    """Raw rows whose ``delivery`` is the whole ball (VARIANT) -> typed struct. A key that is
+    present with a JSON null stays a key of ``extras``."""
+    return raw.withColumn("delivery", F.try_variant_get("delivery", "$", schemas.DELIVERY.simpleString()))
+
+
 def _extra(k: str) -> str:
     return f"CAST(coalesce(try_element_at(delivery.extras, '{k}'), 0) AS INT) AS {k}"
 
@@ -58,5 +64,10 @@ def stg_match_info(raw_matches: DataFrame) -> DataFrame:
     cols = ["match_id", "hash_id", "info", "ingested_at"]
     latest = distinct_on(raw_matches.select(*cols), ["match_id"],
                          ["ingested_at", "hash_id"], descending=True)
-    return latest.select("match_id", "hash_id", "info",
-                         F.current_timestamp().alias("last_update"))
+    return match_info(latest)
+
+
+def match_info(raw_matches: DataFrame) -> DataFrame:
+    """The same for a table that holds one row per match already, as the warehouse's does: no
+    document is shuffled."""
+    return raw_matches.select("match_id", "hash_id", "info", F.current_timestamp().alias("last_update"))

@@ -79,6 +79,21 @@ MATCH_DOC = T.StructType([
     T.StructField("innings", T.ArrayType(INNINGS)),
 ])
 
+# Balls stay whole: keys that no column names (fielders, reviews, ..) are kept.
+RAW_INNINGS = T.StructType([
+    T.StructField("team", S),
+    T.StructField("super_over", B),
+    T.StructField("overs", T.ArrayType(T.StructType([
+        T.StructField("over", I),
+        T.StructField("deliveries", T.ArrayType(T.VariantType())),
+    ]))),
+])
+
+RAW_DOC = T.StructType([
+    T.StructField("info", INFO),
+    T.StructField("innings", T.ArrayType(RAW_INNINGS)),
+])
+
 # raw layer -------------------------------------------------------------------------
 
 REGISTRY = T.StructType([
@@ -92,6 +107,7 @@ MATCHES_RAW = T.StructType([
     T.StructField("hash_id", S),
     T.StructField("ingested_at", T.TimestampType()),
     T.StructField("info", INFO),
+    T.StructField("document", T.VariantType()),
 ])
 
 DELIVERIES_RAW = T.StructType([
@@ -105,6 +121,9 @@ DELIVERIES_RAW = T.StructType([
     T.StructField("delivery", DELIVERY),
 ])
 
+#: The same with the whole ball.
+DELIVERIES_WHOLE = T.StructType([*DELIVERIES_RAW.fields[:-1], T.StructField("delivery", T.VariantType())])
+
 QUARANTINE = T.StructType([
     T.StructField("filename", S),
     T.StructField("file_hash", S),

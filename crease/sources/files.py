@@ -5,11 +5,15 @@
 * ``new_files``       files whose hash is not in the registry (anti join against the
                       registry as it was at run start); a changed file under a known name
                       either replaces its match (default) or fails the run.
-* ``parse_documents`` typed ``from_json`` of the whole document + match_id from the file
-                      name; bad names, unparsable JSON and innings without ``overs`` are
-                      routed to a quarantine with a reason instead of being half-loaded.
+* ``one_per_name``    of the files that share a name, the one with the least path.
+* ``parse_documents`` ``from_json`` of the document (typed head, balls as VARIANT), the whole
+                      document as VARIANT, match_id from the file name; bad names, unparsable
+                      JSON and innings without ``overs`` are routed to a quarantine with a
+                      reason instead of being half-loaded.
 * ``flatten_deliveries`` three ``posexplode`` levels (innings -> overs -> deliveries);
-                      positions are 0-based array indexes.
+                      positions are 0-based array indexes. A ball stays what it is: VARIANT
+                      with every key, or the typed struct of a typed document.
+* ``unknown_keys``    what the documents hold besides the typed columns (schema drift).
 """
 
 from __future__ import annotations
@@ -20,10 +24,13 @@ from pyspark.sql import functions as F
 from crease import schemas
 from crease.functions import file_name, match_id_from_filename
 from crease.operators.incremental import new_only
+from crease.operators.sequence import running_sums
 
 REASON_BAD_NAME = "match id not integer"
 REASON_BAD_JSON = "malformed json"
 REASON_NO_OVERS = "innings without overs"
+REASON_NAME_TWICE = "file name twice in a run"
+REASON_MATCH_TWICE = "match id twice in a run"
 
 
 def scan_files(spark: SparkSession, directory: str, glob: str = "*.json") -> DataFrame:
@@ -51,21 +58,50 @@ def new_files(files: DataFrame, registry: DataFrame, on_changed: str = "replace"
     return fresh
 
 
+def one_per_name(files: DataFrame, order: str = "path") -> DataFrame:
+    """Of the files that share a name the one with the least ``order``: a name is unique in the
+    registry. The choice does not depend on what is registered, so it stays the same in every
+    run that sees the same files. Only names travel; the rest of a row is joined back."""
+    least = files.groupBy("filename").agg(F.min(order).alias(order))
+    return files.join(least, ["filename", order], "left_semi")
+
+
+def dealt_to_batches(files: DataFrame, max_bytes: int, max_files: int) -> DataFrame:
+    """(filename, length, files) -> (filename, batch): no batch holds more than ``max_bytes`` or
+    ``max_files``, but for a name that alone exceeds a bound, which is a batch alone.
+
+    Names are laid end to end in order; a batch is a stretch of equal width. Width and the largest
+    name that may begin in its last byte make up the bound, so names above half a bound are dealt
+    on their own."""
+    large = (F.col("length") > max_bytes // 2) | (F.col("files") > max_files // 2)
+    some = files.filter(~large)
+    most = some.agg(F.coalesce(F.max("length"), F.lit(0)).alias("b"), F.coalesce(F.max("files"), F.lit(1)).alias("n")).first()
+    width, count = max(1, max_bytes - most["b"]), max(1, max_files - most["n"])
+    laid = running_sums(some, "filename", ["length", "files"])
+    before = [F.floor((F.col("__" + c) - F.col(c)) / F.lit(w)).cast("long") for c, w in (("length", width), ("files", count))]
+    small = laid.select("filename", (before[0] + before[1]).alias("batch"))
+    first = small.agg(F.coalesce(F.max("batch"), F.lit(-1)).alias("m")).first()["m"] + 1
+    alone = running_sums(files.filter(large).withColumn("one", F.lit(1)), "filename", ["one"])
+    return small.unionByName(alone.select("filename", (F.col("__one") - 1 + first).alias("batch")))
+
+
 def registry_append(registry: DataFrame, fresh: DataFrame) -> DataFrame:
-    """Registry after a run: one row per file name, the new hash replacing an old one."""
-    added = fresh.select("filename", "file_hash",
-                         F.current_timestamp().alias("ingested_at"))
+    """Registry after a run: one row per file name, the new hash replacing an old one. Of a name
+    that stands twice in the run the least hash is registered (``one_per_name`` leaves one)."""
+    added = fresh.groupBy("filename").agg(F.min("file_hash").alias("file_hash")).select(
+        "filename", "file_hash", F.current_timestamp().alias("ingested_at"))
     kept = registry.join(added.select("filename"), "filename", "left_anti")
     return kept.unionByName(added.select(*registry.columns))
 
 
-def parse_documents(files: DataFrame) -> DataFrame:
-    """(filename, file_hash, content) -> (filename, file_hash, match_id, doc, reason).
-    ``reason`` is NULL for a loadable document."""
-    doc = F.from_json(F.col("content").cast("string"), schemas.MATCH_DOC)
+def parse_documents(files: DataFrame, keep: list[str] = ()) -> DataFrame:
+    """(filename, file_hash, content) -> (filename, file_hash, match_id, doc, document, reason):
+    the typed document with whole balls, and all of it. ``reason`` is NULL for a loadable one."""
+    text = F.col("content").cast("string")
     parsed = files.select("filename", "file_hash",
                           match_id_from_filename("filename").alias("match_id"),
-                          doc.alias("doc"))
+                          F.from_json(text, schemas.RAW_DOC).alias("doc"),
+                          F.try_parse_json(text).alias("document"), *keep)
     no_overs = F.exists(F.coalesce(F.col("doc.innings"), F.array()),
                         lambda i: i["overs"].isNull())
     reason = (F.when(F.col("match_id").isNull(), F.lit(REASON_BAD_NAME))
@@ -83,9 +119,9 @@ def quarantine(parsed: DataFrame) -> DataFrame:
 
 
 def match_rows(docs: DataFrame) -> DataFrame:
-    """Raw matches table: one row per loaded document."""
+    """Raw matches table: one row per loaded document, typed ``info`` and the whole document."""
     return docs.select("match_id", F.col("file_hash").alias("hash_id"),
-                       F.current_timestamp().alias("ingested_at"), F.col("doc.info").alias("info"))
+                       F.current_timestamp().alias("ingested_at"), F.col("doc.info").alias("info"), "document")
 
 
 def flatten_deliveries(docs: DataFrame, hash_col: str = "file_hash") -> DataFrame:
@@ -98,7 +134,8 @@ def flatten_deliveries(docs: DataFrame, hash_col: str = "file_hash") -> DataFram
                      F.posexplode("inn.overs").alias("n_over", "ov"))
     balls = ovs.select("match_id", "hash_id", "n_innings", "team", "n_over", "super_over",
                        F.posexplode("ov.deliveries").alias("n_delivery", "delivery"))
-    return balls.select(*[F.col(f.name).cast(f.dataType) for f in schemas.DELIVERIES_RAW])
+    head = [F.col(f.name).cast(f.dataType) for f in schemas.DELIVERIES_RAW.fields[:-1]]
+    return balls.select(*head, "delivery")
 
 
 def flatten_leading_innings(parsed: DataFrame) -> DataFrame:
@@ -113,3 +150,40 @@ def flatten_leading_innings(parsed: DataFrame) -> DataFrame:
         "innings", F.slice(F.coalesce(F.col("doc.innings"), F.array()), F.lit(1),
                            F.greatest(keep_n, F.lit(0)))))
     return flatten_deliveries(trimmed)
+
+
+#: Levels of a match document whose keys have columns: path of the objects, typed fields.
+LEVELS = {
+    "$": schemas.MATCH_DOC, "$.info": schemas.INFO, "$.innings[]": schemas.INNINGS,
+    "$.innings[].overs[]": schemas.OVER, "$.innings[].overs[].deliveries[]": schemas.DELIVERY,
+    "$.innings[].overs[].deliveries[].wickets[]": schemas.WICKET,
+}
+
+
+def unknown_keys(matches: DataFrame, document: str = "document") -> DataFrame:
+    """Schema drift of whole documents: (level, key, n_objects, n_documents, value_type) of the
+    keys that the typed columns do not hold. One exploded row per key of an object, pre-aggregated
+    in its task; counts add up and types merge over runs."""
+    objects = {"$": matches.select("match_id", F.col(document).alias("o"))}
+    for level in list(LEVELS)[1:]:
+        parent, step = level.rsplit(".", 1)
+        value = objects[parent]
+        path = "$." + step.removesuffix("[]")
+        if step.endswith("[]"):
+            inner = F.explode(F.try_variant_get("o", path, "array<variant>"))
+        else:
+            inner = F.try_variant_get("o", path, "variant")
+        objects[level] = value.select("match_id", inner.alias("o"))
+    found = None
+    for level, schema in LEVELS.items():
+        entry = objects[level].select("match_id", F.explode(F.try_variant_get("o", "$", "map<string,variant>"))
+                                      .alias("key", "value"))
+        part = (entry.filter(~F.col("key").isin(schema.names))
+                .groupBy("key", "match_id").agg(F.count(F.lit(1)).alias("n"),
+                                                F.schema_of_variant_agg("value").alias("t"))
+                .groupBy("key").agg(F.sum("n").alias("n_objects"), F.count(F.lit(1)).alias("n_documents"),
+                                    F.sort_array(F.collect_set("t")).alias("ts"))
+                .select(F.lit(level).alias("level"), "key", "n_objects", "n_documents",
+                        F.array_join("ts", " | ").alias("value_type")))
+        found = part if found is None else found.unionByName(part)
+    return found

@@ -38,16 +38,19 @@ def start(wh: pipeline.Warehouse, directory: str, checkpoint: str,
           available_now: bool = True, max_files_per_trigger: int | None = None,
           refresh_seeds: bool = False) -> StreamingQuery:
     """Start the landing -> warehouse stream. Each micro-batch = one pipeline run."""
+    stream = landing_stream(wh.spark, directory, max_files_per_trigger=max_files_per_trigger)
+    return start_stream(wh, stream, checkpoint, available_now, refresh_seeds)
+
+
+def start_stream(wh: pipeline.Warehouse, arrivals: DataFrame, checkpoint: str, available_now: bool = True,
+                 refresh_seeds: bool = False) -> StreamingQuery:
+    """The same for any stream of (path, content) rows."""
 
     def run_batch(files: DataFrame, batch_id: int) -> None:  # noqa: ARG001
-        changed = pipeline.ingest(wh, files.select("path", "content"))
-        if refresh_seeds:
-            pipeline.refresh_seeds(wh)
-        pipeline.build(wh, changed)
+        # a replayed batch finds its files registered; build takes in what the feed still holds
+        pipeline.run(wh, files.select("path", "content"), seeds=refresh_seeds)
 
-    stream = landing_stream(wh.spark, directory, max_files_per_trigger=max_files_per_trigger)
-    writer = (stream.writeStream.foreachBatch(run_batch)
-              .option("checkpointLocation", checkpoint))
+    writer = arrivals.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 minute")
     return writer.start()
