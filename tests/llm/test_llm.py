@@ -418,7 +418,8 @@ def test_pipeline_stages(spark, docs):
     for t in good["text"]:
         assert len(words(t)) >= 10
     after = seen["near dedup"]
-    groups = components(list(zip(seen["line dedup"]["doc_id"], seen["line dedup"]["text"])))
+    groups = components(list(zip(seen["line dedup"]["doc_id"], seen["line dedup"]["text"])),
+                        corpus_pipeline.NEAR_PERCENT)
     assert set(after["doc_id"]) == {d for d, (n, c) in groups.items() if c == d}
     mixed = Counter(seen["mixing"]["doc_id"])
     assert set(mixed) <= set(after["doc_id"]) and max(mixed.values()) <= 3
