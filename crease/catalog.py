@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from crease import schemas
 from crease.functions import count_when, opponent, overs_display, surrogate_key
 from crease.operators.dedupe import distinct_on
-from crease.operators.sequence import role_first_steps, running_count
+from crease.operators.sequence import role_first_steps, running_count, running_count_ranges
 from crease.operators import quality
 from crease.plans import pipeline, reports
 from crease.plans import scenarios as sc
@@ -243,6 +243,14 @@ def _running_count_ties(w: World) -> DataFrame:
     return running_count(li, ["l_orderkey"], ["l_linenumber"], "n")
 
 
+@query("running_count_hot_keys")
+def _running_count_hot_keys(w: World) -> DataFrame:
+    """COUNT(*) OVER (PARTITION BY flag ORDER BY l_orderkey) with three keys, one of them NULL."""
+    li = w.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey",
+                                    F.nullif(F.col("l_returnflag"), F.lit("R")).alias("flag"))
+    return running_count_ranges(li, ["flag"], ["l_orderkey"], "n")
+
+
 @query("lateral_map_explode")
 def _map_explode(w: World) -> DataFrame:
     return w.stg_match_info.select(
@@ -285,6 +293,7 @@ for _name, _fn in [
     ("venue_insert_if_absent", sc.upserted_src_venues),
     ("seed_new_venues", sc.seed_new_venues),
     ("seed_new_cities", sc.seed_new_cities),
+    ("seeds_edited_by_hand", sc.seeds_edited_by_hand),
     ("except_distinct", sc.except_distinct),
     ("venue_semi_join", sc.venue_semi_join),
     ("raw_roundtrip_flatten", sc.raw_roundtrip_flatten),

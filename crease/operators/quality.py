@@ -61,6 +61,40 @@ def expression(df: DataFrame, model: str, name: str, failing: str) -> DataFrame:
     return _row(df.agg(count_when(F.expr(failing)).alias("n")), name, model, "", F.col("n"))
 
 
+def by_bucket(df: DataFrame, model: str, suite: "Suite", parent_ids: DataFrame, key: str = "match_id",
+              bucket: str = "bucket") -> DataFrame | None:
+    """Failures per bucket of the tests of ``model`` that ``Suite.is_local`` names: counts of other
+    buckets stay what they are, so these rows can be stored and summed.
+
+    ``df`` has the column ``bucket``, a function of ``key``; ``parent_ids``: the keys of the parent."""
+    def shown(counts: DataFrame, test: str, column: str) -> DataFrame:
+        return counts.select(F.lit(test).alias("test"), F.lit(model).alias("model"), F.lit(column).alias("column_name"),
+                             bucket, F.col("n").cast("bigint").alias("failures"))
+
+    parts = []
+    for m, columns in suite.not_null:
+        if m == model:
+            counts = df.groupBy(bucket).agg(*[count_when(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(columns)])
+            pairs = ", ".join(f"'{c}', _n{i}" for i, c in enumerate(columns))
+            rows = counts.selectExpr(bucket, f"stack({len(columns)}, {pairs}) AS (column_name, failures)")
+            parts.append(rows.select(F.lit("not_null").alias("test"), F.lit(model).alias("model"), "column_name", bucket,
+                                     F.coalesce("failures", F.lit(0)).cast("bigint").alias("failures")))
+    for test, tests in (("unique", [(m, [c]) for m, c in suite.unique]), ("unique_combination", suite.unique_combination)):
+        for m, columns in tests:
+            if m == model and key in columns:
+                rows = df.filter(F.col(key).isNotNull()) if test == "unique" else df
+                dup = rows.groupBy(bucket, *columns).count().filter("count > 1")
+                parts.append(shown(dup.groupBy(bucket).agg(F.count(F.lit(1)).alias("n")), test, ",".join(columns)))
+    for m, c, p, f in suite.relationships:
+        if m == model and c == f == key:
+            orphans = df.filter(F.col(key).isNotNull()).select(bucket, key).join(parent_ids, key, "left_anti")
+            parts.append(shown(orphans.groupBy(bucket).agg(F.count(F.lit(1)).alias("n")), f"relationships:{p}.{f}", c))
+    out = None
+    for part in parts:
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @dataclass
 class Suite:
     """Declared tests over named model frames."""
@@ -71,6 +105,30 @@ class Suite:
     unique_combination: list[tuple[str, list[str]]] = field(default_factory=list)
     singular: list[tuple[str, str, str]] = field(default_factory=list)
 
+    def is_local(self, kind: str, *test, models: list[str], key: str = "match_id") -> bool:
+        """Whether a test of one of ``models`` is decided inside the rows of one match: a count of
+        nulls, duplicates of keys with the match id, balls or players of a match that is not there."""
+        if test[0] not in models:
+            return False
+        return (kind == "not_null" or (kind == "unique" and test[1] == key)
+                or (kind == "unique_combination" and key in test[1])
+                or (kind == "relationships" and test[1] == test[3] == key))
+
+    def split(self, models: list[str]) -> tuple["Suite", "Suite"]:
+        """(tests that are local for the match-grain ``models``, the others)."""
+        kinds = {"unique": self.unique, "not_null": self.not_null, "relationships": self.relationships,
+                 "unique_combination": self.unique_combination}
+        local = {k: [t for t in tests if self.is_local(k, *t, models=models)] for k, tests in kinds.items()}
+        rest = {k: [t for t in tests if t not in local[k]] for k, tests in kinds.items()}
+        return Suite(**local), Suite(**rest, singular=self.singular)
+
+    def tests(self) -> list[tuple[str, str, str]]:
+        """(test, model, column_name) of every result row."""
+        return ([("unique", m, c) for m, c in self.unique] + [("not_null", m, c) for m, cs in self.not_null for c in cs]
+                + [(f"relationships:{p}.{f}", m, c) for m, c, p, f in self.relationships]
+                + [("unique_combination", m, ",".join(cs)) for m, cs in self.unique_combination]
+                + [(n, m, "") for n, m, _ in self.singular])
+
     def run(self, models: dict[str, DataFrame], kinds: set[str] | None = None) -> DataFrame:
         parts: list[DataFrame] = []
         want = (lambda k: kinds is None or k in kinds)

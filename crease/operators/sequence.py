@@ -3,6 +3,8 @@
 ``running_count`` keeps the SQL default frame (RANGE UNBOUNDED PRECEDING .. CURRENT ROW):
 rows with equal order keys (peers) share one value. It is one plain window at every size:
 a partition is an innings or one of its parts, a few hundred rows by the rules of the game.
+``running_count_ranges`` gives the same for partitions of any size, NULL keys included: no
+task holds more than a range of rows.
 """
 
 from __future__ import annotations
@@ -24,6 +26,36 @@ def running_count(df: DataFrame, partition_by: list[str], order_by: list[str],
     return df.withColumn(out, F.count(F.lit(1)).over(w))
 
 
+def running_count_ranges(df: DataFrame, partition_by: list[str], order_by: list[str], out: str) -> DataFrame:
+    """``running_count`` where one key, or NULL, may hold a large share of the rows.
+
+    Rows are dealt to ranges of (partition, order) and stored, so that every pass sees the same
+    ranges; peers have equal values and share a range. Each range counts its own rows per key.
+    A key that goes on from an earlier range adds that range's rows: only such keys have an
+    offset, at most one per range, so the offsets are broadcast. Peers of more rows than a task
+    can hold would still share one."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "ranges")
+    dealt = df.repartitionByRange(*[F.col(c) for c in (*partition_by, *order_by)]).withColumn(
+        "__range", F.spark_partition_id())
+    dealt.write.parquet(path)
+    rows = spark.read.schema(dealt.schema).parquet(path)
+    held = rows.groupBy("__range", *partition_by).agg(F.count(F.lit(1)).alias("__held"))
+    earlier = Window.partitionBy(*partition_by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    names = [f"__key{i}" for i in range(len(partition_by))]
+    offsets = (held.withColumn("__before", F.sum("__held").over(earlier)).filter("__before > 0")
+               .select(F.col("__range").alias("__of"), "__before",
+                       *[F.col(c).alias(n) for c, n in zip(partition_by, names)]))
+    own = Window.partitionBy("__range", *partition_by).orderBy(*order_by)
+    counted = rows.withColumn("__counted", F.count(F.lit(1)).over(own))
+    same = counted["__range"] == offsets["__of"]
+    for c, n in zip(partition_by, names):
+        same = same & counted[c].eqNullSafe(offsets[n])
+    return (counted.join(F.broadcast(offsets), same, "left")
+            .withColumn(out, F.col("__counted") + F.coalesce("__before", F.lit(0)))
+            .select(*df.columns, out))
+
+
 def running_sums(df: DataFrame, order: str, values: list[str]) -> DataFrame:
     """Add ``__<value>`` = the sum of the value over all rows up to this one by ``order`` (unique,
     not null), over the whole table and without a single task for it.

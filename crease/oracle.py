@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 
 from crease.plans.scenarios import BATCH_BYTES, BATCH_FILES
-from crease.plans.world import PLANT_KEYS, REPORT_EVENT, REPORT_YEAR
+from crease.plans.world import PLANT_KEYS, REPORT_EVENT, REPORT_YEAR, SEEDED_NATIONS
 
 # fixed value: what a surrogate key holds for NULL
 SK_NULL = "'_dbt_utils_surrogate_key_null_'"
@@ -442,10 +442,21 @@ SELECT city, country FROM cc
 UNION ALL
 SELECT DISTINCT city, 'UNKNOWN' AS country FROM vc_new
 WHERE city IS NOT NULL AND city <> '' AND city NOT IN (SELECT city FROM cc)"""
+SQL["seeds_edited_by_hand"] = f"""
+SELECT venue_name, CASE WHEN n_nationkey >= 20 THEN 'BY HAND'
+                        WHEN n_nationkey < {SEEDED_NATIONS} AND n_nationkey % 5 = 0 THEN 'EDITED ' || venue_name
+                        ELSE city END AS city
+FROM vc_new JOIN nation ON n_name = venue_name
+WHERE n_nationkey >= {SEEDED_NATIONS} OR n_nationkey % 5 <> 1
+UNION ALL
+SELECT n_name, 'BY HAND' FROM nation WHERE n_nationkey >= 20 AND n_name NOT IN (SELECT venue_name FROM vc_new)"""
 SQL["except_distinct"] = "SELECT venue_name FROM new_names"
 SQL["venue_semi_join"] = """
 SELECT filename, venue_name, city FROM inc WHERE venue_name IN (SELECT venue_name FROM new_names)"""
 
+SQL["running_count_hot_keys"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, flag, count(*) OVER (PARTITION BY flag ORDER BY l_orderkey) AS n
+FROM (SELECT *, nullif(l_returnflag, 'R') AS flag FROM lineitem)"""
 SQL["raw_roundtrip_flatten"] = "SELECT * FROM fd"
 CTES["per_match"] = """
 SELECT fm.match_id, fm.venue, fm.format, fm.start_date,

@@ -144,28 +144,18 @@ def int_players(match_players: DataFrame, teams: DataFrame,
     return out if keep_source else out.drop("source_match_id")
 
 
-def refresh_dimension(prior: DataFrame | None, junction: DataFrame, changed: DataFrame,
-                      new_rows: DataFrame, keys: list[str], rebuild) -> DataFrame:
-    """Exact incremental upkeep of a latest-match dimension.
-
-    A key can change only if a changed match adds a candidate for it (``new_rows``) or
-    its current survivor came from a changed match. Only those keys are recomputed, from
-    the junction rows carrying them (a semi-join against the touched keys); every other
-    row is kept as is."""
-    if prior is None:
-        return rebuild(junction)
-    stale = prior.join(changed.select(F.col("match_id").alias("source_match_id")),
-                       "source_match_id", "left_semi").select(*keys)
-    touched = new_rows.select(*keys).unionByName(stale).distinct()
-    touched = touched.select(*[F.col(k).alias(f"__{k}") for k in keys])
-
-    def same(df: DataFrame):
-        """Keys may be NULL (a player without id)."""
-        cond = F.lit(True)
-        for k in keys:
-            cond = cond & df[k].eqNullSafe(touched[f"__{k}"])
-        return cond
-
-    recomputed = rebuild(junction.join(touched, same(junction), "left_semi"))
-    kept = prior.join(touched, same(prior), "left_anti")
-    return kept.unionByName(recomputed.select(*prior.columns))
+#: What a dimension keeps of its junction: (junction, keys, order of the latest row first).
+CANDIDATES = {
+    "int_teams": ("int_match_teams", ["team", "format"], ["match_id", "hash_id"]),
+    "int_players": ("int_match_players", ["team", "format", "player_id"], ["match_id", "player_name"]),
+}
+
+
+def dimension_candidates(name: str, junction: DataFrame, bucket: str = "bucket") -> DataFrame:
+    """The latest row of each key in each bucket of matches. The latest row of a key is the latest
+    of these, whatever other buckets hold, so a dimension is kept up from the candidates of the
+    buckets that changed and the stored ones of the others: the junction is not read again, and
+    a match that is corrected or emptied gives way to the next latest one."""
+    _, keys, order = CANDIDATES[name]
+    columns = list(dict.fromkeys([bucket, *keys, *order, "hash_id"]))
+    return distinct_on(junction, [bucket, *keys], order, descending=True, columns=columns)

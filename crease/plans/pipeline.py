@@ -19,8 +19,8 @@ a killed run left behind is done by the next one, and what is done is not done a
 see the models as of the last ``build`` that ended (all of them at one place of the feed).
 
 A change of the venue seeds puts the matches whose venue became known (or unknown) into the
-feed. The team and player dimensions are updated exactly but only for keys the changed matches
-touch (``intermediate.refresh_dimension``).
+feed. The team and player dimensions keep the latest row of each key and bucket; a run renews
+those of the buckets it touched (``intermediate.dimension_candidates``).
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crease import schemas
+from crease.operators import quality
 from crease.operators.incremental import BUCKET_COL, BUCKET_WIDTH_DEFAULT, with_bucket
 from crease.plans import intermediate as im
 from crease.plans import marts as mt
@@ -366,6 +367,35 @@ def refresh_seeds(wh: Warehouse) -> None:
     raise Conflict("seeds")
 
 
+#: Seeds, their key columns and schemas.
+SEEDS = {"seeds/venue_city": ("venue_name", schemas.VENUE_CITY), "seeds/city_country": ("city", schemas.CITY_COUNTRY)}
+
+
+def export_seeds(wh: Warehouse, directory: str) -> None:
+    """Write both seeds as CSV to edit, and remember which versions were handed out."""
+    base = wh.store.head()
+    for name, (_, schema) in SEEDS.items():
+        vn.write_seed(wh.small(name, schema, base), f"{directory}/{name.split('/')[1]}")
+    out = {f"handed/{name}": base.state["small"][name] for name in SEEDS if name in base.state["small"]}
+    wh.store.commit(lambda state: state["small"].update(out))
+
+
+def import_seeds(wh: Warehouse, directory: str) -> None:
+    """Merge seeds edited by hand (CSV, as ``export_seeds`` wrote them) into the stored ones. The
+    next build takes them to int_venues and to the matches concerned; a refresh adds placeholders
+    only for venues and cities that the merged seeds lack."""
+    for _ in range(ATTEMPTS):
+        base, new = wh.store.head(), {}
+        for name, (key, schema) in SEEDS.items():
+            edited = vn.read_seed(wh.spark, f"{directory}/{name.split('/')[1]}", schema)
+            new[name] = vn.merged_edits(wh.small(name, schema, base), wh.small(f"handed/{name}", schema, base), edited, key)
+        try:
+            return _set_small(wh, base, new)
+        except Conflict:
+            continue
+    raise Conflict("seeds")
+
+
 def seed_initial(wh: Warehouse, venue_city: DataFrame, city_country: DataFrame) -> None:
     _set_small(wh, wh.store.head(), {"seeds/venue_city": venue_city.select("venue_name", "city"),
                                      "seeds/city_country": city_country.select("city", "country")})
@@ -469,20 +499,14 @@ def _refresh_venues(wh: Warehouse) -> None:
         _refresh_venues(wh)
 
 
-def _int_teams(read: Callable, whole: Callable, prior: DataFrame | None, ids: DataFrame) -> DataFrame:
-    return im.refresh_dimension(prior, whole("int_match_teams"), ids, read("int_match_teams"),
-                                ["team", "format"], lambda rows: im.int_teams(rows, keep_source=True))
-
-
-def _int_players(read: Callable, whole: Callable, prior: DataFrame | None, ids: DataFrame) -> DataFrame:
-    teams = whole("int_teams")
-    named = teams.select("team_id", "team", "format")
-    if prior is not None:  # a team key that no longer exists takes its players with it
-        prior = prior.join(teams.select("team_id"), "team_id", "left_semi")
-    keys = read("int_match_players").join(named, ["team", "format"]).select("team_id", "player_id")
-    return im.refresh_dimension(
-        prior, whole("int_match_players").join(named, ["team", "format"]), ids, keys,
-        ["team_id", "player_id"], lambda rows: im.int_players(rows.drop("team_id"), teams, keep_source=True))
+def _candidates(wh: Warehouse, name: str, state: dict, entry: dict | None, buckets: list[int]) -> dict:
+    """The stored candidates of a dimension, those of ``buckets`` anew."""
+    junction = wh.table(f"models/{im.CANDIDATES[name][0]}", state, buckets=buckets)
+    rows = im.dimension_candidates(name, with_bucket(junction, wh.bucket_width), BUCKET_COL)
+    if entry:
+        old = wh.spark.read.schema(rows.schema).parquet(wh.path(entry["candidates"]))
+        rows = old.filter(~F.col(BUCKET_COL).isin(buckets)).unionByName(rows)
+    return _write(wh, f"models/{name}_candidates", rows) | {"schema": rows.schema.json()}
 
 
 def _rows(name: str, read: Callable, whole: Callable) -> DataFrame:
@@ -540,10 +564,12 @@ def _bring(wh: Warehouse, name: str, target: int) -> None:
     def whole(table: str) -> DataFrame:
         return wh.table(full(table), base.state)
 
-    if name in DIM_MODELS:
-        prior = wh.table(key, base.state)
-        rows = {"int_teams": _int_teams, "int_players": _int_players}[name](read, whole, prior, ids)
-        new = _write(wh, key, rows) | {"schema": rows.schema.json(), "watermark": target}
+    if name in DIM_MODELS and (pending or entry is None):
+        held = _candidates(wh, name, base.state, entry, buckets)
+        rows = wh.spark.read.schema(_schema(held)).parquet(wh.path(held["dir"]))
+        rows = (im.int_teams(rows, keep_source=True) if name == "int_teams"
+                else im.int_players(rows, whole("int_teams"), keep_source=True))
+        new = _write(wh, key, rows) | {"schema": rows.schema.json(), "watermark": target, "candidates": held["dir"]}
     elif pending:
         rows = _rows(name, read, whole)
         part = parts.add_part(wh.store, key, rows, wh.bucket_width, len(buckets))
@@ -562,6 +588,55 @@ def _bring(wh: Warehouse, name: str, target: int) -> None:
     wh.store.commit(change)
 
 
+QUALITY = T.StructType([T.StructField("test", T.StringType()), T.StructField("model", T.StringType()),
+                        T.StructField("column_name", T.StringType()), T.StructField(BUCKET_COL, T.IntegerType()),
+                        T.StructField("failures", T.LongType())])
+
+
+def check(wh: Warehouse, suite: quality.Suite = quality.DECLARED) -> DataFrame:
+    """The declared tests on the models that readers see: (test, model, column_name, failures).
+
+    Failures of tests that one match decides are stored per bucket; only buckets that changed since
+    the last check are read again. The others (dimensions, references to them, dates) run whole."""
+    spark, base = wh.spark, wh.store.head()
+    state, stored = base.state, base.state.get("quality")
+    shown = {n.split("/")[1]: t for n, t in state["live"].items()}
+    local, rest = suite.split([m for m in shown if m in MATCH_MODELS])
+    target = min(t["watermark"] for m, t in shown.items() if "watermark" in t)
+    mark = stored["watermark"] if stored and stored["epoch"] == state["epoch"] else 0
+    if mark == 0:
+        touched = sorted({b for t in shown.values() for p in t.get("parts", []) for b in p["buckets"]})
+    else:
+        touched = sorted({b for e in state["feed"] if mark < e["seq"] <= target for b in e["buckets"]})
+    models = {m: wh.table(f"models/{m}", state, "live") for m in shown}
+    result = rest.run(models)
+    if touched or not mark:
+        own = {m: with_bucket(wh.table(f"models/{m}", state, "live", touched), wh.bucket_width) for m in MATCH_MODELS}
+        ids = own["int_matches"].select("match_id").distinct()
+        counts = spark.createDataFrame([], QUALITY)
+        for m in MATCH_MODELS:
+            found = quality.by_bucket(own[m], m, local, ids)
+            counts = counts if found is None else counts.unionByName(found)
+        if mark:
+            old = spark.read.schema(QUALITY).parquet(wh.path(stored["dir"]))
+            counts = counts.unionByName(old.filter(~F.col(BUCKET_COL).isin(touched)))
+        written = _write(wh, "quality", counts.select(*QUALITY.names)) | {"watermark": target, "epoch": state["epoch"]}
+
+        def change(state: dict) -> None:
+            _unchanged(base, state)
+            if state.get("quality") != stored:
+                raise Conflict("quality")
+            state["quality"] = written
+
+        wh.store.commit(change)
+        stored = written
+    declared = spark.createDataFrame(local.tests(), "test string, model string, column_name string")
+    sums = (spark.read.schema(QUALITY).parquet(wh.path(stored["dir"])).groupBy("test", "model", "column_name")
+            .agg(F.sum("failures").alias("failures")))
+    return result.unionByName(declared.join(sums, ["test", "model", "column_name"], "left").select(
+        "test", "model", "column_name", F.coalesce("failures", F.lit(0)).alias("failures")))
+
+
 def compact(wh: Warehouse, max_parts: int = parts.MAX_PARTS) -> None:
     """Rewrite the buckets that lie in more than ``max_parts`` parts."""
     def one(name: str) -> None:
@@ -597,6 +672,8 @@ def _show(wh: Warehouse, target: int) -> None:
             state["live"] = {n: t for n, t in state["work"].items() if n.startswith("models/")}
         if len(_models(state)) == sum(map(len, STEPS)):
             tables = [(n, t) for shelf in ("work", "live") for n, t in state[shelf].items() if "watermark" in t]
+            if state.get("quality"):  # a check still has to read what changed
+                tables.append(("quality", state["quality"]))
             state["feed"] = parts.needed_entries(state["feed"], tables)
 
     wh.store.commit(change)
@@ -617,6 +694,7 @@ def reset(wh: Warehouse) -> None:
         state.update(feed=[], work={}, live={}, quarantine=[],
                      registry=rg.EMPTY | {"next": state["registry"]["next"]})
         state["small"].pop("raw/src_venues", None)
+        state.pop("quality", None)
 
     wh.store.commit(change)
     vacuum(wh, keep=1)
@@ -626,15 +704,17 @@ def vacuum(wh: Warehouse, keep: int = 10) -> list[str]:
     """Remove the files that none of the last ``keep`` states names. Not during a run."""
     def named(state: dict) -> set[str]:
         out = {t["dir"] for t in state["small"].values()} | set(state["quarantine"])
+        out |= {state["quality"]["dir"]} if state.get("quality") else set()
         out |= {f"{parts.FEED}/{parts.ENTRY}={e['dir']}" for e in state["feed"]}
         out |= {f"{layout}/segment={s['dir']}" for s in state["registry"]["segments"]
                 for layout in (rg.BY_NAME, rg.BY_HASH)}
         for shelf in ("work", "live"):
             for name, table in state[shelf].items():
+                out |= {table["candidates"]} if "candidates" in table else set()
                 out |= {table["dir"]} if "dir" in table else {f"{name}/{parts.PART}={p['dir']}" for p in table["parts"]}
         return out
 
     folders = [*RAW_TABLES, "raw/quarantine", "raw/src_venues", "seeds/venue_city", "seeds/city_country",
-               parts.FEED, rg.BY_NAME, rg.BY_HASH, "batches",
-               *[f"models/{m}" for m in (*MATCH_MODELS, *DIM_MODELS)]]
+               parts.FEED, rg.BY_NAME, rg.BY_HASH, "batches", "quality",
+               *[f"models/{m}" for m in (*MATCH_MODELS, *DIM_MODELS, *[f"{d}_candidates" for d in im.CANDIDATES])]]
     return wh.store.vacuum(named, folders, keep)

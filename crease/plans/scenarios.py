@@ -121,6 +121,17 @@ def seed_new_cities(w: World) -> DataFrame:
     return vn.refresh_city_country(seed_new_venues(w), w.city_country)
 
 
+def seeds_edited_by_hand(w: World) -> DataFrame:
+    """The venue seed was handed out with the first nations, then gained the others. The edit gives
+    every fifth city a name, takes away every fifth row after it, and names late nations itself."""
+    handed = w.venue_city
+    nk = w.table("nation").select(F.col("n_name").alias("venue_name"), F.col("n_nationkey").alias("_nk"))
+    edited = handed.join(nk, "venue_name").filter("_nk % 5 <> 1").select("venue_name", F.when(
+        F.col("_nk") % 5 == 0, F.concat(F.lit("EDITED "), F.col("venue_name"))).otherwise(F.col("city")).alias("city"))
+    late = nk.filter("_nk >= 20").select("venue_name", F.lit("BY HAND").alias("city"))
+    return vn.merged_edits(seed_new_venues(w), handed, edited.unionByName(late), "venue_name")
+
+
 def except_distinct(w: World) -> DataFrame:
     inc = incoming_venues(w).select("venue_name", "city")
     return vn.new_venue_names(inc, w.venue_city)

@@ -6,6 +6,8 @@
                           join; city defaults to '<venue>-CITY' when NULL or empty.
 * ``new_seed_cities``     cities not yet in the country seed get country 'UNKNOWN'
                           (compared on the city column, so a second run adds nothing).
+* ``merged_edits``        a seed edited by hand: what changed since it was handed out is applied
+                          to the stored seed, which may have gained rows meanwhile.
 """
 
 from __future__ import annotations
@@ -64,6 +66,22 @@ def refresh_city_country(venue_city: DataFrame, city_country: DataFrame) -> Data
     return city_country.unionByName(new_seed_cities(venue_city, city_country))
 
 
+def merged_edits(stored: DataFrame, handed_out: DataFrame, edited: DataFrame, key: str) -> DataFrame:
+    """Three-way merge of a seed: rows that the edit took away go, rows that it added come, and what
+    the stored seed gained meanwhile stays, unless the edit says something about its ``key``.
+
+    Rows are compared whole and NULL-safe, so an edited row is one taken away and one added;
+    repeated rows count once."""
+    columns = stored.columns
+    before, after = handed_out.select(*columns), edited.select(*columns)
+    added = after.subtract(before)
+    said = added.select(F.col(key).alias("__key")).distinct()
+    kept = stored.subtract(before.subtract(after))
+    # rows the edit left as they were stay beside an added row of their key
+    news = kept.subtract(before).join(said, F.col(key).eqNullSafe(F.col("__key")), "left_anti")
+    return kept.intersect(before).unionByName(news).unionByName(added.subtract(kept.intersect(before)))
+
+
 def read_seed(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)
 

@@ -6,7 +6,7 @@ from crease.operators.dedupe import distinct_on
 from crease.operators.incremental import (not_in_counts, replace_by_match, replace_matches,
                                           upsert_by_key)
 from crease.operators.quality import not_null, relationships, unique, unique_combination
-from crease.operators.sequence import appearance_order, running_count
+from crease.operators.sequence import appearance_order, running_count, running_count_ranges
 
 
 def _rows(df, cols):
@@ -35,6 +35,26 @@ def test_running_count_large_group_without_exchange_reuse(spark):
         spark.conf.unset("spark.sql.exchange.reuse")
 
 
+def test_running_count_ranges_of_hot_and_null_keys(spark):
+    """One key of 300,000 rows: no range holds more than a share of them, values as the window's."""
+    df = spark.range(400_000).select(F.when(F.col("id") % 4 > 0, F.lit(None).cast("int")).otherwise(
+        (F.col("id") % 3).cast("int")).alias("p"), (F.col("id") * 7919 % 100_003).alias("o"), F.lit("x").alias("__own"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # ranges this small would be merged
+    try:
+        got = running_count_ranges(df, ["p"], ["o"], "n")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got.columns == ["p", "o", "__own", "n"]
+    plain = running_count(df, ["p"], ["o"], "n")
+    total = F.sum(F.xxhash64("p", "o", "n").cast("decimal(38,0)"))
+    assert got.agg(total, F.max("n")).first() == plain.agg(total, F.max("n")).first()
+    read = [f for f in got.inputFiles()]
+    sizes = [spark.read.parquet(f).count() for f in read]
+    assert len(sizes) > 4 and max(sizes) < 150_000
+    empty = running_count_ranges(df.limit(0), ["p"], ["o"], "n")
+    assert empty.count() == 0
+
+
 def test_not_in_null_keys(spark):
     def counts(keys, known):
         def frame(values):

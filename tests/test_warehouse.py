@@ -277,6 +277,34 @@ def test_an_emptied_match_leaves_no_rows(spark):
     assert wh.model("fct_batting_scorecard").count() == 0 and wh.model("int_matches").count() == 1
 
 
+def test_dimensions_survive_additions_and_removals(spark, monkeypatch):
+    """Random corrections change teams and squads; only junction rows of touched buckets are read."""
+    wh, rng, read = warehouse(spark, width=4), random.Random(9), []
+    live = match_tables.live_rows
+
+    def seen(store, table, state, feed, buckets=None):
+        read.append((table, buckets))
+        return live(store, table, state, feed, buckets)
+
+    monkeypatch.setattr(match_tables, "live_rows", seen)
+    for step in range(4):
+        files = {}
+        for i in (range(1, 15) if step == 0 else rng.sample(range(1, 15), 2)):
+            d = match(rng.randrange(7))
+            a, b = rng.sample("ABCD", 2)
+            squad = {t: rng.sample([f"{t}{k}" for k in range(5)], 3) for t in (a, b)}
+            d["info"] |= {"teams": [a, b], "players": squad, "venue": rng.choice(["Oval", "Lords"]),
+                          "registry": {"people": {p: f"id-{p}" for s in squad.values() for p in s[1:]}}}
+            files[f"l/{i}.json"] = d
+        read.clear()
+        pipeline.run(wh, frame(spark, files))
+        touched = sorted({int(p[2:-5]) // 4 for p in files})
+        junctions = [b for t, b in read if t.startswith("models/int_match_")]
+        assert junctions and all(b == touched for b in junctions)
+        for name in ("int_teams", "int_players"):
+            assert rows(wh.model(name)) == rows(from_raw(wh, name)), (step, name)
+
+
 # --- names and registry ----------------------------------------------------------------------------------
 
 def test_one_file_per_name_and_per_match(spark):
@@ -420,6 +448,45 @@ def test_unknown_keys_survive_and_are_reported(spark):
     assert (ball, "batter") not in drift and ("$.info", "venue") not in drift
 
 
+# --- quality ----------------------------------------------------------------------------------------------------
+
+def test_quality_counts_follow_corrections(spark, monkeypatch):
+    from crease.operators import quality
+
+    def report(df):
+        return {(r.test, r.model, r.column_name): r.failures for r in df.collect()}
+    wh, now = warehouse(spark, width=4), {}
+
+    def doc(i, bad):
+        d = match(i % 5)
+        if bad:
+            d["info"]["gender"] = None
+            d["innings"][0]["overs"][0]["deliveries"][0] = {"runs": {"batter": 1, "extras": 0, "total": 1}}
+        return d
+
+    read = []
+    live = match_tables.live_rows
+
+    def seen(store, table, state, feed, buckets=None):
+        read.append((table, tuple(buckets) if buckets is not None else None))
+        return live(store, table, state, feed, buckets)
+
+    for step in ({i: i % 3 == 0 for i in range(1, 13)}, {3: False, 5: True}, {}, {14: True}):
+        now |= step
+        if step:
+            pipeline.run(wh, frame(spark, {f"l/{i}.json": doc(i, bad) for i, bad in step.items()}))
+        read.clear()
+        with monkeypatch.context() as m:
+            m.setattr(match_tables, "live_rows", seen)
+            got = report(pipeline.check(wh))
+        buckets = {b for t, b in read if t == "models/int_deliveries" and b is not None}
+        assert buckets == ({(0, 1, 2, 3)} if len(step) > 2 else {tuple(sorted({i // 4 for i in step}))} if step else set())
+        want = report(quality.DECLARED.run({m: wh.model(m) for m in (*pipeline.MATCH_MODELS, *pipeline.DIM_MODELS)}))
+        assert got == want and len(got) == 89
+        bad = sum(now.values())
+        assert got[("not_null", "int_matches", "gender")] == bad == got[("not_null", "int_deliveries", "batter")]
+
+
 # --- seeds ------------------------------------------------------------------------------------------------------
 
 def test_matches_follow_the_venue_seeds(spark):
@@ -434,6 +501,44 @@ def test_matches_follow_the_venue_seeds(spark):
         assert rows(wh.model(name)) == rows(from_raw(wh, name)), name
 
 
+def test_seeds_edited_by_hand_reach_the_venues(spark, tmpdir_path):
+    wh = warehouse(spark)
+    first = {"l/1.json": match(venue="Oval"), "l/2.json": match(venue="Lords")}
+    for d in first.values():
+        d["info"]["city"] = ""
+    pipeline.run(wh, frame(spark, first))
+    before = {r.venue_name: (r.city, r.country) for r in wh.model("int_venues").collect()}
+    assert before == {"Oval": ("Oval-CITY", "UNKNOWN"), "Lords": ("Lords-CITY", "UNKNOWN")}
+    pipeline.export_seeds(wh, tmpdir_path)
+    pipeline.run(wh, frame(spark, {"l/3.json": match(venue="Gabba")}))  # the stored seed goes on meanwhile
+    for name, text in (("venue_city", "venue_name,city\nOval,London\nLords,Lords-CITY\n"),
+                       ("city_country", "city,country\nLondon,England\nLords-CITY,UNKNOWN\n")):
+        for f in os.listdir(os.path.join(tmpdir_path, name)):
+            os.remove(os.path.join(tmpdir_path, name, f))
+        with open(os.path.join(tmpdir_path, name, "edited.csv"), "w") as f:
+            f.write(text)
+    pipeline.import_seeds(wh, tmpdir_path)
+    for _ in range(2):  # a refresh does not undo the edit
+        pipeline.refresh_seeds(wh)
+        pipeline.build(wh)
+        after = {r.venue_name: (r.city, r.country) for r in wh.model("int_venues").collect()}
+        assert after == {"Oval": ("London", "England"), "Lords": ("Lords-CITY", "UNKNOWN"), "Gabba": ("Kolkata", "UNKNOWN")}
+    assert {r.city for r in wh.city_country().collect()} == {"London", "Lords-CITY", "Kolkata"}
+
+
+def test_merged_edits(spark):
+    from crease.sources import venues as vn
+
+    def seed(*pairs):
+        return spark.createDataFrame(list(pairs), "venue_name string, city string")
+    handed = seed(("a", "1"), ("b", "2"), ("c", None), ("d", "4"))
+    edited = seed(("a", "1"), ("b", "9"), ("d", "4"), ("e", "5"), ("e", "5"))     # b changed, c gone, e new
+    stored = seed(("a", "1"), ("b", "2"), ("c", None), ("d", "4"), ("e", "e-CITY"), ("f", "f-CITY"), (None, "x"))
+    got = sorted(map(tuple, vn.merged_edits(stored, handed, edited, "venue_name").collect()), key=repr)
+    assert got == sorted([("a", "1"), ("b", "9"), ("d", "4"), ("e", "5"), ("f", "f-CITY"), (None, "x")], key=repr)
+    assert vn.merged_edits(stored, handed, handed, "venue_name").count() == 7      # no edit
+
+
 # --- stream -----------------------------------------------------------------------------------------------------
 
 def test_a_replayed_micro_batch_catches_up(spark, tmpdir_path, monkeypatch):
