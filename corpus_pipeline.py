@@ -3,6 +3,13 @@
 STAGES lists (name, function); a function takes (spark, docs, sf_dir) and returns a
 DataFrame, which ``run`` writes as Parquet below the shared checkpoint folder and rereads.
 All but the last return the columns of ``documents``.
+
+Defined results of the five stages on odd rows: a null or empty text, or one of fewer than ten
+words, fails the quality rules and goes; rows with a null id or source take part (without a
+source a document has no host verdict against it, and shares the mix's null source); of rows that
+repeat one id and text the near dedup stage keeps one; ties go to the least id; texts of any
+length are read whole; columns beyond those of ``documents``, whatever their names, are
+carried to the last stage, which returns pieces alone; an empty table stays empty.
 """
 
 from __future__ import annotations

@@ -425,3 +425,28 @@ def test_pipeline_stages(spark, docs):
     assert set(mixed) <= set(after["doc_id"]) and max(mixed.values()) <= 3
     firsts = seen["packing"].query("piece == 0")["doc_id"]
     assert Counter(firsts) == mixed
+
+
+def test_pipeline_stages_on_odd_rows(spark, messy, none):
+    """Nulls, empty and very long texts, repeats, clashing columns and an empty table go through
+    all five stages."""
+    for frame in (messy, none):
+        columns, seen = frame.columns, {}
+        for name, stage in corpus_pipeline.STAGES:
+            frame = corpus_pipeline.materialise(stage(spark, frame, SF), "odd")
+            seen[name] = frame
+            if name != "packing":
+                assert frame.columns == columns
+        if columns and seen["quality rules"].isEmpty():
+            assert all(f.isEmpty() for f in seen.values())
+            continue
+        good = [r["text"] for r in seen["quality rules"].select("text").collect()]
+        assert good and all(len(words(t)) >= 10 for t in good)
+        left = [(r["doc_id"], r["text"]) for r in seen["near dedup"].select("doc_id", "text").collect()]
+        assert len(left) == len(set(left))
+        groups = components([(i, t) for i, t in enumerate(t for _, t in left)], corpus_pipeline.NEAR_PERCENT)
+        assert all(c == i for i, (n, c) in groups.items())  # no two near copies are left
+        mixed = Counter(r["doc_id"] for r in seen["mixing"].select("doc_id").collect())
+        firsts = Counter(r["doc_id"] for r in seen["packing"].filter("piece = 0").select("doc_id").collect())
+        assert firsts == mixed and set(mixed) <= {d for d, _ in left}
+    assert none.isEmpty()
