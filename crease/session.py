@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import SparkSession
 
@@ -78,14 +79,15 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-_READS: dict[tuple[int, str], object] = {}
+#: Tables read, by the session itself: a later one can't meet the entries of one that ended.
+_READS: WeakKeyDictionary = WeakKeyDictionary()
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str):
     """Parquet table as a DataFrame, memoised per session and path: the schema footer is
     read once, and equal sub-plans over the same relation can share one exchange."""
     path = table_path(sf_dir, name)
-    key = (id(spark), path)
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(path)
-    return _READS[key]
+    reads = _READS.setdefault(spark, {})
+    if path not in reads:
+        reads[path] = spark.read.parquet(path)
+    return reads[path]
