@@ -17,7 +17,7 @@ from crease.functions import count_when, opponent, overs_display, surrogate_key
 from crease.operators.dedupe import distinct_on
 from crease.operators.sequence import role_first_steps, running_count, running_count_ranges
 from crease.operators import quality
-from crease.plans import pipeline, reports
+from crease.plans import layout, pipeline, reports
 from crease.plans import scenarios as sc
 from crease.plans import staging as st
 from crease.plans.world import PLANT_KEYS, REPORT_EVENT, REPORT_YEAR, World, store
@@ -444,5 +444,26 @@ def _stream(w: World) -> DataFrame:
     return wh.model("int_innings").drop("hash_id")
 
 
+#: Buckets of the stored balls: a file each.
+BUCKETS = 8
+
+
+def _scorecard_from_buckets(w: World, which: int) -> DataFrame:
+    """Balls stored in buckets of matches once; order, dismissals and scorecard without a shuffle."""
+    tables = layout.MatchTables(w.spark, scratch_path(w.spark, "buckets"), BUCKETS)
+    balls = tables.store("int_deliveries", w.deliveries)
+    return tables.store("scorecard", layout.scorecards(balls)[which])
+
+
+@query("batting_scorecard_from_buckets")
+def _batting_from_buckets(w: World) -> DataFrame:
+    return _scorecard_from_buckets(w, 0)
+
+
+@query("bowling_scorecard_from_buckets")
+def _bowling_from_buckets(w: World) -> DataFrame:
+    return _scorecard_from_buckets(w, 1).withColumn("economy", F.col("economy").cast("double"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

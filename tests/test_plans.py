@@ -6,7 +6,8 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SMALL_SF
-from crease.plans import reports
+from crease.plans import layout, reports
+from crease.plans.world import World
 
 
 def _plan(df) -> str:
@@ -45,7 +46,6 @@ def test_scorecard_join_sees_players_not_balls(spark):
 
 
 def test_report_filter_reaches_parquet_scan(spark, tmpdir_path):
-    from crease.plans.world import World
     w = World(spark, SMALL_SF)
     path = f"{tmpdir_path}/int_matches"
     w.matches.drop("outcome_margin").write.parquet(path)
@@ -67,3 +67,47 @@ def test_distinct_on_is_an_aggregate_without_window(spark):
     df = entry.queries()["distinct_on"](spark, SMALL_SF)
     plan = _plan(df)
     assert "Window" not in plan and "Aggregate" in plan and "partial_max_by" in plan
+
+
+def test_scorecards_of_stored_balls_need_no_shuffle(spark, tmpdir_path):
+    w = World(spark, SMALL_SF)
+    tables = layout.MatchTables(spark, tmpdir_path, 4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables that are large
+    try:
+        balls = tables.store("int_deliveries", w.deliveries)
+        again = layout.attach(spark, "crease_attached", tables.path("int_deliveries"), 4, balls.schema)
+        for stored in (balls, again):
+            found = layout.scorecards(stored)
+            for card, plain in zip(found, (w.batting_scorecard, w.bowling_scorecard)):
+                with layout.in_buckets(spark):
+                    for rows in (card, card.repartition(4, "match_id")):  # as stored
+                        assert "Exchange" not in _plan(rows) and "Join" in _plan(rows)
+                assert sorted(map(str, card.collect())) == sorted(map(str, plain.collect()))
+        # two stored models meet without a shuffle as well
+        order = tables.store("fct_batting_order", w.batting_order)
+        card = tables.store("fct_batting_scorecard", found[0])
+        keys = ["match_id", "innings_number", "player_name"]
+        both = card.join(order, keys)
+        with layout.in_buckets(spark):
+            assert "Exchange" not in _plan(both) and both.count() == card.count()
+        files = [p for p in spark.read.parquet(tables.path("int_deliveries")).inputFiles()]
+        assert len(files) <= 4  # a file a bucket
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql("DROP TABLE IF EXISTS crease_attached")
+        tables.drop()
+
+
+def test_bucketed_tables_of_odd_rows(spark, tmpdir_path):
+    tables = layout.MatchTables(spark, tmpdir_path, 3)
+    odd = spark.createDataFrame([(None, 1), (None, 2), (5, 3), (5, 3)], "match_id int, v int")
+    assert sorted(tables.store("odd", odd).collect(), key=str) == sorted(odd.collect(), key=str)
+    assert tables.store("none", odd.limit(0)).count() == 0
+    assert tables.store("odd", odd.filter("v = 3")).count() == 2  # replaced
+    with pytest.raises(ValueError):
+        tables.store("keyless", odd.select("v"))
+    with pytest.raises(ValueError):
+        layout.MatchTables(spark, tmpdir_path, 0)
+    tables.drop()
+    assert not spark.catalog.listTables(pattern="crease_*")
