@@ -376,7 +376,7 @@ def _two_batch_warehouse(w: World) -> pipeline.Warehouse:
     """Files for all matches, loaded in two runs (even match ids, then odd), each run
     followed by an incremental build of the changed matches only."""
     wh = _warehouse(w)
-    files = store(sc.match_files(w), "match-files").withColumn(
+    files = store(sc.match_files(w), "match-files", documents=True).withColumn(
         "_id", F.regexp_extract("path", r"(\d+)\.json$", 1).cast("int"))
     for parity in (0, 1):
         batch = files.filter(F.col("_id") % 2 == parity).drop("_id")
@@ -406,7 +406,7 @@ def _warehouse(w: World) -> pipeline.Warehouse:
 def _catch_up(w: World) -> DataFrame:
     """Even matches are loaded and only the first models built, as if the run was killed; the next
     run loads the odd ones and brings every model up from where it stood."""
-    wh, files = _warehouse(w), store(sc.match_files(w), "match-files")
+    wh, files = _warehouse(w), store(sc.match_files(w), "match-files", documents=True)
     even = F.regexp_extract("path", r"(\d+)\.json$", 1).cast("int") % 2 == 0
     pipeline.ingest(wh, files.filter(even))
     pipeline.build_steps(wh, pipeline.STEPS[:1])
@@ -418,7 +418,7 @@ def _catch_up(w: World) -> DataFrame:
 def _corrections(w: World) -> DataFrame:
     """All matches are loaded, a third of them with one ball too many in each over; their corrected
     files add a part with new rows, and the older rows of these matches are hidden on reading."""
-    wh, files = _warehouse(w), store(sc.match_files(w), "match-files")
+    wh, files = _warehouse(w), store(sc.match_files(w), "match-files", documents=True)
     third = F.regexp_extract("path", r"(\d+)\.json$", 1).cast("int") % 3 == 0
     doc = F.from_json(F.col("content").cast("string"), schemas.MATCH_DOC)
     longer = lambda o: o.withField("deliveries", F.concat(o["deliveries"], F.slice(o["deliveries"], 1, 1)))

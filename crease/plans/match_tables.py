@@ -21,9 +21,12 @@ from pyspark.sql import types as T
 
 from crease.operators.incremental import BUCKET_COL, with_bucket
 from crease.plans.snapshots import Store, new_id
+from crease.session import document_writer
 
 PART, ENTRY = "part", "entry"
 FEED = "feed"
+#: Column of whole documents (``raw/matches``).
+DOCUMENT = "document"
 #: A bucket is rewritten when more parts than these hold rows of it.
 MAX_PARTS = 6
 #: Rows of at most so many buckets (a run of new matches fills the newest one) are not shuffled
@@ -45,7 +48,8 @@ def add_part(store: Store, table: str, rows: DataFrame, width: int, buckets: int
     rows = with_bucket(rows, width)
     if buckets > DIRECT_BUCKETS:
         rows = rows.hint("rebalance", BUCKET_COL)
-    rows.write.partitionBy(BUCKET_COL).parquet(path)
+    writer = document_writer(rows) if DOCUMENT in rows.columns else rows.write
+    writer.partitionBy(BUCKET_COL).parquet(path)
     buckets = sorted(int(n.split("=")[1]) for n in store.names(path)
                      if n.startswith(f"{BUCKET_COL}=") and not n.endswith("__"))
     return {"dir": name, "buckets": buckets, "written": len(buckets)}

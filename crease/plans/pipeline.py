@@ -43,6 +43,7 @@ from crease.plans import marts as mt
 from crease.plans import match_tables as parts
 from crease.plans import staging as st
 from crease.plans.snapshots import Conflict, Snapshot, Store, new_id
+from crease.session import document_writer
 from crease.sources import files as fs
 from crease.sources import registry as rg
 from crease.sources import venues as vn
@@ -148,7 +149,7 @@ def ingest(wh: Warehouse, files: DataFrame, on_changed: str = "replace") -> Data
     ``files``: (path, content) rows, e.g. ``spark.read.format("binaryFile")``. They are stored
     once, so that a file rewritten meanwhile keeps the hash of what was loaded."""
     batch = wh.path("batches", new_id())
-    fs.fingerprint(files.select("path", "content")).write.parquet(f"{batch}/files")
+    document_writer(fs.fingerprint(files.select("path", "content"))).parquet(f"{batch}/files")
     stored = wh.spark.read.parquet(f"{batch}/files")
     return _ingest(wh, stored, on_changed, batch)
 
@@ -188,7 +189,7 @@ def _ingest_once(wh: Warehouse, stored: DataFrame, on_changed: str, batch: str)
     parsed = fs.parse_documents(stored.join(first, "path"), keep=["__first"])
     parsed = parsed.withColumn("reason", F.coalesce("reason", F.when(
         F.col("filename") != F.col("__first"), F.lit(fs.REASON_MATCH_TWICE)))).drop("__first")
-    parsed.write.parquet(f"{batch}/parsed")  # one parse per run: every later step reads this table
+    document_writer(parsed).parquet(f"{batch}/parsed")  # one parse per run: every later step reads this table
     parsed = spark.read.schema(parsed.schema).parquet(f"{batch}/parsed")
     found = with_bucket(parsed, wh.bucket_width).groupBy(BUCKET_COL, F.col("reason").isNull().alias("ok")).count().collect()
     n_parsed, n_loaded = sum(r["count"] for r in found), sum(r["count"] for r in found if r["ok"])

@@ -201,7 +201,7 @@ def raw_whole_balls(w: World) -> DataFrame:
 
 def raw_schema_drift(w: World) -> DataFrame:
     docs = fs.loadable(fs.parse_documents(fs.fingerprint(whole_match_files(w))))
-    return fs.unknown_keys(store(fs.match_rows(docs).select("match_id", "document"), "raw-documents"))
+    return fs.unknown_keys(store(fs.match_rows(docs).select("match_id", "document"), "raw-documents", documents=True))
 
 
 def registry_double_names(w: World) -> DataFrame:

@@ -20,7 +20,7 @@ from crease.plans import intermediate as im
 from crease.plans import marts as mt
 from crease.plans import staging as st
 from crease.sources import adapters as ad
-from crease.session import read_table, scratch_path
+from crease.session import document_writer, read_table, scratch_path
 from crease.sources.venues import UNKNOWN_COUNTRY
 
 
@@ -37,10 +37,11 @@ PLANT_KEYS = {"int_venues": "ascii(right(venue_name, 1))", "int_teams": "CAST(su
 # ---------------------------------------------------------------------------------------
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below the shared checkpoint folder and read it back."""
+def store(df: DataFrame, name: str, documents: bool = False) -> DataFrame:
+    """Write ``df``, rows of whole ``documents`` or not, below the shared checkpoint folder and read
+    it back."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (document_writer(df) if documents else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

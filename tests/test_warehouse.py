@@ -1,11 +1,13 @@
 """The warehouse as committed states: interrupted runs, concurrent runs, readers, corrections,
 file names, bounded batches, whole documents, edited seeds."""
 
+import glob
 import json
 import os
 import random
 import threading
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,7 +18,8 @@ from crease.plans import marts as mt
 from crease.plans import match_tables, pipeline
 from crease.plans import staging as st
 from crease.plans.snapshots import Conflict, Store
-from crease.session import scratch_path
+from crease.plans.world import store
+from crease.session import DOCUMENT_ROWS, scratch_path
 from crease.sources import files as fs
 from crease.sources import registry as rg
 from crease.streaming import landing
@@ -448,6 +451,28 @@ def test_unknown_keys_survive_and_are_reported(spark):
     assert (ball, "batter") not in drift and ("$.info", "venue") not in drift
 
 
+def test_documents_are_read_a_few_at_a_time(spark):
+    """A reader takes up to 4096 rows of a row group at once, and a document holds a whole match."""
+    def most_rows(folder):
+        groups = [pq.ParquetFile(f).metadata for f in glob.glob(f"{folder}/**/*.parquet", recursive=True)]
+        return max(m.row_group(i).num_rows for m in groups for i in range(m.num_row_groups))
+
+    wh = warehouse(spark, width=1000)
+    files = frame(spark, {f"l/{i}.json": match(runs=i % 7) for i in range(150)}).coalesce(1)
+    kept = store(files, "files", documents=True)
+    assert kept.count() == 150 and most_rows(_local(kept.inputFiles()[0])) <= DOCUMENT_ROWS
+    pipeline.run(wh, files)
+    assert most_rows(_local(wh.path("raw/matches"))) <= DOCUMENT_ROWS
+    assert most_rows(_local(wh.path("raw/deliveries"))) > DOCUMENT_ROWS  # balls are short rows
+    assert wh.model("int_matches").count() == 150
+
+
+def _local(path):
+    """The folder of a file, or a folder, as the local file system knows it."""
+    path = path.removeprefix("file://").removeprefix("file:")
+    return os.path.dirname(path) if path.endswith(".parquet") else path
+
+
 # --- quality ----------------------------------------------------------------------------------------------------
 
 def test_quality_counts_follow_corrections(spark, monkeypatch):
