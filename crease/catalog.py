@@ -21,7 +21,7 @@ from crease.plans import layout, pipeline, reports
 from crease.plans import scenarios as sc
 from crease.plans import staging as st
 from crease.plans.world import PLANT_KEYS, REPORT_EVENT, REPORT_YEAR, World, store
-from crease.session import scratch_path
+from crease.session import document_writer, scratch_path
 from crease.sources import adapters as ad
 from crease.streaming import landing as stream
 
@@ -432,15 +432,15 @@ def _corrections(w: World) -> DataFrame:
 
 @query("stream_two_micro_batches")
 def _stream(w: World) -> DataFrame:
-    """Match files arrive in two micro-batches of a stream; each is one pipeline run."""
-    wh, landing = _warehouse(w), scratch_path(w.spark, "arrivals")
+    """Match files arrive in two micro-batches of a stream, which stops and goes on between them; each
+    is one pipeline run."""
+    wh, landing, checkpoint = _warehouse(w), scratch_path(w.spark, "arrivals"), scratch_path(w.spark, "stream")
     files = sc.match_files(w).withColumn("_odd", F.regexp_extract("path", r"(\d+)\.json$", 1).cast("int") % 2)
-    files = store(files, "match-files")
+    files = store(files, "match-files", documents=True)
     for odd in (0, 1):
-        files.filter(F.col("_odd") == odd).drop("_odd").coalesce(1).write.mode("append").parquet(landing)
-    arrivals = w.spark.readStream.schema("path string, content binary").option("maxFilesPerTrigger", 1).parquet(landing)
-    run = stream.start_stream(wh, arrivals, scratch_path(w.spark, "stream"))
-    run.awaitTermination()
+        document_writer(files.filter(F.col("_odd") == odd).drop("_odd")).mode("append").parquet(landing)
+        arrivals = w.spark.readStream.schema("path string, content binary").parquet(landing)
+        stream.start_stream(wh, arrivals, checkpoint).awaitTermination()
     return wh.model("int_innings").drop("hash_id")
 
 
