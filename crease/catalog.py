@@ -444,15 +444,15 @@ def _stream(w: World) -> DataFrame:
     return wh.model("int_innings").drop("hash_id")
 
 
-#: Buckets of the stored balls: a file each.
-BUCKETS = 8
-
-
 def _scorecard_from_buckets(w: World, which: int) -> DataFrame:
     """Balls stored in buckets of matches once; order, dismissals and scorecard without a shuffle."""
-    tables = layout.MatchTables(w.spark, scratch_path(w.spark, "buckets"), BUCKETS)
+    # a ball is a line, and Parquet keeps their number
+    buckets = layout.buckets_for(w.table("lineitem").count())
+    tables = layout.MatchTables(w.spark, scratch_path(w.spark, "buckets"), buckets)
     balls = tables.store("int_deliveries", w.deliveries)
-    return tables.store("scorecard", layout.scorecards(balls)[which])
+    card = tables.store("scorecard", layout.scorecards(balls)[which])
+    tables.drop()  # the session's catalog is left as it was; the files stay
+    return w.spark.read.schema(card.schema).parquet(tables.path("scorecard"))
 
 
 @query("batting_scorecard_from_buckets")

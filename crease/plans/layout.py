@@ -3,8 +3,8 @@
 Every ball-grain model is keyed by the match first. Stored in hash buckets of ``match_id``, with
 the same number of buckets each, the models meet bucket by bucket: windows per innings,
 aggregates per player and joins between them run inside a task, whatever further key columns
-they have. A bucket is one file, so its number decides the size of a task: choose it for
-some hundred MB of balls a bucket.
+they have. A bucket is one file and one task, so their number has to grow with the balls:
+``buckets_for`` gives it.
 
 Joins on more than the match need ``in_buckets`` around their execution: Spark otherwise deals
 both sides anew by all keys of the join, for fear of a skewed one; a match is bounded.
@@ -25,9 +25,16 @@ from pyspark.sql import DataFrame, SparkSession
 from crease.plans import marts
 
 KEY = "match_id"
+#: Balls of a bucket (some 350 MB of a task's memory), and the least and most buckets (Spark's own bound).
+BUCKET_ROWS, FEWEST, MOST = 500_000, 8, 100_000
 _ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
 
 
+def buckets_for(rows: int) -> int:
+    """How many buckets balls of this number are stored in."""
+    return min(MOST, max(FEWEST, -(-rows // BUCKET_ROWS)))
+
+
 @contextmanager
 def in_buckets(spark: SparkSession) -> Iterator[None]:
     """Plans made and run inside join bucket with bucket if the key is among the join's keys."""

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import SMALL_SF
@@ -111,3 +112,20 @@ def test_bucketed_tables_of_odd_rows(spark, tmpdir_path):
         layout.MatchTables(spark, tmpdir_path, 0)
     tables.drop()
     assert not spark.catalog.listTables(pattern="crease_*")
+
+
+def test_buckets_grow_with_the_balls(spark, monkeypatch):
+    assert [layout.buckets_for(n) for n in (0, 600_000, 36_000_000, 216_000_000)] == [8, 8, 72, 432]
+    monkeypatch.setattr(layout, "BUCKET_ROWS", 300)
+    made = []
+    monkeypatch.setattr(layout.MatchTables, "path", lambda self, name: made.append(self) or f"{self.root}/{name}")
+    before = spark.catalog.listTables(pattern="crease_*")
+    w = World(spark, SMALL_SF)
+    for query, plain in (("batting_scorecard_from_buckets", w.batting_scorecard),
+                         ("bowling_scorecard_from_buckets", w.bowling_scorecard)):
+        made.clear()
+        found = entry.queries()[query](spark, SMALL_SF)
+        assert made[0].buckets == 20  # 6,000 balls
+        as_text = [F.col(c).cast("double").alias(c) if c == "economy" else c for c in plain.columns]
+        assert sorted(map(str, found.collect())) == sorted(map(str, plain.select(*as_text).collect()))
+        assert spark.catalog.listTables(pattern="crease_*") == before  # names are not left behind
