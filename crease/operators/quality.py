@@ -129,6 +129,16 @@ class Suite:
                 + [("unique_combination", m, ",".join(cs)) for m, cs in self.unique_combination]
                 + [(n, m, "") for n, m, _ in self.singular])
 
+    def reads(self, kind: str) -> dict[str, list[str]]:
+        """The columns that the tests of a kind read of each model; none listed: any."""
+        found: dict[str, set[str]] = {}
+        tests = {"unique": [(m, [c]) for m, c in self.unique], "not_null": self.not_null,
+                 "relationships": [x for m, c, p, f in self.relationships for x in ((m, [c]), (p, [f]))],
+                 "unique_combination": self.unique_combination, "singular": [(m, []) for _, m, _ in self.singular]}
+        for model, columns in tests[kind]:
+            found.setdefault(model, set()).update(columns)
+        return {m: sorted(columns) for m, columns in found.items()}
+
     def run(self, models: dict[str, DataFrame], kinds: set[str] | None = None) -> DataFrame:
         parts: list[DataFrame] = []
         want = (lambda k: kinds is None or k in kinds)

@@ -27,7 +27,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -43,7 +42,7 @@ from crease.plans import marts as mt
 from crease.plans import match_tables as parts
 from crease.plans import staging as st
 from crease.plans.snapshots import Conflict, Snapshot, Store, new_id
-from crease.session import document_writer
+from crease.session import document_writer, together
 from crease.sources import files as fs
 from crease.sources import registry as rg
 from crease.sources import venues as vn
@@ -58,8 +57,6 @@ STEPS = [
 DIM_MODELS = ["int_venues", "int_teams", "int_players"]
 MATCH_MODELS = [m for step in STEPS for m in step if m not in DIM_MODELS]
 RAW_TABLES = ["raw/matches", "raw/deliveries"]
-#: Models of one step that are written at the same time.
-PARALLEL = 6
 #: Times an ingest starts over after another run was committed.
 ATTEMPTS = 5
 EMPTY = {"epoch": 0, "feed": [], "next": 1, "work": {}, "live": {}, "small": {}, "quarantine": [],
@@ -229,7 +226,7 @@ def _ingest_once(wh: Warehouse, stored: DataFrame, on_changed: str, batch: str)
         jobs += [part("raw/matches", fs.match_rows(docs)), part("raw/deliveries", fs.flatten_deliveries(docs)), venue_rows]
     if n_refused:
         jobs.append(lambda: refusals.append(_write(wh, "raw/quarantine", refused)["dir"]))
-    _together(jobs)
+    together(jobs)
     feed = {"dir": entry.split("=")[1], "rows": n_loaded,
             "buckets": sorted(r[BUCKET_COL] for r in found if r["ok"])}
 
@@ -292,13 +289,6 @@ def _merge_registry(wh: Warehouse) -> None:
         pass
 
 
-def _together(jobs: list[Callable]) -> list:
-    """Run independent writes at the same time; all end before an error of one is raised."""
-    with ThreadPoolExecutor(PARALLEL) as pool:
-        running = [pool.submit(job) for job in jobs]
-    return [r.result() for r in running]
-
-
 # --- batches of bounded size -------------------------------------------------------------------
 
 def ingest_directory(wh: Warehouse, directory: str, max_bytes: int = 1 << 30, max_files: int = 10_000,
@@ -426,7 +416,7 @@ def build_steps(wh: Warehouse, steps: list[list[str]], target: int | None = None
     _refresh_venues(wh)
     target = _end_of_feed(wh.store.head().state) if target is None else target
     for step in steps:
-        _together([lambda name=name: _bring(wh, name, target) for name in step])
+        together([lambda name=name: _bring(wh, name, target) for name in step])
 
 
 def rebuild(wh: Warehouse) -> None:
@@ -663,7 +653,7 @@ def compact(wh: Warehouse, max_parts: int = parts.MAX_PARTS) -> None:
             pass
 
     tables = [n for n, t in wh.store.head().state["work"].items() if "parts" in t]
-    _together([lambda n=n: one(n) for n in tables])
+    together([lambda n=n: one(n) for n in tables])
 
 
 def _show(wh: Warehouse, target: int) -> None:

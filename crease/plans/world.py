@@ -20,7 +20,7 @@ from crease.plans import intermediate as im
 from crease.plans import marts as mt
 from crease.plans import staging as st
 from crease.sources import adapters as ad
-from crease.session import document_writer, read_table, scratch_path
+from crease.session import document_writer, read_table, scratch_path, together
 from crease.sources.venues import UNKNOWN_COUNTRY
 
 
@@ -60,11 +60,15 @@ class World:
         return cut
 
     def stored(self) -> World:
-        """This world with the tables that many models read written once and read back."""
+        """This world with the tables that many models read written once and read back: a step reads
+        what the steps before it stored, and its tables are written at the same time."""
         kept = World(self.spark, self.sf_dir)
-        for name in ("stg_match_info", "deliveries", "sequence", "matches", "match_teams", "teams",
-                     "match_players", "batting_order", "bowling_order", "dismissed"):
-            setattr(kept, name, store(getattr(kept, name), name))
+        for step in (["stg_match_info", "deliveries"],
+                     ["sequence", "matches", "match_teams", "match_players", "dismissed"],
+                     ["teams", "batting_order", "bowling_order"]):
+            built = [(name, getattr(kept, name)) for name in step]
+            for name, rows in zip(step, together([lambda n=n, df=df: store(df, n) for n, df in built])):
+                setattr(kept, name, rows)
         return kept
 
     # raw inputs -------------------------------------------------------------------------

@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from conftest import SMALL_SF
+from crease.operators import quality
 from crease.operators.dedupe import distinct_on
 from crease.operators.incremental import (not_in_counts, replace_by_match, replace_matches,
                                           upsert_by_key)
@@ -136,3 +138,27 @@ def test_quality_operators(spark):
         "k": 2, "v": 1}
     assert relationships(df, "m", "k", parent, "p", "k").first().failures == 1
     assert unique_combination(df, "m", ["k"]).first().failures == 2
+
+
+def test_quality_columns_read(spark):
+    suite = quality.Suite(unique=[("a", "x")], relationships=[("a", "k", "b", "i"), ("a", "x", "b", "j")],
+                          unique_combination=[("a", ["x", "y"]), ("b", ["i"])], not_null=[("b", ["j", "i"])],
+                          singular=[("odd", "b", "i > 3")])
+    assert suite.reads("unique") == {"a": ["x"]} and suite.reads("not_null") == {"b": ["i", "j"]}
+    assert suite.reads("relationships") == {"a": ["k", "x"], "b": ["i", "j"]}
+    assert suite.reads("unique_combination") == {"a": ["x", "y"], "b": ["i"]}
+    assert suite.reads("singular") == {"b": []}
+    rows = {"a": spark.createDataFrame([(1, 1, 7, "w"), (1, 1, 8, "v"), (None, 2, 9, "u")], "x int, y int, k int, wide string"),
+            "b": spark.createDataFrame([(7, 1, "t"), (7, None, "s")], "i int, j int, wide string")}
+    for kind in ("unique", "not_null", "relationships", "unique_combination", "singular"):
+        narrow = {m: rows[m].select(*c) if c else rows[m] for m, c in suite.reads(kind).items()}
+        assert sorted(suite.run(narrow, {kind}).collect()) == sorted(suite.run(rows, {kind}).collect())
+
+
+def test_quality_stores_only_the_columns_read(spark, monkeypatch):
+    from crease import catalog
+    kept, plain = {}, catalog.store
+    monkeypatch.setattr(catalog, "store", lambda df, name: kept.setdefault(name, plain(df, name)))
+    catalog.QUERIES["dq_unique_combination"](spark, SMALL_SF)
+    assert kept["int_deliveries"].columns == ["ball_in_over", "innings_number", "match_id", "over_number"]
+    assert kept["fct_bowling_scorecard"].columns == ["bowling_position", "innings_number", "match_id"]
