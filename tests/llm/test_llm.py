@@ -408,6 +408,61 @@ def test_passages_of_families(spark):
     assert len(true) > 500 and sum(root(i) == root(j) for i, j in true) >= 0.97 * len(true)
 
 
+def test_passages_among_decoys(spark):
+    """Texts with a seed of the pair and the words after it stand between the two in any order by words."""
+    rng = random.Random(5)
+
+    def text(n):
+        return [f"v{rng.randrange(10**9)}" for _ in range(n)]
+    one = text(60)
+    other = [w if i % 7 else "edit" for i, w in enumerate(one)]
+    rows = [(1, text(20) + one + text(30)), (2, text(40) + other + text(10))]
+    for at in range(0, 60, 4):
+        for body in (one, other):
+            rows += [(len(rows) + k, text(60) + body[at:at + 24] + text(60)) for k in range(1, 13)]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    got = {(r["doc_id"], r["source_id"]) for r in passages.repeated_passages(df).collect()}
+    assert got == {(2, 1)}
+
+
+@pytest.mark.parametrize("block", [None, 40])
+def test_places_of_a_crowded_seed(spark, monkeypatch, block):
+    """A seed in every text: of all pairs, those alike around it end in one component, in blocks too."""
+    if block:
+        monkeypatch.setattr(passages, "BLOCK", block)
+    rng = random.Random(6)
+
+    def text(n):
+        return [f"v{rng.randrange(10**9)}" for _ in range(n)]
+    seed, rows, bodies = text(7), [], {}
+    for family in range(6):
+        left, right = text(30), text(30)
+        for k in range(12):
+            body = left + seed + right
+            for i in rng.sample([*range(30), *range(37, 67)], 9):
+                body[i] = text(1)[0]
+            bodies[12 * family + k] = body
+    rows = [(i, text(30) + body + text(30)) for i, body in bodies.items()]
+    rows += [(100 + i, text(40) + seed + text(40)) for i in range(60)]
+    got = {(r["doc_id"], r["source_id"]) for r in passages.repeated_passages(spark.createDataFrame(
+        [(i, " ".join(w)) for i, w in rows], "doc_id long, text string")).collect()}
+
+    def alike(u, v):
+        gain = np.cumsum([0, *(20 if p == q else -80 for p, q in zip(u, v))])
+        return any((gain[s + 50:] >= gain[s]).any() for s in range(len(u) - 49))
+    true = {(i, j) for i in bodies for j in bodies if j < i and i // 12 == j // 12 and alike(bodies[i], bodies[j])}
+    assert len(true) > 100 and got <= true
+    parent = {i: i for i in bodies}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+    for i, j in got:
+        parent[root(i)] = root(j)
+    assert all(root(i) == root(j) for i, j in true)
+
+
 def test_passages_longer_than_their_chains(spark):
     """A passage of which two documents share few neighbouring places is followed to its ends."""
     rng = random.Random(3)
