@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -463,6 +464,48 @@ def test_places_of_a_crowded_seed(spark, monkeypatch, block):
     assert all(root(i) == root(j) for i, j in true)
 
 
+def test_rows_beside_their_texts(spark):
+    """A text of many chains does not hold their pieces in one row: each comes as its own after it."""
+    texts = spark.createDataFrame([(n, 10 * n, f"Text {n} É") for n in range(20)], "node long, doc long, _t string")
+    rows = spark.createDataFrame([(3, i, b"v" * 1000) for i in range(400)] + [(7, 0, None), (99, 1, b"")],
+                                 "b long, a long, v binary")
+    both = passages._beside(rows, "b", texts)
+    assert max(len(r["v"] or b"") + len(r["_t"] or "") for r in both.collect()) == 1000 and both.count() == 422
+
+    def task(batches):
+        found = [(node, doc, b" ".join(body), *row) for node, doc, body, row in passages._each(batches)]
+        yield pa.RecordBatch.from_pylist([dict(zip(("node", "doc", "body", "a", "v"), r)) for r in found], schema=out)
+    out = pa.schema([("node", pa.int64()), ("doc", pa.int64()), ("body", pa.binary()), ("a", pa.int64()), ("v", pa.binary())])
+    got = both.mapInArrow(task, "node long, doc long, body binary, a long, v binary").collect()
+    assert {(r["node"], r["doc"], bytes(r["body"]), r["a"]) for r in got} == {
+        *((3, 30, "text 3 É".encode(), i) for i in range(400)), (7, 70, "text 7 É".encode(), 0)}
+
+
+def test_crowded_places_come_in_parts(monkeypatch):
+    """Of 60 texts with one line in common, those whose words go on alike, also after a gap, are given;
+    many pairs leave in parts, and parts change nothing."""
+    rng = random.Random(8)
+    reach, n = passages.MIN_WORDS, 60
+    w = np.array([[rng.randrange(1, 1 << 16) for _ in range(2 * reach + passages.K)] for _ in range(n)], np.uint16)
+    w[:, :8] = w[0, :8]
+    w[:, reach:reach + 8] = w[0, reach:reach + 8]
+    w[:, 2 * reach:] = w[0, 2 * reach:]
+    w[21, :2 * reach] = np.where(np.arange(2 * reach) % 9 == 8, w[21, :2 * reach], w[20, :2 * reach])
+    w[41, :reach] = w[40, :reach]  # 3 words more after 20 equal ones
+    w[41, reach:reach + 20], w[41, reach + 23:2 * reach] = w[40, reach:reach + 20], w[40, reach + 20:2 * reach - 3]
+    w[31, reach:reach + 20], w[31, reach + 23:2 * reach] = w[30, reach:reach + 20], w[30, reach + 20:2 * reach - 3]
+    group, node = np.ones(n, np.int64), np.arange(n)
+
+    def pairs():
+        return {(int(a), int(b)) for i, j, _ in passages.linked_places(group, node, w, reach, passages.SIMILARITY)
+                for a, b in zip(i, j)}
+    assert pairs() == {(20, 21), (30, 31), (40, 41)}
+    monkeypatch.setattr(passages, "LISTED", 16)
+    monkeypatch.setattr(passages, "MANY", 0)
+    monkeypatch.setattr(passages, "ROWS", 8)
+    assert pairs() == {(20, 21), (30, 31), (40, 41)}
+
+
 def test_passages_longer_than_their_chains(spark):
     """A passage of which two documents share few neighbouring places is followed to its ends."""
     rng = random.Random(3)
