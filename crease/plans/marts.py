@@ -3,7 +3,9 @@ summary.
 
 Every row depends on one match only. Scorecards aggregate balls per (match, innings,
 player) *before* joining the order tables, so the join sees one row per player instead
-of one per ball (same result: each ball matches exactly one order row).
+of one per ball (same result: each ball matches exactly one order row). Both sides of such a
+join grow with the matches, so it is a shuffled one by a hint: the planner would judge a stored
+table by the size of its files, and an order takes a byte a row there, some hundred in a broadcast.
 """
 
 from __future__ import annotations
@@ -55,8 +57,8 @@ def fct_batting_scorecard(deliveries: DataFrame, batting_order: DataFrame,
     out = dismissed.select("match_id", "innings_number",
                            F.col("player_out").alias("player_name"),
                            F.lit(True).alias("_out"))
-    return (batting_order.join(stats, ["match_id", "innings_number", "player_name"])
-            .join(out, ["match_id", "innings_number", "player_name"], "left")
+    return (batting_order.hint("merge").join(stats, ["match_id", "innings_number", "player_name"])
+            .join(out.hint("merge"), ["match_id", "innings_number", "player_name"], "left")
             .select("match_id", "innings_number", "batting_position",
                     F.coalesce("_so", F.lit(False)).alias("is_super_over"),
                     "team", "player_name",
@@ -79,7 +81,7 @@ def fct_bowling_scorecard(deliveries: DataFrame, bowling_order: DataFrame) -> Da
         count_when(F.col("is_legal") & (F.col("batter_runs") == 0)).alias("dots"),
         count_when(F.col("wides") > 0).alias("wides"),
         count_when(F.col("noballs") > 0).alias("noballs"))
-    return bowling_order.join(stats, ["match_id", "innings_number", "bowler"]).select(
+    return bowling_order.hint("merge").join(stats, ["match_id", "innings_number", "bowler"]).select(
         "match_id", "innings_number",
         F.coalesce("_so", F.lit(False)).alias("is_super_over"),
         "bowling_position", "bowler", "balls", "runs", "wickets", "dots",
@@ -102,7 +104,7 @@ def fct_match_summary(matches: DataFrame, innings: DataFrame) -> DataFrame:
     match_scores = team_scores.groupBy("match_id").agg(
         ordered_concat(F.concat(F.col("team"), F.lit(" "), F.col("scores")), " vs ",
                        F.col("ordering")).alias("scoreline"))
-    return matches.join(match_scores, "match_id", "left").select(
+    return matches.join(match_scores.hint("merge"), "match_id", "left").select(
         "match_id", "start_date", "scoreline",
         result_text(F.col("winner"), F.col("outcome_margin.runs"),
                     F.col("outcome_margin.wickets")).alias("result"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from conftest import SMALL_SF
 from crease.plans import layout, reports
+from crease.plans import marts as mt
 from crease.plans.world import World
 
 
@@ -129,3 +130,18 @@ def test_buckets_grow_with_the_balls(spark, monkeypatch):
         as_text = [F.col(c).cast("double").alias(c) if c == "economy" else c for c in plain.columns]
         assert sorted(map(str, found.collect())) == sorted(map(str, plain.select(*as_text).collect()))
         assert spark.catalog.listTables(pattern="crease_*") == before  # names are not left behind
+
+
+def test_scorecards_of_small_files_broadcast_no_order(spark, tmpdir_path):
+    # an order takes a byte a row in its file: the planner would send it to the driver at any size
+    w = World(spark, SMALL_SF)
+    for name, rows in (("balls", w.deliveries), ("batting", w.batting_order), ("bowling", w.bowling_order),
+                       ("out", w.dismissed), ("matches", w.matches), ("innings", w.innings)):
+        rows.write.parquet(f"{tmpdir_path}/{name}")
+    balls, batting, bowling, out, matches, innings = (
+        spark.read.parquet(f"{tmpdir_path}/{n}") for n in ("balls", "batting", "bowling", "out", "matches", "innings"))
+    for found, plain in ((mt.fct_batting_scorecard(balls, batting, out), w.batting_scorecard),
+                         (mt.fct_bowling_scorecard(balls, bowling), w.bowling_scorecard),
+                         (mt.fct_match_summary(matches, innings), w.match_summary)):
+        assert "Join" in _plan(found) and "Broadcast" not in _plan(found)
+        assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))
