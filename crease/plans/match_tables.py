@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from crease.operators.incremental import BUCKET_COL, with_bucket
 from crease.plans.snapshots import Store, new_id
-from crease.session import document_writer
+from crease.session import WHOLE_VARIANTS, document_writer
 
 PART, ENTRY = "part", "entry"
 FEED = "feed"
@@ -48,7 +48,7 @@ def add_part(store: Store, table: str, rows: DataFrame, width: int, buckets: int
     rows = with_bucket(rows, width)
     if buckets > DIRECT_BUCKETS:
         rows = rows.hint("rebalance", BUCKET_COL)
-    writer = document_writer(rows) if DOCUMENT in rows.columns else rows.write
+    writer = document_writer(rows) if DOCUMENT in rows.columns else rows.write.options(**WHOLE_VARIANTS)
     writer.partitionBy(BUCKET_COL).parquet(path)
     buckets = sorted(int(n.split("=")[1]) for n in store.names(path)
                      if n.startswith(f"{BUCKET_COL}=") and not n.endswith("__"))

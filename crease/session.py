@@ -91,11 +91,14 @@ def together(jobs: list[Callable]) -> list:
 #: Rows of a row group of stored match documents. Spark reads up to 4096 rows of a group at once,
 #: and a document holds a whole match.
 DOCUMENT_ROWS = 32
+#: A VARIANT is written as it is. To lay it out in typed columns Spark keeps the first rows of each
+#: file and looks through every value of theirs, which took more than the parsing of the documents.
+WHOLE_VARIANTS = {"spark.sql.variant.inferShreddingSchema": "false"}
 
 
 def document_writer(rows: DataFrame) -> DataFrameWriter:
     """A writer of rows that hold whole documents: readers take DOCUMENT_ROWS of them at a time."""
-    return rows.write.option("parquet.block.row.count.limit", DOCUMENT_ROWS)
+    return rows.write.options(**WHOLE_VARIANTS).option("parquet.block.row.count.limit", DOCUMENT_ROWS)
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -467,6 +467,18 @@ def test_documents_are_read_a_few_at_a_time(spark):
     assert wh.model("int_matches").count() == 150
 
 
+def test_variants_are_stored_as_they_are(spark):
+    """Spark would keep the first documents of a file and look through all their values for a layout."""
+    wh = warehouse(spark, width=1000)
+    pipeline.run(wh, frame(spark, {f"l/{i}.json": match(runs=i % 7) for i in range(20)}))
+    for table, column in (("raw/matches", "document"), ("raw/deliveries", "delivery")):
+        for f in glob.glob(f"{_local(wh.path(table))}/**/*.parquet", recursive=True):
+            fields = {c.path for c in map(pq.ParquetFile(f).schema.column, range(len(pq.ParquetFile(f).schema)))}
+            assert {c for c in fields if c.split(".")[0] == column} == {f"{column}.metadata", f"{column}.value"}
+    balls = wh.read_table("raw/deliveries").select(F.try_variant_get("delivery", "$.batter", "string").alias("b"))
+    assert balls.count() and balls.filter("b IS NULL").isEmpty()
+
+
 def _local(path):
     """The folder of a file, or a folder, as the local file system knows it."""
     path = path.removeprefix("file://").removeprefix("file:")
